@@ -65,3 +65,22 @@ def members_of(owners: DataFrame, array_column: str, members: DataFrame) -> Data
     """Member rows with the owner that names them and their position."""
     named = link_rows(owners.withColumnRenamed("id", "owner_id"), "owner_id", array_column, "id")
     return named.join(members, "id")
+
+
+def with_first_of_group(
+    df: DataFrame, key: str, order: list[str], values: dict[str, str]
+) -> DataFrame:
+    """Give every row the values of its group's first row.
+
+    The first row is found by aggregation and joined back; a window would sort
+    a whole group in one task. The joined side has one row per group, so a
+    large group's rows may be split over tasks.
+    """
+    taken = F.struct(*[F.col(source).alias(name) for name, source in values.items()])
+    firsts = (
+        df.dropna(subset=[key])
+        .groupBy(key)
+        .agg(F.min_by(taken, F.struct(*order)).alias("_first"))
+        .select(key, *[F.col("_first")[name].alias(name) for name in values])
+    )
+    return df.join(firsts, key, "left")
