@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
+from .rows import once
 
 # Single-file slots in listing order and completeness weights.
 SLOTS = (
@@ -36,9 +37,22 @@ def identified(files: DataFrame) -> DataFrame:
     run number, not just its folder's.
     """
     name = names.file_name(F.col("path"))
-    info = files.select("path", "root_ord", names.identify(F.col("path"), F.col("content")).alias("i"))
-    return info.select("path", "root_ord", "i.*").select(
-        "*",
+    info = names.identify(F.col("path"), F.col("content"))
+    found = once(
+        files.select("path", "content", "root_ord"),
+        info,
+        "file_type",
+        "run_number",
+        "proposal",
+        "instrument",
+    )
+    return found.select(
+        "path",
+        "root_ord",
+        "file_type",
+        "run_number",
+        "proposal",
+        "instrument",
         names.file_slot(F.col("file_type"), name).alias("slot"),
         F.contains(name, F.col("run_number").cast("string")).alias("named_after_run"),
     )

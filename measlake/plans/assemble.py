@@ -15,9 +15,10 @@ from ..functions import conditions, instruments, layers, names
 from ..ids import ENVIRONMENT, FIT, RUN, SAMPLE, entity_id
 from ..operators import curve_match, issues
 from ..operators.preference import log_values
+from ..operators.rows import once
 from ..records import environment, fit, reflectivity, sample
 from ..sources import manifest, run_records
-from .batch import Batch, once, table
+from .batch import Batch, table
 
 TOOL = "measlake"
 VERSION = "0.1.0"

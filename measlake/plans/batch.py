@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ..schemas import TABLES, conform
 
@@ -27,14 +26,6 @@ class Batch:
         return {name: getattr(self, name) for name in TABLES}
 
 
-def once(df: DataFrame, value: Column, *fields: str) -> DataFrame:
-    """Add the fields of a struct, evaluating it once per row.
-
-    A generator is a boundary the optimizer does not copy expressions across.
-    """
-    return df.select("*", F.inline(F.array(value))).select(*df.columns, *fields)
-
-
 def table(df: DataFrame, name: str, columns: list[Column]) -> DataFrame:
     """Project rows to a declared table."""
     return conform(df.select(*columns), name)

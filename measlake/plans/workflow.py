@@ -15,9 +15,10 @@ from ..functions import conditions, layers
 from ..functions.text import non_empty
 from ..ids import ENVIRONMENT, FIT, RUN, SAMPLE, entity_id
 from ..operators import curve_match, issues
+from ..operators.rows import once
 from ..records import environment, fit, reflectivity, sample
 from .assemble import TOOL, VERSION, selection_warning
-from .batch import Batch, once, table
+from .batch import Batch, table
 
 SHARED = "shared"
 

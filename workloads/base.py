@@ -55,6 +55,11 @@ def text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
+def composed(df: DataFrame, *columns: Column) -> DataFrame:
+    """Columns composed from others, computed once per row like columns of a file."""
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def sql_id(kind: str, *parts: str) -> str:
     """SQL for the id the library gives to a record."""
     key = " || '|' || ".join([f"'{kind}'", f"'{INGEST}'", *[f"CAST({p} AS VARCHAR)" for p in parts]])

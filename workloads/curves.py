@@ -10,7 +10,7 @@ from measlake.functions.text import any_time
 from measlake.operators import curve_match
 from measlake.sources import reduced_text
 
-from .base import load, query, spread, text
+from .base import composed, load, query, spread, text
 
 # --- matching -----------------------------------------------------------------
 
@@ -191,7 +191,8 @@ def curve_rows_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("lang") == "de", text(number, " 0x10 2 3"))
         .otherwise(text(number, " -5. 2 3")),
     )
-    lines = docs.select("doc_id", reduced_text.split_lines(content).alias("lines"))
+    texts = composed(docs, number.alias("doc_id"), content.alias("content"))
+    lines = texts.select("doc_id", reduced_text.split_lines(F.col("content")).alias("lines"))
     rows = lines.select(
         "doc_id",
         F.size(F.filter("lines", lambda x: F.startswith(x, F.lit("#")))).alias("header_lines"),
@@ -251,7 +252,7 @@ def curve_texts(orders: DataFrame) -> DataFrame:
         "0.1 1.5 0.01 0.001\r\n\n  0.2 1.25 0.01 0.002\n",
     )
     path = text("/IPTS-", customer, "/curves/REFL_", key, ".txt")
-    return orders.select("o_orderkey", path.alias("path"), content.alias("content"))
+    return composed(orders, key.alias("o_orderkey"), path.alias("path"), content.alias("content"))
 
 
 @query("header_fields", _HEADER_SQL)
@@ -295,7 +296,8 @@ def header_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelled = F.lit("soon")
     for i, shape in enumerate(shapes):
         spelled = F.when(F.col("o_orderkey") % 7 == i, F.date_format(moment, shape)).otherwise(spelled)
-    return orders.select("o_orderkey", F.unix_micros(any_time(spelled)).alias("start_us"))
+    texts = composed(orders, F.col("o_orderkey"), spelled.alias("start"))
+    return texts.select("o_orderkey", F.unix_micros(any_time(F.col("start"))).alias("start_us"))
 
 
 # --- conditions ---------------------------------------------------------------
@@ -360,8 +362,8 @@ def event_sentence():
 def text_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conditions from one description per event."""
     events = load(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
-    found = conditions.conditions(event_sentence())
-    return events.select("event_id", found.alias("c")).select("event_id", *_condition_columns(F.col("c")))
+    described = composed(events, F.col("event_id"), event_sentence().alias("s"))
+    return described.select("event_id", conditions.conditions(F.col("s")).alias("c")).select("event_id", *_condition_columns(F.col("c")))
 
 
 _DOC_CONDITIONS_SQL = r"""
@@ -411,7 +413,7 @@ def document_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text"), " Held at ", F.col("n_chars") % 3, ".25 V vs ", scale, resting,
         ", pH ", F.col("doc_id") % 14, " with 1.5 M LiCl(aq)",
     )
-    found = docs.select("doc_id", described.alias("s")).select(
+    found = composed(docs, F.col("doc_id"), described.alias("s")).select(
         "doc_id", conditions.conditions(F.col("s")).alias("c")
     )
     return found.select("doc_id", *_condition_columns(F.col("c")))

@@ -9,7 +9,7 @@ from measlake.functions import layers
 from measlake.records import sample
 from measlake.sources import fit_model
 
-from .base import ingest_time, load, query, spread, text
+from .base import composed, ingest_time, load, query, spread, text
 
 KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 KEY_SQL = ", ".join(KEY)
@@ -47,8 +47,9 @@ def model_texts(items: DataFrame) -> DataFrame:
         '}, "object": {"name": "m", "sample": {"layers": [', stack, "]}}}",
     )
     errors = text('{"thick": {"std": ', F.col("l_tax") * 2, ', "mean": 0}, "dens": {"std": 99}}')
-    return items.select(
-        *KEY,
+    return composed(
+        items,
+        *[F.col(k) for k in KEY],
         text("/m/", *[x for k in KEY for x in (F.col(k), "-")], "m.json").alias("path"),
         content.alias("content"),
         errors.alias("error_content"),
@@ -209,8 +210,9 @@ def experiment_texts(orders: DataFrame) -> DataFrame:
         F.col("o_orderstatus") == "F", F.lit('{"layers": [{"name": "own", "thickness": 5}]}')
     ).otherwise(F.lit("null"))
     content = text('{"object": {"sample": ', own, ', "models": [', models, "]}}")
-    return orders.select(
-        "o_orderkey",
+    return composed(
+        orders,
+        F.col("o_orderkey"),
         text("/m/", F.col("o_orderkey"), ".json").alias("path"),
         content.alias("content"),
         F.lit(None).cast("string").alias("error_content"),
