@@ -37,15 +37,18 @@ def join_inputs(
     logs: DataFrame | None = None,
 ) -> DataFrame:
     """One row per measurement with ``curve``, ``meta``, ``log_values`` and ``model``."""
+    # Rows without records or without a model get a key of their own that
+    # matches nothing: null keys would all meet in one partition.
     folder = F.regexp_replace("parquet", "/+$", "")
+    own_key = F.concat(F.lit("none:"), F.coalesce("reduced", "job"))
     wide = measurements.withColumns(
         {
-            "_dir": F.when(F.col("parquet").isNotNull(), folder),
+            "_dir": F.coalesce(folder, own_key),
             "_scope": run_records.scope(names.run_number(F.col("reduced"))),
+            "_model": F.coalesce("model_path", own_key),
         }
     )
-    curve = _as_struct(curves, "curve", "path")
-    wide = wide.join(curve, F.col("reduced") == F.col("_curve_key"), "left")
+    # Narrow inputs first, so that curves and models are moved as little as possible.
     if metadata is None:
         nothing = ", ".join(
             f"{f.name}: {f.dataType.simpleString()}" for f in run_records.METADATA.fields
@@ -64,9 +67,11 @@ def join_inputs(
             run_records.in_scopes(named), ["dir", "scope"], wanted, ["file_path", "row_index"]
         ).withColumnsRenamed({"dir": "_dir", "scope": "_scope"})
         wide = wide.join(values, ["_dir", "_scope"], "left")
+    curve = _as_struct(curves, "curve", "path")
+    wide = wide.join(curve, F.col("reduced") == F.col("_curve_key"), "left")
     model = _as_struct(models, "model", "path")
-    return wide.join(model, F.col("model_path") == F.col("_model_key"), "left").drop(
-        "_curve_key", "_model_key", "_dir", "_scope"
+    return wide.join(model, F.col("_model") == F.col("_model_key"), "left").drop(
+        "_curve_key", "_model_key", "_dir", "_scope", "_model"
     )
 
 

@@ -7,19 +7,24 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..operators import fileset
+from ..operators.first_record import first_record
 from ..sources import files
 
 
 def discover(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """File sets by run, and the identified files they come from."""
-    found = fileset.identified(catalog)
+    """File sets by run, and the identified files they come from.
+
+    ``catalog`` has ``path``, ``content`` and ``root_ord``. A file found below
+    two search paths counts once, for the earlier one; by then its text has
+    been reduced to a few columns.
+    """
+    found = first_record(fileset.identified(catalog), ["path"], ["root_ord"])
     return fileset.fileset(found), found
 
 
-def discover_under(spark: SparkSession, roots: list[str], recursive: bool = True):
+def discover_under(spark: SparkSession, roots: list[str]) -> tuple[DataFrame, DataFrame]:
     """As ``discover``, over the files below the search paths."""
-    listed = files.catalog(spark, roots, recursive)
-    return discover(files.with_heads(spark, listed, roots))
+    return discover(files.with_texts(spark, roots))
 
 
 def related_to(sets: DataFrame, known: DataFrame) -> DataFrame:

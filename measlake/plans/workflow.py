@@ -36,37 +36,47 @@ def run_rows(jobs: DataFrame) -> DataFrame:
     return jobs.select("job", F.posexplode(listed).alias("pos", "f")).select("job", "pos", "f.*")
 
 
-def match_runs(jobs: DataFrame, curves: DataFrame, ingest_time: Column) -> DataFrame:
-    """Runs with their curve and the dataset it matches."""
+def locate_runs(jobs: DataFrame, curves: DataFrame, ingest_time: Column) -> DataFrame:
+    """Listed files with their curve and identity."""
     curve = curves.select(F.col("path").alias("_path"), F.struct(*curves.columns).alias("curve"))
     located = run_rows(jobs).join(curve, F.col("path") == F.col("_path"), "left").drop("_path")
-    probes = jobs.select("job", F.transform("model.datasets", lambda d: d["probe"]).alias("probes"))
-    winner = curve_match.best(
-        curve_match.scores(F.col("curve.q"), F.col("curve.r"), F.col("probes"))
-    )
-    matched = once(
-        located.join(probes, "job"),
-        F.struct(curve_match.matched_dataset(winner).alias("matched")),
-        "matched",
-    ).drop("probes")
     nothing = F.lit(None).cast(
         "STRUCT<instrument_id: STRING, run_number: BIGINT, run_id: STRING, title: STRING, "
         "start_time: STRING, experiment_identifier: STRING, source_path: STRING>"
     )
-    return matched.withColumn("meta", nothing).withColumn(
+    return located.withColumn("meta", nothing).withColumn(
         "who", reflectivity.identity(F.col("curve"), F.col("meta"), ingest_time)
     )
 
 
+def match_runs(located: DataFrame, jobs: DataFrame) -> DataFrame:
+    """The dataset each run matches (J6). Of the curve only the result is kept."""
+    probes = jobs.select("job", F.transform("model.datasets", lambda d: d["probe"]).alias("probes"))
+    narrow = located.select(
+        "job",
+        "pos",
+        "state_ord",
+        "path",
+        F.col("who.run_number").alias("run_number"),
+        F.col("curve").isNull().alias("absent"),
+        F.col("curve.q").alias("q"),
+        F.col("curve.r").alias("r"),
+    )
+    winner = curve_match.best(curve_match.scores(F.col("q"), F.col("r"), F.col("probes")))
+    matched = once(
+        narrow.join(probes, "job"),
+        F.struct(curve_match.matched_dataset(winner).alias("matched")),
+        "matched",
+    )
+    return matched.drop("probes", "q", "r")
+
+
 def summarise(runs: DataFrame) -> DataFrame:
     """Match results per directory, in file order, and the first missing file."""
-    absent = F.col("curve").isNull()
     return runs.groupBy("job").agg(
-        F.min(F.when(absent, F.struct("pos", "state_ord", "path"))).alias("absent"),
+        F.min(F.when(F.col("absent"), F.struct("pos", "state_ord", "path"))).alias("absent"),
         F.sort_array(
-            F.collect_list(
-                F.struct("pos", "state_ord", "path", "matched", F.col("who.run_number"))
-            )
+            F.collect_list(F.struct("pos", "state_ord", "path", "matched", "run_number"))
         ).alias("runs"),
     )
 
@@ -333,8 +343,9 @@ def assemble_run_dirs(
 
     A directory with an error contributes nothing but its issue.
     """
-    runs = match_runs(jobs, curves, ingest_time)
-    decided = decide(jobs, summarise(runs), ingest_id, dataset_index, sample_id)
+    located = locate_runs(jobs, curves, ingest_time)
+    summary = summarise(match_runs(located, jobs))
+    decided = decide(jobs, summary, ingest_id, dataset_index, sample_id)
     done = decided.filter(F.size("errors") == 0)
     per_job = done.select(
         "job",
@@ -343,7 +354,7 @@ def assemble_run_dirs(
             "state_rows", lambda s: F.struct(s["sample_id"].alias("s"), s["environment_id"].alias("e"))
         ).alias("links"),
     )
-    linked = runs.join(per_job, "job").withColumn("link", F.get("links", F.col("state_ord")))
+    linked = located.join(per_job, "job").withColumn("link", F.get("links", F.col("state_ord")))
     reflectivities = table(
         linked,
         "reflectivity",
@@ -383,5 +394,5 @@ def assemble_run_dirs(
         reflectivity_model=_fits(done, ingest_id, ingest_time),
         issues=issues.explode_issues(audit.unionByName(run_issues), ["job", "pos"]),
         outcomes=outcomes,
-        shared=[runs, decided],
+        shared=[located, decided],
     )

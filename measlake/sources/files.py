@@ -56,10 +56,27 @@ def catalog(spark: SparkSession, roots: list[str], recursive: bool = True) -> Da
     )
 
 
-def with_heads(spark: SparkSession, files: DataFrame, roots: list[str]) -> DataFrame:
-    """Add the text of those files whose kind depends on it (JSON and text)."""
-    texts = read_texts(spark, roots, glob="*.{[jJ][sS][oO][nN],[tT][xX][tT]}")
-    return files.join(texts.dropDuplicates(["path"]), "path", "left")
+def with_texts(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """Files with the text of those whose kind depends on it (JSON and text).
+
+    Texts are read next to their path, other files are only listed, so nothing
+    is joined. ``content`` is null for listed files.
+    """
+    parts = []
+    for ordinal, root in enumerate(roots):
+        texts = read_texts(spark, root, glob="*.{[jJ][sS][oO][nN],[tT][xX][tT]}")
+        listed = catalog(spark, [root]).filter(
+            ~F.lower("path").endswith(".json") & ~F.lower("path").endswith(".txt")
+        )
+        nothing = F.lit(None).cast("string").alias("content")
+        parts += [
+            rows.select("path", content, F.lit(ordinal).alias("root_ord"))
+            for rows, content in ((texts, F.col("content")), (listed, nothing))
+        ]
+    files = parts[0]
+    for part in parts[1:]:
+        files = files.unionByName(part)
+    return files
 
 
 def parquet_dir_of_runs(
