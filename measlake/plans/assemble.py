@@ -216,84 +216,95 @@ def _sibling_ids(kind: str, ingest_id: str, flag: str) -> Column:
     return F.array_compact(ids)
 
 
-def records(rows: DataFrame, ingest_id: str, ingest_time: Column, fit_ids: str = "all") -> dict:
-    """The four tables as projections of prepared rows."""
-    good = rows.filter(F.size("errors") == 0)
-    run_ids = F.array("run_id")
-    whole_job = F.col("shares_sample")
-    every_environment = _sibling_ids(ENVIRONMENT, ingest_id, "has_environment")
-    every_fit = _sibling_ids(FIT, ingest_id, "has_fit")
-    if fit_ids == "first":
-        every_fit = F.slice(every_fit, 1, 1)
-    own_environment = F.array_compact(F.array("environment_id"))
+def runs_table(good: DataFrame, ingest_time: Column) -> DataFrame:
+    columns = reflectivity.record(
+        F.col("run_id"),
+        F.col("curve"),
+        F.col("who"),
+        F.col("geometry"),
+        F.col("nexus_file"),
+        F.col("linked_sample_id"),
+        F.col("environment_id"),
+        ingest_time,
+    )
+    return table(good, "reflectivity", columns)
+
+
+def environments_table(good: DataFrame, ingest_time: Column) -> DataFrame:
+    """Environments; a given text only replaces the instrument's own one."""
     description = F.when(
         F.col("parquet").isNotNull(),
         environment.instrument_description(F.col("environment"), F.col("handler")),
     ).otherwise(F.col("environment"))
-    no_chi = F.lit(None).cast("double")
-    datasets = F.array(
-        fit.dataset(
-            F.col("index"), F.col("run_id"), F.lit(None).cast("string"), no_chi, F.col("stack")
-        )
+    columns = environment.record(
+        F.col("environment_id"),
+        description,
+        layers.ambient(F.col("stack"))["material"],
+        F.col("temperature"),
+        F.col("pressure"),
+        F.col("found"),
+        F.array("run_id"),
+        ingest_time,
     )
-    return {
-        "reflectivity": table(
-            good,
-            "reflectivity",
-            reflectivity.record(
-                F.col("run_id"),
-                F.col("curve"),
-                F.col("who"),
-                F.col("geometry"),
-                F.col("nexus_file"),
-                F.col("linked_sample_id"),
-                F.col("environment_id"),
-                ingest_time,
-            ),
-        ),
-        "environment": table(
-            good.filter(F.col("environment_id").isNotNull()),
-            "environment",
-            environment.record(
-                F.col("environment_id"),
-                description,
-                layers.ambient(F.col("stack"))["material"],
-                F.col("temperature"),
-                F.col("pressure"),
-                F.col("found"),
-                run_ids,
-                ingest_time,
-            ),
-        ),
-        "sample": table(
-            good.filter("owns_sample"),
-            "sample",
-            sample.record(
-                F.col("linked_sample_id"),
-                F.col("stack"),
-                F.when(F.col("pos") == 0, F.col("sample_description")),
-                F.when(whole_job, every_environment).otherwise(own_environment),
-                F.when(whole_job, every_fit).otherwise(F.array("fit_id")),
-                ingest_time,
-            ),
-        ),
-        "reflectivity_model": table(
-            good.filter(F.col("fit_id").isNotNull()),
-            "reflectivity_model",
-            fit.record(
-                F.col("fit_id"),
-                F.col("model"),
-                datasets,
-                F.col("index"),
-                run_ids,
-                F.col("linked_sample_id"),
-                F.array_compact(F.array("linked_sample_id")),
-                no_chi,
-                fit.strategy(F.col("model.num_experiments")),
-                ingest_time,
-            ),
+    return table(good.filter(F.col("environment_id").isNotNull()), "environment", columns)
+
+
+def samples_table(
+    good: DataFrame, ingest_id: str, ingest_time: Column, fit_ids: str
+) -> DataFrame:
+    """Samples; a shared one lists the environments and fits of its whole job."""
+    whole_job = F.col("shares_sample")
+    every_fit = _sibling_ids(FIT, ingest_id, "has_fit")
+    if fit_ids == "first":
+        every_fit = F.slice(every_fit, 1, 1)
+    columns = sample.record(
+        F.col("linked_sample_id"),
+        F.col("stack"),
+        F.when(F.col("pos") == 0, F.col("sample_description")),
+        F.when(whole_job, _sibling_ids(ENVIRONMENT, ingest_id, "has_environment")).otherwise(
+            F.array_compact(F.array("environment_id"))
         ),
-    }
+        F.when(whole_job, every_fit).otherwise(F.array("fit_id")),
+        ingest_time,
+    )
+    return table(good.filter("owns_sample"), "sample", columns)
+
+
+def fits_table(good: DataFrame, ingest_time: Column) -> DataFrame:
+    no_chi = F.lit(None).cast("double")
+    only = fit.dataset(
+        F.col("index"), F.col("run_id"), F.lit(None).cast("string"), no_chi, F.col("stack")
+    )
+    columns = fit.record(
+        F.col("fit_id"),
+        F.col("model"),
+        F.array(only),
+        F.col("index"),
+        F.array("run_id"),
+        F.col("linked_sample_id"),
+        F.array_compact(F.array("linked_sample_id")),
+        no_chi,
+        fit.strategy(F.col("model.num_experiments")),
+        ingest_time,
+    )
+    return table(good.filter(F.col("fit_id").isNotNull()), "reflectivity_model", columns)
+
+
+def outcomes_table(rows: DataFrame, dry_run: bool) -> DataFrame:
+    done = F.size("errors") == 0
+    return issues.outcome(
+        issues.gate(rows),
+        TOOL,
+        VERSION,
+        params={
+            "reduced_input": F.col("reduced"),
+            "model_input": F.col("model_path"),
+            "nexus_input": F.col("nexus_file"),
+        },
+        artifacts={"run_id": F.when(done, F.col("run_id"))},
+        info={"ingest_status": F.when(done, F.lit("completed"))},
+        dry_run=dry_run,
+    )
 
 
 def assemble(
@@ -317,24 +328,28 @@ def assemble(
     named = measurements.withColumnRenamed("model", "model_path")
     wide = join_inputs(named, curves, models, metadata, logs)
     rows = prepare(wide, ingest_id, ingest_time, parse_text)
-    audit = rows.select("job", "pos", "run_id", "reduced", "model_path", "nexus_file", "environment_id", "errors", "warnings", "needs_review")
-    outcomes = issues.outcome(
-        issues.gate(audit),
-        TOOL,
-        VERSION,
-        params={
-            "reduced_input": F.col("reduced"),
-            "model_input": F.col("model_path"),
-            "nexus_input": F.col("nexus_file"),
-        },
-        artifacts={"run_id": F.when(F.size("errors") == 0, F.col("run_id"))},
-        info={"ingest_status": F.when(F.size("errors") == 0, F.lit("completed"))},
-        dry_run=dry_run,
+    good = rows.filter(F.size("errors") == 0)
+    audit = rows.select(
+        "job",
+        "pos",
+        "run_id",
+        "reduced",
+        "model_path",
+        "nexus_file",
+        "environment_id",
+        "errors",
+        "warnings",
+        "needs_review",
     )
     return Batch(
-        **records(rows, ingest_id, ingest_time, fit_ids),
-        issues=issues.explode_issues(audit, ["job", "pos"]),
-        outcomes=outcomes,
+        {
+            "reflectivity": lambda: runs_table(good, ingest_time),
+            "environment": lambda: environments_table(good, ingest_time),
+            "sample": lambda: samples_table(good, ingest_id, ingest_time, fit_ids),
+            "reflectivity_model": lambda: fits_table(good, ingest_time),
+            "issues": lambda: issues.explode_issues(audit, ["job", "pos"]),
+            "outcomes": lambda: outcomes_table(audit, dry_run),
+        },
         shared=[rows],
     )
 

@@ -2,25 +2,54 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 
 from ..schemas import TABLES, conform
 
 
-@dataclass
 class Batch:
-    """Tables of one ingest. ``shared`` are the parents they have in common."""
-
-    reflectivity: DataFrame
-    sample: DataFrame
-    environment: DataFrame
-    reflectivity_model: DataFrame
-    issues: DataFrame
-    outcomes: DataFrame
-    rejected: DataFrame | None = None
-    shared: list[DataFrame] = field(default_factory=list)
+    """Tables of one ingest, each planned when it is first asked for.
+
+    ``shared`` are the parents the tables have in common, ``rejected`` the
+    errors of jobs that were not assembled at all.
+    """
+
+    def __init__(
+        self,
+        build: dict[str, Callable[[], DataFrame]],
+        shared: list[DataFrame],
+        rejected: DataFrame | None = None,
+    ) -> None:
+        self._build = build
+        self.shared = shared
+        self.rejected = rejected
+
+    @cached_property
+    def reflectivity(self) -> DataFrame:
+        return self._build["reflectivity"]()
+
+    @cached_property
+    def sample(self) -> DataFrame:
+        return self._build["sample"]()
+
+    @cached_property
+    def environment(self) -> DataFrame:
+        return self._build["environment"]()
+
+    @cached_property
+    def reflectivity_model(self) -> DataFrame:
+        return self._build["reflectivity_model"]()
+
+    @cached_property
+    def issues(self) -> DataFrame:
+        return self._build["issues"]()
+
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        return self._build["outcomes"]()
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in TABLES}

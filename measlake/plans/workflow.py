@@ -155,6 +155,20 @@ def run_id(ingest_id: str, job: Column, path: Column, pos: Column) -> Column:
     return entity_id(RUN, ingest_id, job, path, pos)
 
 
+def _runs(linked: DataFrame, ingest_id: str, ingest_time: Column) -> DataFrame:
+    columns = reflectivity.record(
+        run_id(ingest_id, F.col("job"), F.col("path"), F.col("pos")),
+        F.col("curve"),
+        F.col("who"),
+        F.col("geometry"),
+        F.lit(None).cast("string"),
+        F.col("link.s"),
+        F.col("link.e"),
+        ingest_time,
+    )
+    return table(linked, "reflectivity", columns)
+
+
 def _environments(done: DataFrame, ingest_id: str, ingest_time: Column) -> DataFrame:
     rows = done.select(
         "job", "runs", "stack", F.posexplode("state_rows").alias("state_ord", "s")
@@ -329,6 +343,29 @@ def _job_issues(done: DataFrame) -> DataFrame:
     )
 
 
+def _run_issues(linked: DataFrame) -> DataFrame:
+    no_review = F.map_from_entries(F.array().cast("array<struct<key:string,value:string>>"))
+    return linked.select(
+        "job",
+        "pos",
+        issues.no_messages().alias("errors"),
+        reflectivity.warnings(F.col("curve"), F.col("meta"), F.col("who")).alias("warnings"),
+        no_review.alias("needs_review"),
+    )
+
+
+def _outcomes(decided: DataFrame, dry_run: bool) -> DataFrame:
+    return issues.outcome(
+        issues.gate(_job_issues(decided)),
+        TOOL,
+        VERSION,
+        params={"run_dir": F.col("job")},
+        artifacts={},
+        info={"ingest_status": F.when(F.size("errors") == 0, F.lit("completed"))},
+        dry_run=dry_run,
+    )
+
+
 def assemble_run_dirs(
     jobs: DataFrame,
     curves: DataFrame,
@@ -355,44 +392,16 @@ def assemble_run_dirs(
         ).alias("links"),
     )
     linked = located.join(per_job, "job").withColumn("link", F.get("links", F.col("state_ord")))
-    reflectivities = table(
-        linked,
-        "reflectivity",
-        reflectivity.record(
-            run_id(ingest_id, F.col("job"), F.col("path"), F.col("pos")),
-            F.col("curve"),
-            F.col("who"),
-            F.col("geometry"),
-            F.lit(None).cast("string"),
-            F.col("link.s"),
-            F.col("link.e"),
-            ingest_time,
-        ),
-    )
-    no_review = F.map_from_entries(F.array().cast("array<struct<key:string,value:string>>"))
-    run_issues = linked.select(
-        "job",
-        "pos",
-        issues.no_messages().alias("errors"),
-        reflectivity.warnings(F.col("curve"), F.col("meta"), F.col("who")).alias("warnings"),
-        no_review.alias("needs_review"),
-    )
-    audit = _job_issues(decided)
-    outcomes = issues.outcome(
-        issues.gate(audit),
-        TOOL,
-        VERSION,
-        params={"run_dir": F.col("job")},
-        artifacts={},
-        info={"ingest_status": F.when(F.size("errors") == 0, F.lit("completed"))},
-        dry_run=dry_run,
-    )
     return Batch(
-        reflectivity=reflectivities,
-        sample=_samples(done, sample_id is not None, ingest_time),
-        environment=_environments(done, ingest_id, ingest_time),
-        reflectivity_model=_fits(done, ingest_id, ingest_time),
-        issues=issues.explode_issues(audit.unionByName(run_issues), ["job", "pos"]),
-        outcomes=outcomes,
+        {
+            "reflectivity": lambda: _runs(linked, ingest_id, ingest_time),
+            "sample": lambda: _samples(done, sample_id is not None, ingest_time),
+            "environment": lambda: _environments(done, ingest_id, ingest_time),
+            "reflectivity_model": lambda: _fits(done, ingest_id, ingest_time),
+            "issues": lambda: issues.explode_issues(
+                _job_issues(decided).unionByName(_run_issues(linked)), ["job", "pos"]
+            ),
+            "outcomes": lambda: _outcomes(decided, dry_run),
+        },
         shared=[located, decided],
     )

@@ -24,7 +24,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: str = "*",
+    shuffle_partitions: int = 8,
+    memory: str = "8g",
+    extra: dict[str, str] | None = None,
+) -> SparkSession:
     """A single-machine session for tests and the bench."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -36,7 +41,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

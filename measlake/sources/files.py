@@ -20,10 +20,8 @@ def metadata_path(path: Column) -> Column:
 
 def read_texts(spark: SparkSession, paths: list[str] | str, glob: str | None = None) -> DataFrame:
     """One row per file: ``path`` and its whole ``content``."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(paths).select(
+    texts = spark.read.text(paths, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    return texts.select(
         metadata_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("content")
     )
 
@@ -32,7 +30,7 @@ def catalog(spark: SparkSession, roots: list[str], recursive: bool = True) -> Da
     """Every file under the search paths: ``path``, ``length``, ``root_ord``.
 
     Only the listing is read, no file content. Of two search paths that hold
-    the same file the earlier one counts.
+    the same file the earlier one counts. Spark leaves empty files out.
     """
     parts = []
     for ordinal, root in enumerate(roots):

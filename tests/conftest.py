@@ -16,7 +16,14 @@ WHEN = datetime.datetime(2026, 1, 2, 3, 4, 5)
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores="8", shuffle_partitions=4)
+    # Inputs are tiny: interpreted plans start faster than generated code. The
+    # queries of test_queries.py cover generated code.
+    interpreted = {
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+        "spark.default.parallelism": "2",
+    }
+    session = local_session(cores="4", shuffle_partitions=2, memory="6g", extra=interpreted)
     yield session
     session.stop()
 

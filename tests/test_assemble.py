@@ -10,7 +10,8 @@ from measlake import store
 from measlake.plans.assemble import assemble, assemble_manifests
 from measlake.schemas import TABLES, conform, detect_table
 from measlake.sinks import export, json_mirror, tables
-from measlake.sources import files, fit_model, manifest, reduced_text, run_records
+from measlake.plans.workflow import assemble_run_dirs
+from measlake.sources import files, fit_model, manifest, reduced_text, run_dirs, run_records
 
 STACK = [layer("air", 0.0), layer("film", 500.0, 6.5, "Cu"), layer("Si", 0.0, 2.07)]
 
@@ -273,15 +274,34 @@ def test_store_lookups(spark, ingest):
     assert store.fitted_layers(fits).count() == 9
 
 
+def test_run_directory_on_disk(spark, ingest, tmp_path):
+    run = tmp_path / "w" / "230539"
+    (run / "refl1d_output" / "fit").mkdir(parents=True)
+    curve = tmp_path / "REFL_5_x.txt"
+    curve.write_text(curve_text(5))
+    (run / "run_info.json").write_text(json.dumps({"data_file": str(curve)}, indent=2))
+    (run / "problem.json").write_text(json.dumps(model([STACK]), indent=2))
+    (run / "refl1d_output" / "fit" / "None-err.json").write_text("{}")
+    batch = assemble_run_dirs(run_dirs.read(spark, str(tmp_path / "w")), reduced_text.read(spark, str(curve)), **ingest)
+    (row,), (fit,) = batch.reflectivity.collect(), batch.reflectivity_model.collect()
+    assert row.run_number == "5" and fit.measurement_ids == [row.id] and row.sample_id == fit.sample_id
+    assert fit.model_file_path == str(run / "problem.json") and len(fit.layers) == 3
+
+
 def test_files_are_read_from_disk(spark, ingest, tmp_path):
     folder = tmp_path / "REF_L a%20b"
     folder.mkdir()
     path = folder / "REFL_200000 1.txt"
     path.write_text(curve_text(200000))
-    (folder / "model.json").write_text(json.dumps(model([STACK])))
-    (folder / "model-err.json").write_text("{}")
+    data = model([STACK], references={"t": {"name": "th", "fixed": False, "value": 3}})
+    data["object"]["models"][0]["sample"]["layers"][1]["thickness"] = {"__class__": "Reference", "id": "t"}
+    (folder / "model.json").write_text(json.dumps(data, indent=1))
+    (folder / "model-err.json").write_text('{"th":\n{"std": 0.25}}')
     got = reduced_text.read(spark, str(path))
-    assert got.collect()[0].path == str(path)
-    assert [r.path for r in fit_model.read(spark, str(folder)).collect()] == [str(folder / "model.json")]
+    (row,) = got.collect()
+    assert row.path == str(path) and len(row.q) == 12 and row.run_number == 200000
+    (read,) = fit_model.read(spark, str(folder)).collect()
+    film = read.datasets[0].layers[1]
+    assert read.path == str(folder / "model.json") and (film.thickness, film.thickness_std) == (3.0, 0.25)
     listed = files.catalog(spark, [str(folder)])
     assert {r.path for r in listed.collect()} == {str(p) for p in folder.iterdir()}
