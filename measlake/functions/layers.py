@@ -21,11 +21,14 @@ UNKNOWN_COMPOSITION = "Unknown"
 DEFAULT_AMBIENT = "air"
 
 
-def from_parsed(layer: Column, references: Column, errors: Column) -> Column:
-    """A resolved layer from one parsed layer of a model file."""
+def from_parsed(layer: Column, parameters: Column) -> Column:
+    """A resolved layer from one parsed layer of a model file.
+
+    ``parameters`` are the model's resolved references.
+    """
     material = layer["material"]
     given = F.array(layer["thickness"], layer["interface"], material["rho"], material["irho"])
-    resolved = F.transform(given, lambda text: params.resolve(text, references, errors))
+    resolved = F.transform(given, lambda text: params.resolve(text, parameters))
 
     def build(v: Column) -> Column:
         numbers = [

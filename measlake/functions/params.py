@@ -28,31 +28,46 @@ def free_count(references: Column) -> Column:
     return F.size(F.filter(F.map_values(references), is_free))
 
 
-def resolve(param: Column, references: Column, errors: Column) -> Column:
+def _resolved(text: Column, std: Column) -> Column:
+    return F.struct(
+        F.coalesce(_number(text), F.lit(0.0)).alias("value"), std.try_cast("double").alias("std")
+    )
+
+
+def _own_value(entry: Column) -> Column:
+    return F.coalesce(entry["slot"]["value"], entry["value"])
+
+
+def resolve_references(references: Column, errors: Column) -> Column:
+    """Map from reference id to its ``value`` and ``std``, once per model.
+
+    A reference's own ``std`` wins over the error file, which is keyed by
+    parameter name. Fixed parameters have none.
+    """
+
+    def entry(_: Column, ref: Column) -> Column:
+        listed = F.try_element_at(errors, F.coalesce(ref["name"], F.lit("")))["std"]
+        return _resolved(
+            _own_value(ref), F.when(is_free(ref), F.coalesce(ref["std"], listed))
+        )
+
+    return F.transform_values(references, entry)
+
+
+def resolve(param: Column, resolved: Column) -> Column:
     """Struct of ``value`` and ``std`` of a parameter given as JSON text.
 
-    A reference is looked up; its own ``std`` wins over the error file, which
-    is keyed by parameter name. Fixed and literal parameters have no ``std``.
+    A reference is looked up among the resolved ones; an unknown reference and
+    any other object give their own value, and only references have a ``std``.
     """
+    no_std = F.lit(None).cast("string")
+
+    def of_object(parsed: Column) -> Column:
+        target = F.when(
+            parsed["__class__"] == _REFERENCE_CLASS, F.try_element_at(resolved, parsed["id"])
+        )
+        return F.coalesce(target, _resolved(_own_value(parsed), no_std))
 
-    def pick(parsed: Column) -> Column:
-        is_reference = parsed["__class__"] == _REFERENCE_CLASS
-        target = F.when(is_reference, F.try_element_at(references, parsed["id"]))
-
-        def values(ref: Column) -> Column:
-            own = F.coalesce(parsed["slot"]["value"], parsed["value"])
-            looked_up = F.coalesce(ref["slot"]["value"], ref["value"])
-            text = (
-                F.when(parsed.isNull(), param).when(ref.isNotNull(), looked_up).otherwise(own)
-            )
-            listed = F.try_element_at(errors, F.coalesce(ref["name"], F.lit("")))["std"]
-            return F.struct(
-                F.coalesce(_number(text), F.lit(0.0)).alias("value"),
-                F.when(is_free(ref) & ref.isNotNull(), F.coalesce(ref["std"], listed))
-                .try_cast("double")
-                .alias("std"),
-            )
-
-        return let(target, values)
-
-    return let(F.when(F.startswith(param, F.lit("{")), F.from_json(param, PARAMETER)), pick)
+    return F.when(
+        F.startswith(param, F.lit("{")), let(F.from_json(param, PARAMETER), of_object)
+    ).otherwise(_resolved(param, no_std))

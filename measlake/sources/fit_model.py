@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import layers, names, params
 from ..operators import curve_match
+from ..operators.rows import once
 from .files import read_texts
 
 # The part of a model file that is read. Parameters stay text,
@@ -91,11 +92,21 @@ def parse(texts: DataFrame) -> DataFrame:
     resolved = F.transform(
         raw_stacks,
         lambda raw: F.coalesce(
-            F.transform(raw, lambda layer: layers.from_parsed(layer, F.col("refs"), e)),
+            F.transform(raw, lambda layer: layers.from_parsed(layer, F.col("parameters"))),
             F.array().cast(layers.STACK),
         ),
     )
-    stacked = parsed.withColumn("refs", references).withColumn("stacks", resolved)
+    # Generators keep these from being computed again inside the lambdas.
+    referenced = once(
+        parsed,
+        F.struct(
+            references.alias("refs"),
+            params.resolve_references(references, e).alias("parameters"),
+        ),
+        "refs",
+        "parameters",
+    )
+    stacked = referenced.withColumn("stacks", resolved)
 
     def dataset(x: Column, i: Column) -> Column:
         q, r = x["probe"]["Q"]["values"], x["probe"]["R"]["values"]
