@@ -66,26 +66,32 @@ def iso_time(text: Column) -> Column:
     )
 
 
-# Date spellings found in instrument headers, weekday removed.
+# Date spellings found in instrument headers, weekday removed, and
+# the shape that tells them apart.
+_CLOCK = r" \d{1,2}:\d{2}:\d{2}"
 _TIME_FORMATS = (
-    "MMM d HH:mm:ss yyyy",
-    "MMM d, yyyy HH:mm:ss",
-    "d MMM yyyy HH:mm:ss",
-    "yyyy/MM/dd HH:mm:ss",
-    "MM/dd/yyyy HH:mm:ss",
-    "d-MMM-yyyy HH:mm:ss",
-    "MMM d yyyy",
-    "d MMM yyyy",
-    "MM/dd/yyyy",
-    "yyyy/MM/dd",
+    (rf"^[A-Za-z]{{3}} \d{{1,2}}{_CLOCK} \d{{4}}$", "MMM d H:mm:ss yyyy"),
+    (rf"^[A-Za-z]{{3}} \d{{1,2}}, \d{{4}}{_CLOCK}$", "MMM d, yyyy H:mm:ss"),
+    (rf"^\d{{1,2}} [A-Za-z]{{3}} \d{{4}}{_CLOCK}$", "d MMM yyyy H:mm:ss"),
+    (rf"^\d{{4}}/\d{{1,2}}/\d{{1,2}}{_CLOCK}$", "yyyy/M/d H:mm:ss"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}}{_CLOCK}$", "M/d/yyyy H:mm:ss"),
+    (rf"^\d{{1,2}}-[A-Za-z]{{3}}-\d{{4}}{_CLOCK}$", "d-MMM-yyyy H:mm:ss"),
+    (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", "MMM d[,] yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
 )
+_WEEKDAY = r"^(?i)(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
 
 
 def any_time(text: Column) -> Column:
     """A time in ISO or in one of the usual header spellings, else null."""
-    plain = F.regexp_replace(
-        F.regexp_replace(text, r"^(?i)(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", ""), r"\s+", " "
-    )
-    return F.coalesce(
-        iso_time(text), *[F.try_to_timestamp(plain, F.lit(fmt)) for fmt in _TIME_FORMATS]
-    )
+
+    def spelled(plain: Column) -> Column:
+        pick = F
+        for shape, fmt in _TIME_FORMATS:
+            pick = pick.when(plain.rlike(shape), F.try_to_timestamp(plain, F.lit(fmt)))
+        return pick
+
+    plain = F.regexp_replace(F.regexp_replace(text, _WEEKDAY, ""), r"\s+", " ")
+    return F.coalesce(iso_time(text), let(plain, spelled))

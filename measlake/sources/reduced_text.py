@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import any_time, capture_text, non_empty, strip, to_number
+from ..operators.rows import once
 from .files import read_texts
 
 # Header lines the reader knows. White space may cross line ends.
@@ -48,31 +49,43 @@ def curve_points(lines: Column) -> Column:
 
 def parse(texts: DataFrame) -> DataFrame:
     """Read ``path`` and ``content`` into one row per curve file."""
-    lines = texts.withColumn("_lines", split_lines(F.col("content"))).select(
-        *[c for c in texts.columns if c != "content"],
-        header_text(F.col("_lines")).alias("header"),
-        curve_points(F.col("_lines")).alias("points"),
+    keep = [c for c in texts.columns if c != "content"]
+    # Each step's results are used several times by the next one.
+    lines = once(texts, F.struct(split_lines(F.col("content")).alias("lines")), "lines")
+    parts = once(
+        lines.select(*keep, "lines"),
+        F.struct(
+            header_text(F.col("lines")).alias("header"),
+            curve_points(F.col("lines")).alias("points"),
+        ),
+        "header",
+        "points",
     )
     header = F.col("header")
-    found = lines.select(
-        "*",
-        F.try_parse_json(capture_text(header, _META)).alias("_meta"),
+    found = once(
+        parts.select(*keep, "header", "points"),
+        F.struct(
+            strip(capture_text(header, _START)).alias("start"),
+            strip(capture_text(header, _REDUCED_AT)).alias("reduced"),
+            F.try_parse_json(capture_text(header, _META)).alias("meta"),
+        ),
+        "start",
+        "reduced",
+        "meta",
     )
-    meta = F.col("_meta")
 
     def meta_text(name: str) -> Column:
-        return F.try_variant_get(meta, f"$.{name}", "string")
+        return F.try_variant_get("meta", f"$.{name}", "string")
 
-    keep = [c for c in texts.columns if c != "content"]
     return found.select(
         *keep,
         capture_text(header, _EXPERIMENT, 1).alias("experiment_id"),
         capture_text(header, _EXPERIMENT, 2).try_cast("bigint").alias("run_number"),
         strip(capture_text(header, _REDUCTION)).alias("reduction_version"),
         strip(capture_text(header, _TITLE)).alias("run_title"),
-        any_time(strip(capture_text(header, _START))).alias("run_start_time"),
-        any_time(strip(capture_text(header, _REDUCED_AT))).alias("reduction_time"),
-        meta.alias("meta"),
+        any_time(F.col("start")).alias("run_start_time"),
+        any_time(F.col("reduced")).alias("reduction_time"),
+        "meta",
         F.struct(
             non_empty(meta_text("experiment")).alias("experiment"),
             meta_text("run_number").alias("run_number"),
@@ -83,10 +96,7 @@ def parse(texts: DataFrame) -> DataFrame:
             F.transform(F.regexp_extract_all(header, F.lit(_RUN_TABLE), F.lit(1)), to_number),
             lambda angle: angle.isNotNull(),
         ).alias("two_theta"),
-        F.col("points")["q"].alias("q"),
-        F.col("points")["r"].alias("r"),
-        F.col("points")["dr"].alias("dr"),
-        F.col("points")["dq"].alias("dq"),
+        *[F.col("points")[c].alias(c) for c in ("q", "r", "dr", "dq")],
     )
 
 
