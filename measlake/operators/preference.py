@@ -13,33 +13,46 @@ from pyspark.sql import functions as F
 from ..functions import instruments
 
 
-def log_values(
-    logs: DataFrame,
-    keys: list[str],
-    names: list[str],
-    order: list[str],
-    prefer_average: bool = True,
-) -> DataFrame:
-    """One row per key with ``log_values``: a map from name to value."""
-    record = F.struct("average_value", "value_numeric")
-    position = F.struct(*order)
+def first_logs(logs: DataFrame, keys: list[str], names: list[str], order: list[str]) -> DataFrame:
+    """One row per key with the first record of every name, ``log_0`` and so on.
+
+    A record starts with its order columns, so the smallest one is the first.
+    """
+    record = F.struct(*order, "average_value", "value_numeric")
     firsts = [
-        F.min_by(
-            F.when(F.col("log_name") == name, record),
-            F.when(F.col("log_name") == name, position),
-        ).alias(f"_{i}")
+        F.min(F.when(F.col("log_name") == name, record)).alias(f"log_{i}")
         for i, name in enumerate(names)
     ]
-    picked = (
-        logs.filter(F.col("log_name").isin(*names)).groupBy(*keys).agg(*firsts)
-    )
+    return logs.filter(F.col("log_name").isin(*names)).groupBy(*keys).agg(*firsts)
+
+
+def merge_firsts(firsts: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """First records of a wider key from those of narrower ones."""
+    return firsts.groupBy(*keys).agg(*[F.min(f"log_{i}").alias(f"log_{i}") for i, _ in enumerate(names)])
+
+
+def as_values(
+    firsts: DataFrame, keys: list[str], names: list[str], prefer_average: bool = True
+) -> DataFrame:
+    """One row per key with ``log_values``, a map from name to value."""
     entries = F.array(
         *[
             F.struct(
                 F.lit(name).alias("name"),
-                instruments.log_value(F.col(f"_{i}"), prefer_average).alias("value"),
+                instruments.log_value(F.col(f"log_{i}"), prefer_average).alias("value"),
             )
             for i, name in enumerate(names)
         ]
     )
-    return picked.select(*keys, F.map_from_entries(entries).alias("log_values"))
+    return firsts.select(*keys, F.map_from_entries(entries).alias("log_values"))
+
+
+def log_values(
+    logs: DataFrame,
+    keys: list[str],
+    names: list[str],
+    order: list[str],
+    prefer_average: bool = True,
+) -> DataFrame:
+    """First records per key, turned into values."""
+    return as_values(first_logs(logs, keys, names, order), keys, names, prefer_average)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import conditions, instruments, layers, names
 from ..ids import ENVIRONMENT, FIT, RUN, SAMPLE, entity_id
 from ..operators import curve_match, issues
-from ..operators.preference import log_values
 from ..operators.rows import once
 from ..records import environment, fit, reflectivity, sample
 from ..sources import manifest, run_records
@@ -61,11 +60,8 @@ def join_inputs(
     if logs is None:
         wide = wide.withColumn("log_values", F.lit(None).cast("map<string,double>"))
     else:
-        wanted = instruments.log_names()
-        named = logs.filter(F.col("log_name").isin(*wanted))
-        values = log_values(
-            run_records.in_scopes(named), ["dir", "scope"], wanted, ["file_path", "row_index"]
-        ).withColumnsRenamed({"dir": "_dir", "scope": "_scope"})
+        values = run_records.logs_of_run(logs, instruments.log_names())
+        values = values.withColumnsRenamed({"dir": "_dir", "scope": "_scope"})
         wide = wide.join(values, ["_dir", "_scope"], "left")
     curve = _as_struct(curves, "curve", "path")
     wide = wide.join(curve, F.col("reduced") == F.col("_curve_key"), "left")

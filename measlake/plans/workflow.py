@@ -21,6 +21,19 @@ from .assemble import TOOL, VERSION, selection_warning
 from .batch import Batch, table
 
 SHARED = "shared"
+# Runs of a directory per join key. A directory with more files gets several
+# keys, so its runs are spread over that many groups.
+RUNS_PER_CHUNK = 1000
+
+
+def _chunk(pos: Column) -> Column:
+    return F.floor(pos / F.lit(RUNS_PER_CHUNK)).cast("int")
+
+
+def per_chunk(jobs: DataFrame, file_count: Column) -> DataFrame:
+    """A directory's row once for every chunk of its files, as ``chunk``."""
+    last = F.greatest(_chunk(file_count - 1), F.lit(0))
+    return jobs.select("*", F.explode(F.sequence(F.lit(0), last)).alias("chunk"))
 
 
 def run_rows(jobs: DataFrame) -> DataFrame:
@@ -33,7 +46,8 @@ def run_rows(jobs: DataFrame) -> DataFrame:
             ),
         )
     )
-    return jobs.select("job", F.posexplode(listed).alias("pos", "f")).select("job", "pos", "f.*")
+    rows = jobs.select("job", F.posexplode(listed).alias("pos", "f"))
+    return rows.select("job", _chunk(F.col("pos")).alias("chunk"), "pos", "f.*")
 
 
 def locate_runs(jobs: DataFrame, curves: DataFrame, ingest_time: Column) -> DataFrame:
@@ -51,9 +65,16 @@ def locate_runs(jobs: DataFrame, curves: DataFrame, ingest_time: Column) -> Data
 
 def match_runs(located: DataFrame, jobs: DataFrame) -> DataFrame:
     """The dataset each run matches (J6). Of the curve only the result is kept."""
-    probes = jobs.select("job", F.transform("model.datasets", lambda d: d["probe"]).alias("probes"))
+    files = F.aggregate("states", F.lit(0), lambda n, s: n + F.coalesce(F.size(s["files"]), F.lit(0)))
+    probes = jobs.select(
+        "job",
+        F.transform("model.datasets", lambda d: d["probe"]).alias("probes"),
+        files.alias("files"),
+    )
+    probes = per_chunk(probes, F.col("files")).drop("files")
     narrow = located.select(
         "job",
+        "chunk",
         "pos",
         "state_ord",
         "path",
@@ -64,7 +85,7 @@ def match_runs(located: DataFrame, jobs: DataFrame) -> DataFrame:
     )
     winner = curve_match.best(curve_match.scores(F.col("q"), F.col("r"), F.col("probes")))
     matched = once(
-        narrow.join(probes, "job"),
+        narrow.join(probes, ["job", "chunk"]),
         F.struct(curve_match.matched_dataset(winner).alias("matched")),
         "matched",
     )
@@ -390,8 +411,11 @@ def assemble_run_dirs(
         F.transform(
             "state_rows", lambda s: F.struct(s["sample_id"].alias("s"), s["environment_id"].alias("e"))
         ).alias("links"),
+        F.size("runs").alias("files"),
     )
-    linked = located.join(per_job, "job").withColumn("link", F.get("links", F.col("state_ord")))
+    chunks = per_chunk(per_job, F.col("files")).drop("files")
+    linked = located.join(chunks, ["job", "chunk"])
+    linked = linked.withColumn("link", F.get("links", F.col("state_ord")))
     return Batch(
         {
             "reflectivity": lambda: _runs(linked, ingest_id, ingest_time),
@@ -403,5 +427,5 @@ def assemble_run_dirs(
             ),
             "outcomes": lambda: _outcomes(decided, dry_run),
         },
-        shared=[located, decided],
+        shared=[jobs, located, decided],
     )

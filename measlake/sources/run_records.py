@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions import names
-from ..operators.first_record import first_record
+from ..operators import preference
 from .files import metadata_path
 
 
@@ -91,16 +91,34 @@ def scope(run_number: Column) -> Column:
     return F.coalesce(run_number.cast("string"), F.lit(ANY_RUN))
 
 
-def in_scopes(records: DataFrame) -> DataFrame:
-    """Each record under its run number and under the folder as a whole."""
-    return records.withColumn(
-        "scope",
-        F.explode(F.array_compact(F.array(F.col("run_number").cast("string"), F.lit(ANY_RUN)))),
+def _in_scopes(of_runs: DataFrame, of_folders: DataFrame) -> DataFrame:
+    """Rows of runs and of whole folders under a common ``scope``."""
+    values = [c for c in of_folders.columns if c != "dir"]
+    return (
+        of_runs.filter(F.col("run_number").isNotNull())
+        .select("dir", scope(F.col("run_number")).alias("scope"), *values)
+        .unionByName(of_folders.select("dir", F.lit(ANY_RUN).alias("scope"), *values))
     )
 
 
 def record_of_run(records: DataFrame, as_name: str) -> DataFrame:
-    """First record per folder and run, as one struct column."""
-    values = [c for c in records.columns if c not in ("dir", "file_path", "row_index")]
-    picked = first_record(in_scopes(records), ["dir", "scope"], ["file_path", "row_index"], values)
-    return picked.select("dir", "scope", F.struct(*values).alias(as_name))
+    """First record per folder and run, as one struct column.
+
+    A folder's own first record, for runs without a number, is taken from the
+    first records of its runs, not from all rows again.
+    """
+    position = ("file_path", "row_index")
+    values = F.struct(*[c for c in records.columns if c not in ("dir", *position)])
+    first = F.min(F.struct(*position, values.alias("record"))).alias("first")
+    of_runs = records.groupBy("dir", "run_number").agg(first)
+    of_folders = of_runs.groupBy("dir").agg(F.min("first").alias("first"))
+    return _in_scopes(of_runs, of_folders).select(
+        "dir", "scope", F.col("first.record").alias(as_name)
+    )
+
+
+def logs_of_run(logs: DataFrame, names: list[str]) -> DataFrame:
+    """Values of the named logs per folder and run, as a map."""
+    of_runs = preference.first_logs(logs, ["dir", "run_number"], names, ["file_path", "row_index"])
+    of_folders = preference.merge_firsts(of_runs, ["dir"], names)
+    return preference.as_values(_in_scopes(of_runs, of_folders), ["dir", "scope"], names)

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from measlake import store
 from measlake.plans.assemble import assemble, assemble_manifests
 from measlake.plans.batch import Batch
 from measlake.plans.workflow import assemble_run_dirs
+from measlake.session import scratch_path
+from measlake.sinks import tables
 from measlake.sources import fit_model, manifest, reduced_text, run_dirs, run_records
 
 from .base import INGEST, composed, ingest_time, load, query, spread, sql_id, text
@@ -242,6 +245,49 @@ def measurement_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("severity", "message").agg(F.count(F.lit(1)).alias("n"))
 
 
+_L1_SUMMARY = f"""
+WITH {_L1}
+SELECT CASE o_orderstatus WHEN 'F' THEN CAST(o_orderkey AS VARCHAR) ELSE CAST(o_orderkey + 7 AS VARCHAR) END AS run_number,
+  run_id AS id, CAST(2 AS BIGINT) AS num_points, 0.1::DOUBLE AS q_min, 0.2::DOUBLE AS q_max,
+  CASE WHEN has_model THEN 'M' || layer_set END AS main_composition,
+  CASE WHEN has_model THEN CAST(3 - CASE WHEN o_custkey % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) END AS sample_layers,
+  CASE WHEN NOT has_env THEN NULL WHEN o_orderstatus = 'O' THEN 'cell ' || o_custkey ELSE 'Sample cell' END AS environment,
+  CASE WHEN o_orderstatus = 'O' THEN NULL WHEN special THEN nullif(st, 0) ELSE coalesce(st, te) END AS temperature,
+  CASE WHEN has_model THEN 'bumps' END AS software, CASE WHEN has_model THEN CAST(n AS INTEGER) END AS num_experiments
+FROM ids LEFT JOIN env ON env.k = o_orderkey
+"""
+
+
+@query("measurement_summary", _L1_SUMMARY)
+def measurement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary of every run over the four tables, written first and read back."""
+    base = scratch_path(spark, "measurements")
+    tables.write_batch(measurement_batch(spark, sf_dir), base)
+    names = ("reflectivity", "sample", "environment", "fit")
+    found = store.summary(*[tables.read_table(spark, base, name) for name in names])
+    return found.select(
+        "run_number", "id", F.col("num_points").cast("bigint").alias("num_points"), "q_min", "q_max",
+        "main_composition", F.col("sample_layers").cast("bigint").alias("sample_layers"),
+        "environment", "temperature", "software", "num_experiments",
+    )
+
+
+_WARNINGS_SQL = f"""
+WITH {_L1},
+w AS (
+  SELECT o_orderkey, 0 AS position, 'Auto-selected model dataset ' || (idx + 1) || ' of ' || n || ' (matched by reflectivity data)' AS message FROM ids WHERE has_model AND n > 1
+  UNION ALL SELECT o_orderkey, 1, 'Only 2 data points - unusually small dataset' FROM ids)
+SELECT CAST(o_orderkey AS VARCHAR) AS job, count(*) AS warnings, string_agg(message, '; ' ORDER BY position) AS shown FROM w GROUP BY 1
+"""
+
+
+@query("shown_warnings", _WARNINGS_SQL)
+def shown_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of warnings of every measurement, the first five listed."""
+    found = store.shown_warnings(measurement_batch(spark, sf_dir).issues, ["job"])
+    return found.select("job", "warnings", F.array_join("shown", "; ").alias("shown"))
+
+
 # --- manifests (L4) -----------------------------------------------------------
 
 
