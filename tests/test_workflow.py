@@ -5,7 +5,7 @@ import json
 from conftest import collect, curve_text, layer, model
 from pyspark.sql import functions as F
 
-from measlake.operators import curve_match
+from measlake.plans import workflow
 from measlake.plans.workflow import assemble_run_dirs
 from measlake.sources import reduced_text, run_dirs
 
@@ -206,5 +206,22 @@ def test_first_error_file_by_path(spark):
     assert row.job == "/w/x" and row.error_content == "A"
 
 
-def test_matcher_is_reused(spark):
-    assert curve_match.ACCEPT_BELOW == 0.5
+def test_directory_of_many_files_is_spread(spark, ingest, monkeypatch):
+    """Chunks only spread the work: ids, order and datasets stay the same."""
+    content = {f"/c/REFL_{i}.txt": curve_text(i, scale=4.0 ** (i % 2)) for i in range(1, 24)}
+    files = {
+        "/w/big/run_info.json": {"data_files": list(content)},
+        "/w/big/problem.json": model([STACK, OTHER], [probe_of(scale=4.0), probe_of(scale=1.0)]),
+        "/w/small/run_info.json": {"data_file": "/c/REFL_3.txt"},
+    }
+    results = []
+    for width in (1000, 5):
+        monkeypatch.setattr(workflow, "RUNS_PER_CHUNK", width)
+        batch = run(spark, ingest, files, content)
+        results.append((collect(batch.reflectivity), collect(batch.reflectivity_model)))
+    assert results[0] == results[1]
+    runs, fits = results[0]
+    (fit,) = fits.values()
+    assert len(runs) == 24 and len(fit["measurement_ids"]) == 23
+    assert [d["dataset_index"] for d in fit["datasets"]] == [0 if i % 2 else 1 for i in range(1, 24)]
+    assert [d["run_number"] for d in fit["datasets"]] == [str(i) for i in range(1, 24)]
