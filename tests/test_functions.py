@@ -10,12 +10,12 @@ from measlake.functions import conditions, curves, instruments, layers, names
 from measlake.sources import fit_model
 
 CONDITIONS = [
-    ("OCV measurement in D2O electrolyte (pH 8.25, 0.1 M NaHCO3, N2 sparged)", ("open_circuit", None, None, 8.25, ("NaHCO3", 0.1))),
-    ("Held at -1 V in 0.5 M KOH", ("potentiostatic", -1.0, "SHE", None, ("KOH", 0.5))),
-    ("Measured at +0.5 V vs RHE, pH=7", ("potentiostatic", 0.5, "RHE", 7.0, None)),
-    ("At OCV (about 0.2 V vs RHE)", ("open_circuit", None, None, None, None)),
-    ("Dry film measured in air, back reflection", (None, None, None, None, None)),
-    ("she prepared the sample at −1 V", ("potentiostatic", -1.0, "SHE", None, None)),
+    ("Resting at OCV in heavy water (pH 6.75, 0.2 M Na2SO4, argon)", ("open_circuit", None, None, 6.75, ("Na2SO4", 0.2))),
+    ("Kept at -2 V in 0.25 M LiOH", ("potentiostatic", -2.0, "SHE", None, ("LiOH", 0.25))),
+    ("Cell at +0.75 V vs RHE, pH=6", ("potentiostatic", 0.75, "RHE", 6.0, None)),
+    ("Near OCP, close to 0.4 V vs SCE", ("open_circuit", None, None, None, None)),
+    ("As-grown film under nitrogen", (None, None, None, None, None)),
+    ("then she set it to −3 V", ("potentiostatic", -3.0, "SHE", None, None)),
     ("0.3 V vs NHE and SCE", ("potentiostatic", 0.3, "SHE", None, None)),
     ("0.3 V vs ag / agcl", ("potentiostatic", 0.3, "Ag/AgCl", None, None)),
     ("0.3 V vs Hg/HgSO4 or Hg/HgO", ("potentiostatic", 0.3, "Hg/HgSO4", None, None)),
@@ -38,11 +38,11 @@ def test_conditions(spark):
 @pytest.mark.parametrize(
     "path,run,curve_run,proposal,instrument",
     [
-        ("/data/REF_L_218386_combined.txt", 218386, 218386, None, "REF_L"),
-        ("/SNS/REF_L/IPTS-34347/x/REFL_218386_auto.txt", 218386, 218386, "IPTS-34347", "REF_L"),
+        ("/data/REF_L_301122_joined.txt", 301122, 301122, None, "REF_L"),
+        ("/data/REF_L/IPTS-4711/x/REFL_301122_auto.txt", 301122, 301122, "IPTS-4711", "REF_L"),
         ("/d/refl_12.txt", 12, None, None, "REF_L"),
-        ("/d/model_218386.json", 218386, 218386, None, None),
-        ("/d/scan_218386_out/model.json", 218386, None, None, None),
+        ("/d/model_301122.json", 301122, 301122, None, None),
+        ("/d/scan_301122_out/model.json", 301122, None, None, None),
         ("/ipts-7/no_number.txt", None, None, "IPTS-7", None),
     ],
 )

@@ -114,19 +114,19 @@ def write(path, text="x"):
 
 def test_discovery_on_disk(spark, tmp_path):
     one, two = tmp_path / "one", tmp_path / "two"
-    write(two / "REFL_218386_a.txt", "# Experiment IPTS-3\nReduction")
-    write(one / "deep" / "REFL_218386_b.txt", "# Experiment IPTS-4\nReduction")
-    write(one / "model_218386.json", '{"sample": {"layers": []}}')
-    write(one / "x_218386_metadata.parquet")
-    write(one / "x_218386_events.parquet")
-    write(one / "x_218386_more.parquet")
-    write(one / "run_218386_" / "unrelated.parquet")
+    write(two / "REFL_301122_a.txt", "# Experiment IPTS-3\nReduction")
+    write(one / "deep" / "REFL_301122_b.txt", "# Experiment IPTS-4\nReduction")
+    write(one / "model_301122.json", '{"sample": {"layers": []}}')
+    write(one / "x_301122_metadata.parquet")
+    write(one / "x_301122_events.parquet")
+    write(one / "x_301122_more.parquet")
+    write(one / "run_301122_" / "unrelated.parquet")
     write(one / "REFL_99.txt", "# Experiment\nReduction")
     sets, found = discovery.discover_under(spark, [str(one), str(two)])
     rows = {r.run_number: r for r in sets.collect()}
-    assert set(rows) == {218386, 99}
-    row = rows[218386]
-    assert row.reduced_file == str(one / "deep" / "REFL_218386_b.txt") and row.proposal == "IPTS-3"
+    assert set(rows) == {301122, 99}
+    row = rows[301122]
+    assert row.reduced_file == str(one / "deep" / "REFL_301122_b.txt") and row.proposal == "IPTS-3"
     assert row.model_file and row.raw_file is None and row.other_parquet_count == 2
     assert row.completeness == 0.7 and row.parquet_dir == str(one)
     known = spark.createDataFrame([("/z/REF_L_99.h5",)], "path string")

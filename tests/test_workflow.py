@@ -32,7 +32,7 @@ def run(spark, ingest, files, curves, **options):
 
 
 CURVES = {f"/c/REFL_{i}.txt": curve_text(i, scale=4.0 ** (i - 1)) for i in (1, 2, 3)}
-FINAL = {"final_chi2": 1.5, "state": {"best_chi2": 9, "states": [{"extra_description": "OCV in 0.1 M NaHCO3, pH 8.25"}]}}
+FINAL = {"final_chi2": 1.5, "state": {"best_chi2": 9, "states": [{"extra_description": "Resting at OCV, 0.3 M Na2SO4, pH 6.5"}]}}
 
 
 def test_single_state_three_runs(spark, ingest):
@@ -53,7 +53,7 @@ def test_single_state_three_runs(spark, ingest):
     assert {r["environment_id"] for r in runs.values()} == {env["id"]}
     assert {r["sample_id"] for r in runs.values()} == {sample["id"]}
     assert set(env["measurement_ids"]) == set(runs)
-    assert env["control_mode"] == "open_circuit" and env["pH"] == 8.25
+    assert env["control_mode"] == "open_circuit" and env["pH"] == 6.5
     assert env["ambient_medium"]["name"] == "air"
     assert sample["description"] == "Cu on Si"
     assert sample["environment_ids"] == [env["id"]] and sample["fit_ids"] == [fit["id"]]
@@ -73,7 +73,7 @@ def test_single_state_three_runs(spark, ingest):
 def test_single_run_without_model(spark, ingest):
     files = {
         "/w/b/run_info.json": {"data_file": "/c/REFL_1.txt"},
-        "/w/b/checkpoints/004_fitting.json": {"state": {"best_chi2": 0, "current_chi2": 3, "states": [{"extra_description": "Held at -1 V"}]}},
+        "/w/b/checkpoints/004_fitting.json": {"state": {"best_chi2": 0, "current_chi2": 3, "states": [{"extra_description": "Kept at -1 V"}]}},
     }
     batch = run(spark, ingest, files, CURVES)
     (row,) = batch.reflectivity.collect()
@@ -116,7 +116,7 @@ def states_info(distinct=False, second_text=None):
     info = {
         "sample_description": "Cu on Si",
         "states": [
-            {"name": "D2O", "extra_description": "OCV, pH 8.25", "data_files": [{"file": "/c/REFL_1.txt"}, {"file": "/c/REFL_2.txt"}]},
+            {"name": "D2O", "extra_description": "OCV, pH 6.5", "data_files": [{"file": "/c/REFL_1.txt"}, {"file": "/c/REFL_2.txt"}]},
             second,
         ],
     }

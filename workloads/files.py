@@ -146,8 +146,8 @@ FROM sets
 
 
 def page_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of runs, twelve pages to a run; pages without an "e" have none."""
-    pages = load(spark, sf_dir, "pages").filter(F.col("url").contains("e"))
+    """Files of runs, twelve pages to a run; some are of no known kind."""
+    pages = load(spark, sf_dir, "pages")
     n = F.col("page_id")
     run = F.floor(n / 12) + 100000
     endings = (
@@ -159,6 +159,7 @@ def page_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, ending in enumerate(endings):
         name = name.when(n % 12 == i + 1, text("r_", run, ending))
     name = name.otherwise(F.lit("metadata.parquet"))
+    name = F.when(F.col("url").contains("e"), name).otherwise(text(name, ".dat"))
     content = F.when(
         n % 12 == 2, text('{"libraries": {"refl1d": {}}}', F.col("html"))
     ).when(n % 12 == 0, F.col("html"))
