@@ -6,7 +6,7 @@ join is needed. A new instrument is one more entry.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,7 +29,6 @@ class Instrument:
     temperature_logs: tuple[str, ...] = ()
     pressure_logs: tuple[str, ...] = ()
     zero_is_missing: bool = False
-    extra: dict[str, str] = field(default_factory=dict)
 
 
 # The known instruments, then the one for unknown ids.

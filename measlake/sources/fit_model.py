@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import layers, names, params
+from ..functions import layers, params
 from ..operators import curve_match
 from ..operators.rows import once
 from .files import read_texts

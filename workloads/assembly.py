@@ -13,7 +13,7 @@ from measlake.plans.batch import Batch
 from measlake.plans.workflow import assemble_run_dirs
 from measlake.session import scratch_path
 from measlake.sinks import tables
-from measlake.sources import fit_model, manifest, reduced_text, run_dirs, run_records
+from measlake.sources import fit_model, manifest, reduced_text, run_dirs
 
 from .base import INGEST, composed, ingest_time, load, query, spread, sql_id, text
 from .curves import curve_texts
