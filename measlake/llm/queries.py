@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from measlake.llm import secrets
-from measlake.llm.common import table
+from measlake.llm import mixing, secrets
+from measlake.llm.common import kept, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,3 +26,10 @@ def query(name: str, sql: str | None = None) -> Callable:
 @query("op2_secret_scans")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op6_source_mixing", mixing.SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sizes = kept(docs.select("doc_id", "source", mixing.words().alias("size")), "mix-sizes")
+    return mixing.mix(sizes).drop("source")

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from measlake.llm.common import gathered
@@ -369,12 +369,11 @@ def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         ),
         ",",
     )
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=rule.kind: s["kind"] == kind))
-        .cast("long")
-        .alias(f"n_{rule.kind}")
-        for rule in rules
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(rule.kind).alias(f"n_{rule.kind}") for rule in rules]
     return found.select("doc_id", *counts, joined.alias("spans")).withColumn(
         "base_sha256", F.sha2("spans", 256)
     )
