@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from measlake.llm import mixing, secrets
+from measlake.llm import mixing, packing, secrets
 from measlake.llm.common import kept, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,18 @@ def query(name: str, sql: str | None = None) -> Callable:
     return register
 
 
+def word_tokenizer() -> str:
+    """Path of the tokenizer the sequences are made for."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op1_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), word_tokenizer()))
+
+
 @query("op2_secret_scans")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
