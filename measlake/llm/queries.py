@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from measlake.llm import mixing, packing, secrets
+from measlake.llm import mixing, packing, secrets, sharding
 from measlake.llm.common import kept, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sizes = kept(docs.select("doc_id", "source", mixing.words().alias("size")), "mix-sizes")
     return mixing.mix(sizes).drop("source")
+
+
+@query("op9_sharding")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
