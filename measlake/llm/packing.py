@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measlake.llm.common import gathered
-from measlake.llm.tokens import Encoder
+from measlake.llm.tokens import encoder
 
 CAPACITY = 2048
 GROUP = 1 << 20
@@ -99,7 +99,7 @@ def pack(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encode = encoder(tokenizer).encode
         sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) * PER_TASK
         kind = None
         held: list[tuple] = []
@@ -124,7 +124,7 @@ def pack(
 
         for rows, texts in gathered(batches, target=1 << 20):
             kind = rows.schema.field("doc_id").type
-            encoded = encoder.encode([t.decode("utf-8", "replace") for t in texts])
+            encoded = encode([t.decode("utf-8", "replace") for t in texts])
             full = []
             for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encoded):
                 ids += closing

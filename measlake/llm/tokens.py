@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -21,7 +22,7 @@ WORD_END = "</w>"
 PLAIN = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 LETTERS = "a-zß-öø-ÿ"
 PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s{LETTERS}0-9]+")
-KEPT_WORDS = 150_000
+KEPT_WORDS = 300_000
 
 
 class Encoder:
@@ -82,7 +83,7 @@ class Encoder:
             parts.append(PARTS.findall(text.lower()) if plain else None)
         if len(self.new) > KEPT_WORDS:
             self.new, self.old = {}, self.new
-        missing = {w for words in parts if words for w in words}.difference(self.new)
+        missing = set().union(*filter(None, parts)).difference(self.new)
         fresh = []
         for word in missing:
             if (ids := self.old.get(word)) is not None:
@@ -96,3 +97,9 @@ class Encoder:
             self.whole(text) if words is None else b"".join(map(known, words))
             for text, words in zip(texts, parts)
         ]
+
+
+@functools.lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One per worker process, so that tasks which follow each other share its words."""
+    return Encoder(path)
