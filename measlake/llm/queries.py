@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from measlake.llm import ann, exact_topk, mixing, packing, secrets, sharding, simhash
+from measlake.llm import ann, exact_topk, mixing, packing, quality, secrets, sharding, simhash
 from measlake.llm.common import kept, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op4_exact_topk", exact_topk.SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
