@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from measlake.llm import ann, exact_topk, mixing, packing, quality, secrets, sharding, simhash
+from measlake.llm import ann, exact_topk, mixing, packing, quality, repeats, secrets, sharding, simhash
 from measlake.llm.common import kept, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sizes).drop("source")
 
 
+@query("op7_suffix_array_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.cut_repeats(table(spark, sf_dir, "documents")))
+
+
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
