@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,6 +82,11 @@ def arrays_of(table: pa.Table) -> Iterator[tuple]:
         yield first, second, *unpacked(row["data"], row["bytes"])
 
 
+def steps(ascending: np.ndarray) -> np.ndarray:
+    """Differences of ascending numbers: small ones, which compress well."""
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
+
+
 class Chunk:
     """The documents of a chunk, one behind the other, in the order of their ids."""
 
@@ -138,9 +144,9 @@ class Chunk:
         before = np.minimum(places - self.starts[document], reach)
         behind = np.minimum(self.ends[document] - places, self.least)
         wide = np.concatenate([np.zeros(reach, np.uint8), self.data, np.zeros(self.least, np.uint8)])
-        left = wide[places[:, None] + (reach - 1 - np.arange(reach))]
-        right = wide[places[:, None] + (reach + np.arange(self.least))]
-        left[np.arange(reach) >= before[:, None]] = 0
+        left = sliding_window_view(wide, reach)[places][:, ::-1]
+        right = sliding_window_view(wide, self.least)[places + reach]
+        left = np.where(np.arange(reach) < before[:, None], left, np.uint8(0))
         right[np.arange(self.least) >= behind[:, None]] = 0
         return left, right, before.astype(np.uint8), behind.astype(np.uint8)
 
@@ -311,7 +317,7 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
         distinct = found[begins]
         lasts = np.append(begins[1:], len(found)) - 1
         several = rank[begins] != rank[lasts] if len(found) else np.zeros(0, bool)
-        rows = [(buckets + number, number, blob(places, skipped))]
+        rows = [(buckets + number, number, blob(steps(places), skipped))]
         for bucket, own in grouped_by_bucket(bucket_of(distinct)):
             values = short(distinct[own])
             rows.append((bucket, number, blob(values[~several[own]], values[several[own]])))
@@ -350,7 +356,7 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
         wanted = []
         for _, bucket, *arrays in arrays_of(table):
             if bucket >= buckets:
-                places, skipped = arrays
+                places, skipped = np.cumsum(arrays[0]), arrays[1]
             else:
                 wanted.append(arrays[0].astype(np.uint64) | np.uint64(bucket << 32))
         hashes = chunk.hashes(places)
@@ -358,35 +364,30 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
         full = short(hashes).astype(np.uint64) | (bucket.astype(np.uint64) << np.uint64(32))
         there = np.isin(full, np.concatenate(wanted)) if wanted else np.zeros(len(full), bool)
         places, bucket = places[there], bucket[there]
-        rows = [(buckets + number, number, blob(places, skipped))]
+        rows = [(buckets + number, number, blob(steps(places), skipped))]
         if len(places):
             (left, right, before, behind), first, _ = distinct_contexts(chunk, places)
             ranks = chunk.ranks[chunk.document(places)]
             for to, own in grouped_by_bucket(bucket[first]):
                 at = first[own]
-                rows.append(
-                    (
-                        to,
-                        number,
-                        blob(left[at], right[at], before[at], behind[at], ranks[at], own),
-                    )
-                )
+                parts = left[at], right[at], before[at], behind[at]
+                rows.append((to, number, blob(*parts, steps(ranks[at]), steps(own))))
         return rows_of(rows, ["bucket", "chunk"])
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
         if bucket >= buckets:
             return table.select(["chunk", "bucket", "bytes", "data"])
-        sent = list(arrays_of(table))
-        parts = [np.concatenate(p) for p in zip(*(s[2:7] for s in sent))]
+        sent = [(number, *a[:4], *map(np.cumsum, a[4:])) for _, number, *a in arrays_of(table)]
+        parts = [np.concatenate(p) for p in zip(*(s[1:6] for s in sent))]
         masks = repeated(*parts, gram, least)
         rows, at = [], 0
-        for _, number, *arrays in sent:
-            own, numbers = masks[at : at + len(arrays[5])], arrays[5]
+        for number, *_, numbers in sent:
+            own = masks[at : at + len(numbers)]
             at += len(own)
             hit = own > 0
             if hit.any():
-                rows.append((number, bucket, blob(numbers[hit], own[hit])))
+                rows.append((number, bucket, blob(steps(numbers[hit]), own[hit])))
         return rows_of(rows, ["chunk", "bucket"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -397,7 +398,7 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
         sent = []
         for _, bucket, *arrays in arrays_of(table):
             if bucket >= buckets:
-                places, skipped = arrays
+                places, skipped = np.cumsum(arrays[0]), arrays[1]
             else:
                 sent.append(arrays)
         size = len(chunk.data)
@@ -406,7 +407,7 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
             (_, _, before, behind), first, which = distinct_contexts(chunk, places)
             masks = np.zeros(len(first), dtype=np.uint64)
             for numbers, values in sent:
-                masks[numbers] = values
+                masks[np.cumsum(numbers)] = values
             ranks = chunk.ranks[chunk.document(places)]
             own = masks[which]
             # The same context in a smaller document of this chunk: all strings repeat it.
