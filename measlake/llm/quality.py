@@ -21,6 +21,7 @@ and never learnt from. Words over a megabyte are cut. Other columns are not read
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,8 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from measlake.llm.common import gathered
+from measlake.llm.words import Words, kinds_of
 
-BUCKETS = 1 << 14
+BUCKET_BITS = 14
+BUCKETS = 1 << BUCKET_BITS
 DIMENSIONS = 32
 SIGNS = 4
 WINDOW = 2
@@ -45,60 +48,22 @@ FOLDS = 5
 CUT = 0.3
 SEED = 3
 
-PRIME = 0x100000001B3
-INVERSE = pow(PRIME, -1, 1 << 64)
-# Kind of each byte: 0 space, 1 letter (with all of a character beyond ASCII), 2 digit, 3 sign.
-KINDS = np.array(
-    [
-        0 if chr(b).isspace() or b < 32 else 2 if 48 <= b < 58 else 1 if chr(b).isalpha() else 3
-        for b in range(128)
-    ]
-    + [1] * 128,
-    dtype=np.int8,
+# Letters (with all characters beyond ASCII), digits, other signs.
+KINDS = kinds_of(
+    string.ascii_letters, string.digits, "".join(set(string.punctuation + "\x7f"))
 )
 
 
-def powers(base: int, count: int) -> np.ndarray:
-    steps = np.full(count, base, dtype=np.uint64)
-    steps[0] = 1
-    return np.multiply.accumulate(steps)
-
-
-class Words:
-    """Buckets of the words of byte strings, by a rolling hash over whole slices."""
+class Buckets:
+    """Buckets of the words of many texts."""
 
     def __init__(self) -> None:
-        self.up, self.down = powers(PRIME, SLICE + 1), powers(INVERSE, SLICE + 1)
-
-    def slice(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First byte and bucket of each word."""
-        kinds = KINDS[data]
-        starts = np.flatnonzero(np.diff(kinds, prepend=-1))
-        ends = np.append(starts[1:], len(data))
-        word = kinds[starts] > 0
-        starts, ends = starts[word], ends[word]
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=sums[1:])
-        mixed = (sums[ends] - sums[starts]) * self.down[starts]
-        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-        return starts, (mixed >> np.uint64(64 - 14)).astype(np.int32)
+        self.words = Words(KINDS)
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of all words in order, and the first word of each text (and the end)."""
-        data = np.frombuffer(b" ".join(texts), dtype=np.uint8)
-        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        starts, buckets = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-        first = 0
-        while first < len(data):
-            end = min(first + SLICE, len(data))
-            if end < len(data):
-                spaces = np.flatnonzero(KINDS[data[first:end]] == 0)
-                end = first + int(spaces[-1]) + 1 if len(spaces) else end
-            found, own = self.slice(data[first:end])
-            starts.append(found + first)
-            buckets.append(own)
-            first = end
-        return np.concatenate(buckets), np.searchsorted(np.concatenate(starts), begins)
+        hashes, firsts = self.words(texts)
+        return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int32), firsts
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +79,7 @@ def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Vectors of length one (or zero) of all buckets, and how often each one's words occur."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words = Buckets()
         places, signs = index_vectors()
         total = np.zeros(BUCKETS * DIMENSIONS)
         often = np.zeros(BUCKETS)
@@ -177,7 +142,7 @@ class Pooling:
         share = often / max(1.0, often.sum())
         return cls(vectors, (RARE / (RARE + share)).astype(np.float32))
 
-    def __call__(self, words: Words, texts: list[bytes]) -> np.ndarray:
+    def __call__(self, words: Buckets, texts: list[bytes]) -> np.ndarray:
         buckets, firsts = words(texts)
         counts = np.diff(firsts)
         some = counts > 0
@@ -316,7 +281,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[Pooling, Network]:
     good = {row.doc_id: row.quality for row in known.collect()}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words = Buckets()
         for rows, texts in gathered(batches, target=SLICE):
             ids = rows.column("doc_id").to_pylist()
             own = [i for i, doc_id in enumerate(ids) if doc_id in good]
@@ -353,7 +318,7 @@ def with_scores(
     kept_columns = list(dict.fromkeys(["doc_id", *others]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words = Buckets()
         for rows, texts in gathered(batches, target=SLICE):
             scores = network(pooling(words, texts))
             found = rows.select(kept_columns).append_column(column, pa.array(scores))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from measlake.llm import ann, exact_topk, mixing, packing, quality, repeats, secrets, sharding, simhash
+from measlake.llm import ann, exact_topk, licenses, mixing, packing, quality, repeats, secrets, sharding, simhash
 from measlake.llm.common import kept, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_sharding")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op10_license_scans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.find_licenses(table(spark, sf_dir, "documents")))
