@@ -6,10 +6,11 @@ the index holds each projection as an array of its own, sorted. A query opens a
 window around itself in each of them, and a vector collides with it once for
 every window that holds it. Windows are as wide as the radius in question, so a
 vector at that distance collides in a known share of them; the radius grows step
-by step (virtual rehashing: the arrays stay, windows widen). Vectors that
-collide often enough to be within the radius, but for a chance of ``MISS``, are
-verified by their exact cosine. A query is done with a block when the radius has
-reached its k-th nearest so far; a bounded sample gives the first of these.
+by step towards the distance of the query's k-th nearest so far (virtual
+rehashing: the arrays stay, windows widen). Vectors that collide often enough to
+be within the radius, but for a chance of ``MISS``, are verified by their exact
+cosine. A query is done with a block when the radius has reached its k-th
+nearest; a bounded sample gives the first of these.
 
 Every vector is in the index; there is no cap on candidates. Rows without an id,
 vectors that are null, empty or zero or hold null or non-finite components, take
@@ -33,8 +34,8 @@ from measlake.llm.vectors import Best, Blocks, mapped, matrices, ranked, sample
 
 PROJECTIONS = 96
 MISS = 0.02
-FIRST = 0.25
-GROWTH = 1.4
+# Radii as shares of the distance of the k-th nearest so far.
+STEPS = (0.5, 0.75, 1.0)
 SAMPLE = 2048
 BLOCK = 4096
 GROUP = 128
@@ -78,32 +79,54 @@ class Index:
     def __init__(self, ids: np.ndarray, values: np.ndarray, order: np.ndarray, line: np.ndarray):
         self.ids, self.values, self.order, self.line = ids, values, order, line
 
-    def search(self, query: int, vector: np.ndarray, place: np.ndarray, best: Best, floor: float):
+    def search(
+        self, ids: np.ndarray, vectors: np.ndarray, places: np.ndarray, best: Best, floors: np.ndarray
+    ) -> None:
         """Offer what collides often enough, until the radius reaches the k-th nearest."""
+        goals = np.array(
+            [distance(best.worst(q, f)) + 1e-9 for q, f in zip(ids.tolist(), floors.tolist())]
+        )
+        # Ends of all windows: by step, projection and query.
+        low = [[a.searchsorted(p) for a, p in zip(self.line, places.T - s * goals)] for s in STEPS]
+        high = [
+            [a.searchsorted(p, "right") for a, p in zip(self.line, places.T + s * goals)]
+            for s in STEPS
+        ]
+        low, high = np.array(low), np.array(high)
+        for n, query in enumerate(ids.tolist()):
+            self.widen(query, vectors[n], goals[n], low[:, :, n], high[:, :, n], best, floors[n])
+
+    def widen(
+        self,
+        query: int,
+        vector: np.ndarray,
+        goal: float,
+        low: np.ndarray,
+        high: np.ndarray,
+        best: Best,
+        floor: float,
+    ) -> None:
+        """The windows of one query, step by step."""
         needed, count = threshold(), len(self.ids)
         hits = np.zeros(count, dtype=np.int64)
         seen = np.zeros(count, dtype=bool)
-        low = high = None
-        radius = FIRST
-        while True:
-            goal = distance(best.worst(query, floor)) + 1e-9
-            radius = min(radius, goal)
-            new_low = [int(a.searchsorted(p - radius)) for a, p in zip(self.line, place)]
-            new_high = [int(a.searchsorted(p + radius, "right")) for a, p in zip(self.line, place)]
-            if low is None:
-                rings = [o[a:b] for o, a, b in zip(self.order, new_low, new_high)]
+        for step, share in enumerate(STEPS):
+            if step == 0:
+                ends = [(low[0], high[0])]
             else:
-                rings = [o[a:b] for o, a, b in zip(self.order, new_low, low)]
-                rings += [o[a:b] for o, a, b in zip(self.order, high, new_high)]
+                ends = [(low[step], low[step - 1]), (high[step - 1], high[step])]
+            rings = [
+                order[a:b]
+                for first, last in ends
+                for order, a, b in zip(self.order, first.tolist(), last.tolist())
+            ]
             hits += np.bincount(np.concatenate(rings), minlength=count)
-            low, high = new_low, new_high
             fresh = np.flatnonzero((hits >= needed) & ~seen)
             if len(fresh):
                 seen[fresh] = True
                 best.offer(query, cosines(vector, self.values[fresh]), self.ids[fresh])
-            if radius >= goal or radius >= 2:
+            if share * goal >= distance(best.worst(query, floor)) + 1e-9:
                 return
-            radius *= GROWTH
 
 
 def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
@@ -190,13 +213,13 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
                     )
                 queries = np.frombuffer(row["q_values"]).reshape(-1, length)
                 places = units(queries) @ directions(length)
-                for query, vector, place, floor in zip(
-                    np.frombuffer(row["q_ids"], dtype=np.int64).tolist(),
+                found.search(
+                    np.frombuffer(row["q_ids"], dtype=np.int64),
                     queries,
                     places,
-                    np.frombuffer(row["floor"]).tolist(),
-                ):
-                    found.search(query, vector, place, best, floor)
+                    best,
+                    np.frombuffer(row["floor"]),
+                )
                 if best.full():
                     yield best.drain(pa.float64())
         yield best.drain(pa.float64())
