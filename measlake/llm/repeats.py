@@ -284,11 +284,13 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
     prints = kept(
         docs.select("rank", "chunk", F.md5("text").alias("print")), "repeats-prints"
     )
-    firsts = (
+    # Written first, so that the join below may split a text with very many copies.
+    firsts = kept(
         prints.groupBy("print")
         .agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .drop("n")
+        .drop("n"),
+        "repeats-firsts",
     )
     copies = kept(
         prints.join(firsts, "print").where("rank > first").select("chunk", "rank"),
