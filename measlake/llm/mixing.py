@@ -83,10 +83,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
 
     Adds source_size, target and taken (words, repeats counted).
     """
-    docs = docs.drop("rank", "rows", "source_size", "target", "taken")
+    docs = docs.drop("source_size", "target", "taken")
     sources = kept(targets(docs.select("source", "size"), weights, most), "mix-sources")
     budget = F.floor("target").cast("long")
-    named = sources.withColumnRenamed("source", "__name")
+    named = sources.withColumnsRenamed({"source": "__name", "rank": "__rank", "rows": "__rows"})
     share = F.when(F.col("source_size") > 0, F.col("source_size"))
     drawn = (
         docs.join(named, F.col("source").eqNullSafe(F.col("__name")))
@@ -104,7 +104,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
             F.floor(
                 F.conv(F.substring("__key", 1, 8), 16, 10).cast("double")
                 / 2**32
-                * F.ceil(F.col("rows") / RANGE_ROWS)
+                * F.ceil(F.col("__rows") / RANGE_ROWS)
             ).cast("long"),
         )
     )
@@ -112,14 +112,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
         Window.unboundedPreceding, -1
     )
     ranges = (
-        drawn.select(F.col("rank").alias("__name"), F.col("__range").alias("__part"), "size")
+        drawn.select(F.col("__rank").alias("__name"), F.col("__range").alias("__part"), "size")
         .groupBy("__name", "__part")
         .agg(F.sum("size").alias("__sum"))
         .withColumn("__offset", F.coalesce(F.sum("__sum").over(before), F.lit(0)))
         .drop("__sum")
     )
     within = (
-        Window.partitionBy("rank", "__range")
+        Window.partitionBy("__rank", "__range")
         .orderBy("__key", "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -128,7 +128,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
         drawn.withColumn("__inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
         .join(
             kept(ranges, "mix-ranges"),
-            (F.col("rank") == F.col("__name")) & (F.col("__range") == F.col("__part")),
+            (F.col("__rank") == F.col("__name")) & (F.col("__range") == F.col("__part")),
         )
         .withColumn(
             "taken",
@@ -146,26 +146,33 @@ def mixed_documents(
 
     Columns are those of ``docs``; ``n_chars``, if there, follows a cut text.
     """
-    taken = mix(docs.withColumn("size", words()), weights, most).where("taken > 0")
+    own = docs.select(
+        F.struct(*docs.columns).alias("__row"), "doc_id", "source", words().alias("size")
+    )
+    taken = mix(own, weights, most).where("taken > 0")
     copies = taken.withColumn(
         "__copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size"))))
     )
     left = F.col("taken") - (F.col("__copy") - 1) * F.col("size")
     # The text behind the first `left` words is what a split with that limit leaves over.
-    rest = F.split("text", f"(?<=[^{SPACE}])[{SPACE}]+", (left + 1).cast("int"))
-    cut = F.expr("substring(text, 1, length(text) - length(__rest))")
-    whole = left >= F.col("size")
-    copies = copies.withColumn(
-        "__rest", F.when(~whole, F.element_at(rest, (left + 1).cast("int")))
-    ).withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        copies = copies.withColumn(
-            "n_chars",
-            F.when(F.col("__rest").isNull(), F.col("n_chars")).otherwise(
-                F.length("text").cast(docs.schema["n_chars"].dataType)
-            ),
-        )
-    return copies.select(*docs.columns)
+    text, limit = F.col("__row.text"), (left + 1).cast("int")
+    parts = F.split(text, f"(?<=[^{SPACE}])[{SPACE}]+", limit)
+    rest = F.when(left < F.col("size"), F.element_at(parts, limit))
+    copies = copies.withColumn("__rest", rest).withColumn(
+        "__text",
+        F.when(F.col("__rest").isNull(), text).otherwise(
+            F.rtrim(
+                F.substring(text, F.lit(1), F.length(text) - F.length("__rest")),
+                F.lit(" \t\n\x0b\x0c\r"),
+            )
+        ),
+    )
+    columns = {name: F.col("__row").getField(name) for name in docs.columns}
+    columns["text"] = F.col("__text")
+    if "n_chars" in columns:
+        length = F.length("__text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("__rest").isNull(), columns["n_chars"]).otherwise(length)
+    return copies.select(*[column.alias(name) for name, column in columns.items()])
 
 
 SQL = r"""

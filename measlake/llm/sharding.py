@@ -61,16 +61,16 @@ def quantiles(sample: list[tuple[str, int]], ranges: int) -> list[str]:
 
 
 def in_ranges(records: DataFrame, splitters: list[str]) -> DataFrame:
-    """Adds ``range``, the number of splitters that a key is not below."""
+    """Adds ``__range``, the number of splitters that a key is not below."""
     bounds = np.array(splitters, dtype="S32")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.array(batch.column("key").cast(pa.binary()).to_pylist(), dtype="S32")
             found = np.searchsorted(bounds, keys, side="right").astype(np.int32)
-            yield batch.append_column("range", pa.array(found))
+            yield batch.append_column("__range", pa.array(found))
 
-    return records.mapInArrow(find, f"{records.schema.simpleString()[7:-1]},range:int")
+    return records.mapInArrow(find, f"{records.schema.simpleString()[7:-1]},__range:int")
 
 
 def ranges_of(records: DataFrame, shards: int) -> tuple[list[str], list]:
@@ -85,7 +85,7 @@ def ranges_of(records: DataFrame, shards: int) -> tuple[list[str], list]:
     for turn in range(ROUNDS + 1):
         found = in_ranges(records.select("key", "size"), splitters)
         totals = sorted(
-            found.groupBy("range")
+            found.groupBy("__range")
             .agg(F.sum("size"), F.count(F.lit(1)), F.max("size"), F.min("key"), F.max("key"))
             .collect()
         )
@@ -94,7 +94,7 @@ def ranges_of(records: DataFrame, shards: int) -> tuple[list[str], list]:
         if turn == ROUNDS or not over:
             break
         for number, size, *_ in over:
-            inside = found.where(F.col("range") == number)
+            inside = found.where(F.col("__range") == number)
             chance = F.least(F.lit(1.0), F.col("size") * SAMPLES / F.lit(each))
             splitters += quantiles(sampled(inside, chance), int(size / each) + 1)
         splitters = sorted(set(splitters))
@@ -103,7 +103,7 @@ def ranges_of(records: DataFrame, shards: int) -> tuple[list[str], list]:
 
 def shard(records: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Records with a size and a key, and for each its shard and slot in it (gapless from 0)."""
-    records = records.drop("shard", "slot", "range")
+    records = records.drop("shard", "slot", "__range")
     splitters, totals = ranges_of(records, shards)
     if not totals:
         return records.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}).limit(0)
@@ -115,9 +115,9 @@ def shard(records: DataFrame, shards: int = SHARDS) -> DataFrame:
     bytes_before, rows_before = np.cumsum(bytes_in).tolist(), np.cumsum(rows_in).tolist()
 
     def before(values: list[int]) -> Column:
-        return F.element_at(F.lit(values).cast("array<bigint>"), F.col("range") + 1)
+        return F.element_at(F.lit(values).cast("array<bigint>"), F.col("__range") + 1)
 
-    in_order = Window.partitionBy("range").orderBy("key", "doc_id", "size")
+    in_order = Window.partitionBy("__range").orderBy("key", "doc_id", "size")
     reached = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     middle = 2 * (before(bytes_before) + reached) - F.col("size")
     numbered = kept(
@@ -127,7 +127,7 @@ def shard(records: DataFrame, shards: int = SHARDS) -> DataFrame:
             F.least(F.lit(shards - 1), F.floor(middle * shards / (2 * total))).cast("int"),
         )
         .withColumn("slot", before(rows_before) + F.row_number().over(in_order) - 1)
-        .drop("range"),
+        .drop("__range"),
         "shards",
     )
     firsts = [0] * shards
@@ -139,7 +139,10 @@ def shard(records: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The documents with their shard and slot."""
-    return shard(sized(docs), shards).drop("key", "size")
+    own = sized(docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "text"))
+    placed = shard(own.drop("text"), shards)
+    columns = [F.col("__row").getField(c).alias(c) for c in docs.drop("shard", "slot").columns]
+    return placed.select(*columns, "shard", "slot")
 
 
 def write_shards(placed: DataFrame, path: str) -> None:

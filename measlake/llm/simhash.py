@@ -160,13 +160,13 @@ def links(prints: DataFrame, count: int, bits: int = BITS) -> DataFrame:
             found = np.concatenate(held).view(np.uint64)
             index, anchor, living = visits(found, lengths, bits)
             mixed = (anchor * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
-            bucket = (mixed % np.uint64(buckets)).astype(np.int32)
+            bucket = (mixed % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
             groups = np.split(order, cuts)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([int(bucket[g[0]]) for g in groups], pa.int32()),
+                    pa.array([int(bucket[g[0]]) for g in groups], pa.int64()),
                     pa.array([anchor[g].tobytes() for g in groups], pa.binary()),
                     pa.array([found[index[g]].tobytes() for g in groups], pa.binary()),
                     pa.array([living[g].tobytes() for g in groups], pa.binary()),
@@ -198,7 +198,7 @@ def links(prints: DataFrame, count: int, bits: int = BITS) -> DataFrame:
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     packed = prints.select("fp").mapInArrow(
-        spread, "bucket int, anchors binary, prints binary, living binary"
+        spread, "bucket long, anchors binary, prints binary, living binary"
     )
     return packed.groupBy("bucket").applyInPandas(meet, "a long, b long")
 
