@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 # Limits below which a curve is reported.
 MIN_POINTS = 10
 MIN_Q_MAX = 0.01
-SUMMARY_ABOVE = 10
-SUMMARY_HEAD = 5
 
 
 def _length(values: Column) -> Column:
@@ -49,14 +47,14 @@ def curve_warnings(q: Column, r: Column, dr: Column, dq: Column) -> Column:
     )
 
 
-def array_summary(values: Column) -> Column:
-    """Length, extremes and first values of a long numeric array, else null."""
+def array_summary(values: Column, first: int = 0) -> Column:
+    """Length and extremes of a numeric array, and as many first values as asked for."""
     return F.when(
-        F.size(values) > SUMMARY_ABOVE,
+        values.isNotNull(),
         F.struct(
             F.size(values).alias("length"),
             F.array_min(values).alias("min"),
             F.array_max(values).alias("max"),
-            F.slice(values, 1, SUMMARY_HEAD).alias("first_values"),
+            F.slice(values, 1, first).alias("first_values"),
         ),
     )

@@ -1,4 +1,4 @@
-"""What file names and file heads say: kind, run, proposal, instrument."""
+"""What file names and texts say: kind, run, proposal, instrument."""
 
 from __future__ import annotations
 
@@ -15,10 +15,14 @@ _PROPOSAL_IN_PATH = r"(?iU)(IPTS-\d+)"
 _PROPOSAL_IN_TEXT = r"(?iU)IPTS[- ]?(\d+)"
 _INSTRUMENT_IN_PATH = r"(?i)REF[_-]?L"
 INSTRUMENT_NAME = "REF_L"
-# How much of a file the classification rules look at.
-JSON_HEAD_CHARS = 4096
-TEXT_HEAD_LINES = 20
-PROPOSAL_HEAD_CHARS = 2048
+# Marks of a fit model and of a measured curve, within the text and the name.
+MODEL_SCHEMA, MODEL_TOOL = '"$schema"', "bumps"
+MODEL_PARTS = ('"sample"', '"layers"')
+MODEL_LIBRARY = "refl1d"
+CURVE_EXPERIMENT = ("# Experiment", "# IPTS")
+CURVE_Q, CURVE_Q_BARE = "Q [1/Angstrom]", "Q(1/A)"
+CURVE_REDUCTION = "Reduction"
+CURVE_NAMES = ("combined_data", "refl_")
 
 REDUCED, RAW_HDF5, PARQUET, MODEL, UNKNOWN = "reduced", "raw_hdf5", "parquet", "model", "unknown"
 
@@ -61,31 +65,29 @@ def instrument_of_path(path: Column) -> Column:
 
 
 def _json_kind(content: Column) -> Column:
-    head = F.substring(content, 1, JSON_HEAD_CHARS)
-    low = F.lower(head)
+    low = F.lower(content)
     is_model = (
-        (head.contains('"$schema"') & low.contains("bumps"))
-        | (head.contains('"sample"') & head.contains('"layers"'))
-        | low.contains("refl1d")
+        (content.contains(MODEL_SCHEMA) & low.contains(MODEL_TOOL))
+        | (content.contains(MODEL_PARTS[0]) & content.contains(MODEL_PARTS[1]))
+        | low.contains(MODEL_LIBRARY)
     )
     return F.when(is_model, F.lit(MODEL)).otherwise(F.lit(UNKNOWN))
 
 
 def _text_kind(name: Column, content: Column) -> Column:
-    head = F.substring_index(content, "\n", TEXT_HEAD_LINES)
+    without_spaces = F.replace(content, F.lit(" "), F.lit(""))
     signs = (
-        head.contains("# Experiment") | head.contains("# IPTS"),
-        head.contains("Q [1/Angstrom]") | F.replace(head, F.lit(" "), F.lit("")).contains("Q(1/A)"),
-        head.contains("Reduction"),
-        F.lower(name).contains("combined_data"),
-        F.upper(name).contains("REFL_"),
+        content.contains(CURVE_EXPERIMENT[0]) | content.contains(CURVE_EXPERIMENT[1]),
+        content.contains(CURVE_Q) | without_spaces.contains(CURVE_Q_BARE),
+        content.contains(CURVE_REDUCTION),
+        *[F.lower(name).contains(mark) for mark in CURVE_NAMES],
     )
     seen = sum((F.coalesce(sign, F.lit(False)).cast("int") for sign in signs), F.lit(0))
     return F.when(seen >= 2, F.lit(REDUCED)).otherwise(F.lit(UNKNOWN))
 
 
 def file_kind(path: Column, content: Column) -> Column:
-    """Kind of a file by suffix, and by the head of its text where that is open."""
+    """Kind of a file by suffix, and by its whole text where that is open."""
     ext, name = suffix(path), file_name(path)
     return (
         F.when(ext == ".parquet", F.lit(PARQUET))
@@ -99,11 +101,11 @@ def file_kind(path: Column, content: Column) -> Column:
 def identify(path: Column, content: Column) -> Column:
     """Struct of kind, run, proposal and instrument of one file."""
     kind = file_kind(path, content)
-    head = F.when(kind == REDUCED, F.substring(content, 1, PROPOSAL_HEAD_CHARS))
+    text = F.when(kind == REDUCED, content)
     return F.struct(
         kind.alias("file_type"),
         run_number(path).alias("run_number"),
-        proposal(path, head).alias("proposal"),
+        proposal(path, text).alias("proposal"),
         instrument_of_path(path).alias("instrument"),
     )
 

@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Fixed value: how many log names a source summary lists.
-LISTED_NAMES = 50
-
 
 def leaves(schema: StructType, prefix: str = "") -> list[str]:
     """Dotted names of all fields, going into structs but not into arrays."""
@@ -90,22 +87,25 @@ def record_coverage(df: DataFrame) -> Column:
     )
 
 
-def top_names(logs: DataFrame, keys: list[str], name: str, limit: int = LISTED_NAMES) -> DataFrame:
-    """Number of distinct names per key and the first ones in order.
+def names_per_key(
+    logs: DataFrame, keys: list[str], name: str, limit: int | None = None
+) -> DataFrame:
+    """Every distinct name of every key, a row each, with the key's ``name_count``.
 
-    Names are made distinct by aggregation first; the window keeps at most
-    ``limit`` rows per key before its shuffle, so no key gathers all its names.
+    Names are made distinct by aggregation and counted from there. Only a given
+    ``limit`` keeps the first names in order; its window drops the others before
+    its shuffle.
     """
-    distinct = logs.select(*keys, name).dropna().distinct()
+    distinct = logs.select(*keys, name).where(
+        " AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, name])
+    ).distinct()
     counts = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("name_count"))
-    order = Window.partitionBy(*keys).orderBy(name)
-    listed = (
-        distinct.withColumn("_n", F.row_number().over(order))
-        .filter(F.col("_n") <= limit)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(name)).alias("names"))
-    )
-    return counts.join(listed, keys)
+    listed = distinct
+    if limit is not None:
+        order = Window.partitionBy(*keys).orderBy(name)
+        listed = distinct.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= limit)
+        listed = listed.drop("_n")
+    return listed.join(counts, keys)
 
 
 # Header fields whose presence a source summary reports.

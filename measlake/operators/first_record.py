@@ -21,7 +21,7 @@ def first_record(
     """The first row of each key in the given order. Null keys are dropped."""
     values = values or [c for c in df.columns if c not in keys]
     picked = (
-        df.dropna(subset=keys)
+        df.where(" AND ".join(f"`{key}` IS NOT NULL" for key in keys))
         .groupBy(*keys)
         .agg(F.min_by(F.struct(*[F.col(c).alias(c) for c in values]), _order(order)).alias("_row"))
     )

@@ -1,40 +1,48 @@
 """Links between tables.
 
-A parent may own any share of the rows, so its children are never gathered in
-one cell. ``children_in_parts`` gives them as rows of bounded arrays: a child's
-part follows from its own order number.
+A parent may own any share of the rows, so ``children`` gives them as rows with
+their positions and never gathers them in one cell.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Order numbers per part; a part therefore holds at most this many children
-# when order numbers are unique.
-PART_WIDTH = 1000
+from ..session import scratch_path
 
 
-def children_in_parts(
-    links: DataFrame, parent: str, child: str, order: str, width: int = PART_WIDTH
-) -> DataFrame:
-    """Ordered child ids of every parent, cut into parts (A2).
 
-    Rows: parent, ``part`` (ascending), ``ids`` in order, ``n``. Reading the
-    parts of a parent in order gives the whole list.
+def children(links: DataFrame, parent: str, child: str, order: str) -> DataFrame:
+    """Ordered children of every parent (A2): rows of parent, ``position`` (dense, from 0), child.
+
+    All links are sorted once over ranges of (parent, order), so a parent with
+    very many children lies in several ranges. A child's position is its place
+    within its range behind the children in the ranges before. The ranges are
+    written to the shared folder, so that both steps see the same ones.
     """
-    part = F.floor(F.col(order) / F.lit(width)).cast("bigint")
-    ids = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(child).alias("id"))))
-    return (
-        links.dropna(subset=[parent])
-        .groupBy(parent, part.alias("part"))
-        .agg(ids.alias("_ids"))
-        .select(
-            parent,
-            "part",
-            F.transform("_ids", lambda x: x["id"]).alias("ids"),
-            F.size("_ids").alias("n"),
-        )
+    spark = links.sparkSession
+    path = scratch_path(spark, "children")
+    ranged = (
+        links.where(F.col(parent).isNotNull())
+        .select(F.col(parent), F.col(child), F.col(order).alias("_order"))
+        .repartitionByRange(parent, "_order", child)
+        .withColumn("_range", F.spark_partition_id())
+    )
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    before = (
+        Window.partitionBy(parent).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = (
+        ranged.groupBy(parent, "_range")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    )
+    within = Window.partitionBy(parent, "_range").orderBy("_order", child)
+    placed = ranged.withColumn("_place", F.row_number().over(within) - 1)
+    return placed.join(offsets, [parent, "_range"]).select(
+        parent, (F.col("_offset") + F.col("_place")).alias("position"), child
     )
 
 
@@ -78,9 +86,12 @@ def with_first_of_group(
     """
     taken = F.struct(*[F.col(source).alias(name) for name, source in values.items()])
     firsts = (
-        df.dropna(subset=[key])
+        df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.min_by(taken, F.struct(*order)).alias("_first"))
         .select(key, *[F.col("_first")[name].alias(name) for name in values])
     )
-    return df.join(firsts, key, "left")
+    # Rows without a key match nothing, so they are kept out of the join.
+    joined = df.where(F.col(key).isNotNull()).join(firsts, key, "left")
+    alone = df.where(F.col(key).isNull())
+    return joined.unionByName(alone, allowMissingColumns=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
@@ -41,6 +43,8 @@ def local_session(
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    if "spark.checkpoint.dir" not in (extra or {}):
+        builder = builder.config("spark.checkpoint.dir", own_folder())
     for key, value in {**RUNTIME_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -48,15 +52,21 @@ def local_session(
     return spark
 
 
+@functools.cache
+def own_folder() -> str:
+    """A folder of this process, for a session on one machine."""
+    return tempfile.mkdtemp(prefix="measlake-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only a
-    local session without that setting falls back to a temporary folder.
+    It lies in the shared folder named by ``spark.checkpoint.dir``. A session on
+    one machine that does not name one gets a folder of its own, once.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="measlake-")
+        base = own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -58,7 +58,7 @@ def test_names(spark, path, run, curve_run, proposal, instrument):
 KINDS = [
     ("/d/REFL_1_reduced.txt", "# Experiment IPTS-1\n# Q [1/Angstrom]\n", "reduced"),
     ("/d/x.txt", "# IPTS\nnothing", "unknown"),
-    ("/d/x.txt", "\n" * 30 + "# Experiment\nReduction", "unknown"),
+    ("/d/x.txt", "\n" * 30 + "# Experiment\nReduction", "reduced"),
     ("/d/x_combined_data.txt", "# Reduction 1", "reduced"),
     ("/d/a.parquet", None, "parquet"),
     ("/d/a.nxs.h5", None, "raw_hdf5"),

@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from measlake.functions import instruments
+from measlake import store
+from measlake.functions import instruments, names
 from measlake.operators import coverage, issues, links
 from measlake.operators.first_record import distinct_by_id, first_record
 from measlake.operators.preference import log_values
@@ -48,13 +49,12 @@ def test_log_preference(spark):
     assert {r.run: r.log_values["Temp"] for r in numbers.collect()} == {1: 1.0, 2: 4.0}
 
 
-def test_children_in_parts(spark):
-    rows = [("p", f"c{i}", i) for i in reversed(range(25))] + [("q", "x", 3), (None, "y", 1)]
+def test_children(spark):
+    rows = [("p", f"c{i}", i) for i in reversed(range(2500))] + [("q", "x", 3), (None, "y", 1)]
     df = spark.createDataFrame(rows, "parent string, child string, ord int").repartition(4)
-    parts = links.children_in_parts(df, "parent", "child", "ord", width=10).collect()
-    assert all(p.n <= 10 for p in parts)
-    whole = [c for p in sorted((p for p in parts if p.parent == "p"), key=lambda p: p.part) for c in p.ids]
-    assert whole == [f"c{i}" for i in range(25)]
+    found = sorted((r.parent, r.position, r.child) for r in links.children(df, "parent", "child", "ord").collect())
+    assert found == [*(("p", i, f"c{i}") for i in range(2500)), ("q", 0, "x")]
+    assert links.children(df.limit(0), "parent", "child", "ord").collect() == []
 
 
 def test_first_of_group(spark):
@@ -90,11 +90,35 @@ def test_coverage(spark):
     assert coverage.profile(df.limit(0)).count() == 5
 
 
-def test_top_names(spark):
+def test_names_per_key(spark):
     rows = [(1, f"n{i:03d}") for i in range(70)] * 2 + [(2, "a"), (2, None)]
     df = spark.createDataFrame(rows, "run int, name string")
-    got = {r.run: (r.name_count, r.names) for r in coverage.top_names(df, ["run"], "name").collect()}
-    assert got[1] == (70, [f"n{i:03d}" for i in range(50)]) and got[2] == (1, ["a"])
+    got = sorted((r.run, r.name, r.name_count) for r in coverage.names_per_key(df, ["run"], "name").collect())
+    assert got == [*((1, f"n{i:03d}", 70) for i in range(70)), (2, "a", 1)]
+    few = coverage.names_per_key(df, ["run"], "name", limit=3).collect()
+    assert sorted((r.run, r.name) for r in few) == [(1, "n000"), (1, "n001"), (1, "n002"), (2, "a")]
+
+
+def test_marks_beyond_the_head_of_a_file(spark):
+    late = "x" * 5000
+    lines = "nothing\n" * 40
+    rows = [
+        ("/a/m.json", "{" + late + '"$schema": "BUMPS"}'),
+        ("/a/IPTS-/x.txt", lines + "# Experiment\n" + late + "\nReduction IPTS 77"),
+        ("/a/y.txt", lines + "# Experiment"),
+    ]
+    df = spark.createDataFrame(rows, "path string, content string")
+    found = [r.i for r in df.select(names.identify(F.col("path"), F.col("content")).alias("i")).collect()]
+    assert [i.file_type for i in found] == ["model", "reduced", "unknown"]
+    assert found[1].proposal == "IPTS-77"
+
+
+def test_every_warning_is_listed(spark):
+    rows = [("j", i // 3, i % 3, "warning", f"w{i}") for i in range(8)] + [("j", 0, 0, "error", "e")]
+    df = spark.createDataFrame(rows, "job string, pos int, position int, severity string, message string")
+    found = store.shown_warnings(df, ["job"])
+    assert sorted((r.position, r.message, r.warnings) for r in found.collect()) == [(i, f"w{i}", 8) for i in range(8)]
+    assert store.shown_warnings(df, ["job"], limit=5).count() == 5
 
 
 def test_manifest_defaults_and_errors(spark):

@@ -6,6 +6,7 @@ import pytest
 from check_oracle import compare, connect, run_sql
 
 import __spark_entry__ as entry
+from workloads import base
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables are not there")
@@ -27,9 +28,9 @@ def database():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(base.QUERIES))
 def test_query_equals_sql(compiled, database, name):
-    sql = entry.oracle_sql()[name]
+    sql = base.SQL[name]
     df = entry.queries()[name](compiled, SF_DIR)
     rows = [tuple(row) for row in df.collect()]
     assert rows, "a query that returns nothing shows nothing"
@@ -37,7 +38,7 @@ def test_query_equals_sql(compiled, database, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(base.QUERIES) == set(base.SQL)
 
 
 def test_entry_runs(compiled):

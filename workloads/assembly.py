@@ -15,7 +15,7 @@ from measlake.session import scratch_path
 from measlake.sinks import tables
 from measlake.sources import fit_model, manifest, reduced_text, run_dirs
 
-from .base import INGEST, composed, ingest_time, load, query, spread, sql_id, text
+from .base import INGEST, composed, ingest_time, load, query, sql_id, text
 from .curves import curve_texts
 
 OPTIONS = {"ingest_id": INGEST}
@@ -112,7 +112,7 @@ def measurement_batch(spark: SparkSession, sf_dir: str) -> Batch:
     items = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"
     )
-    wide = spread(orders)
+    wide = orders
     return assemble(
         manifest.single_jobs(order_measurements(orders)),
         reduced_text.parse(curve_texts(wide).drop("o_orderkey")),
@@ -277,15 +277,16 @@ WITH {_L1},
 w AS (
   SELECT o_orderkey, 0 AS position, 'Auto-selected model dataset ' || (idx + 1) || ' of ' || n || ' (matched by reflectivity data)' AS message FROM ids WHERE has_model AND n > 1
   UNION ALL SELECT o_orderkey, 1, 'Only 2 data points - unusually small dataset' FROM ids)
-SELECT CAST(o_orderkey AS VARCHAR) AS job, count(*) AS warnings, string_agg(message, '; ' ORDER BY position) AS shown FROM w GROUP BY 1
+SELECT CAST(o_orderkey AS VARCHAR) AS job, row_number() OVER (PARTITION BY o_orderkey ORDER BY position) - 1 AS position, message,
+  count(*) OVER (PARTITION BY o_orderkey) AS warnings FROM w
 """
 
 
 @query("shown_warnings", _WARNINGS_SQL)
 def shown_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number of warnings of every measurement, the first five listed."""
+    """Every warning of every measurement in order, with their number."""
     found = store.shown_warnings(measurement_batch(spark, sf_dir).issues, ["job"])
-    return found.select("job", "warnings", F.array_join("shown", "; ").alias("shown"))
+    return found.select("job", F.col("position").cast("bigint").alias("position"), "message", "warnings")
 
 
 # --- manifests (L4) -----------------------------------------------------------

@@ -37,15 +37,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when a table has fewer splits than there are cores.
-
-    A table of many files has more splits than that and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def ingest_time() -> Column:
     return F.lit(INGEST_TIME).cast("timestamp")
 

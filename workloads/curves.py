@@ -10,7 +10,7 @@ from measlake.functions.text import any_time
 from measlake.operators import curve_match
 from measlake.sources import reduced_text
 
-from .base import composed, load, query, spread, text
+from .base import composed, load, query, text
 
 # --- matching -----------------------------------------------------------------
 
@@ -77,7 +77,7 @@ def curve_match_query(spark: SparkSession, sf_dir: str) -> DataFrame:
             curve_match.probe(F.reverse(grid), F.reverse(F.col("k.high"))),
         ).alias("probes"),
     )
-    runs = spread(vectors).select(
+    runs = vectors.select(
         "vec_id",
         "label",
         F.transform("embedding", lambda v, i: (i + 1.5) / F.lit(100.0)).alias("q"),
@@ -109,8 +109,7 @@ SELECT doc_id, len(q) AS num_points, list_min(q) AS q_min, list_max(q) AS q_max,
     CASE WHEN list_max(q) < 0.01 THEN
       printf('Q range very small: %.4f - %.4f Å⁻¹', list_min(q), list_max(q)) END],
     lambda x: x IS NOT NULL), '; ') AS warnings,
-  CASE WHEN len(q) > 10 THEN len(q) END AS summary_length,
-  CASE WHEN len(q) > 10 THEN round(list_sum(q[1:5]), 6) END AS head_sum
+  len(q) AS summary_length, round(list_sum(q[1:7]), 6) AS head_sum
 FROM c
 """
 
@@ -118,7 +117,7 @@ FROM c
 @query("curve_checks", _CHECKS_SQL)
 def curve_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks of curves made of word and line lengths of every document."""
-    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     c = docs.select(
         "doc_id",
         F.transform(F.split("text", " "), lambda w: F.length(w) / F.lit(1000.0)).alias("q"),
@@ -126,7 +125,7 @@ def curve_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     q = F.col("q")
     low, high = curves.q_range(q)
-    summary = curves.array_summary(q)
+    summary = curves.array_summary(q, first=7)
     return c.select(
         "doc_id",
         curves.num_points(q).cast("bigint").alias("num_points"),
@@ -181,7 +180,7 @@ FROM parsed GROUP BY doc_id
 @query("curve_rows_from_text", _ROWS_SQL)
 def curve_rows_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header lines and number rows found in every document with rows added."""
-    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     number, chars = F.col("doc_id"), F.col("n_chars")
     content = text(
         F.col("text"), "\r\n# note ", F.col("lang"), "\n  ", number, ".5 ", chars,
@@ -258,7 +257,7 @@ def curve_texts(orders: DataFrame) -> DataFrame:
 @query("header_fields", _HEADER_SQL)
 def header_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header fields, Meta block and run table of one curve file per order."""
-    orders = spread(load(spark, sf_dir, "orders"))
+    orders = load(spark, sf_dir, "orders")
     read = reduced_text.parse(curve_texts(orders))
     return read.select(
         "o_orderkey",
@@ -401,7 +400,7 @@ FROM f
 @query("document_conditions", _DOC_CONDITIONS_SQL)
 def document_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conditions from whole documents with a description at their end."""
-    docs = spread(load(spark, sf_dir, "documents"))
+    docs = load(spark, sf_dir, "documents")
     scale = (
         F.when(F.col("lang") == "en", F.lit("NHE"))
         .when(F.col("lang") == "fr", F.lit("SCE"))

@@ -12,13 +12,12 @@ from measlake.operators.first_record import distinct_by_id
 from .base import load, query, text
 
 _LINK_SQL = """
-SELECT 'environment' AS parent_kind, o_custkey AS parent, CAST(o_orderkey // 1000 AS BIGINT) AS part,
-  string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS ids, count(*) AS n
-FROM orders GROUP BY ALL
+SELECT 'environment' AS parent_kind, o_custkey AS parent,
+  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS position, o_orderkey AS child
+FROM orders
 UNION ALL
-SELECT 'sample', c_nationkey, CAST(c_custkey // 1000 AS BIGINT),
-  string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY c_custkey), count(*)
-FROM customer GROUP BY c_nationkey, CAST(c_custkey // 1000 AS BIGINT)
+SELECT 'sample', c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1, c_custkey
+FROM customer
 """
 
 
@@ -30,36 +29,29 @@ def link_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").cast("bigint").alias("parent"), "c_custkey"
     )
     parts = [
-        ("environment", links.children_in_parts(orders, "parent", "o_orderkey", "o_orderkey")),
-        ("sample", links.children_in_parts(customers, "parent", "c_custkey", "c_custkey")),
+        ("environment", "o_orderkey", links.children(orders, "parent", "o_orderkey", "o_orderkey")),
+        ("sample", "c_custkey", links.children(customers, "parent", "c_custkey", "c_custkey")),
     ]
     both = [
-        part.select(
-            F.lit(kind).alias("parent_kind"),
-            "parent",
-            "part",
-            F.array_join("ids", ",").alias("ids"),
-            F.col("n").cast("bigint").alias("n"),
-        )
-        for kind, part in parts
+        part.select(F.lit(kind).alias("parent_kind"), "parent", "position", F.col(child).alias("child"))
+        for kind, child, part in parts
     ]
     return both[0].unionByName(both[1])
 
 
 def fits_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fits over the orders of a customer, one per part of the list."""
+    """A fit per customer, over all of the customer's orders."""
     orders = load(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
-    parts = links.children_in_parts(orders, "o_custkey", "o_orderkey", "o_orderkey")
-    return parts.select(
-        text("fit-", F.col("o_custkey"), "-", F.col("part")).alias("id"),
-        F.transform("ids", lambda x: x.cast("string")).alias("measurement_ids"),
+    whole = orders.groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("keys"))
+    return whole.select(
+        text("fit-", F.col("o_custkey")).alias("id"),
+        F.transform("keys", lambda x: x.cast("string")).alias("measurement_ids"),
     )
 
 
 _FITS_SQL = """fits AS (
-  SELECT 'fit-' || o_custkey || '-' || CAST(o_orderkey // 1000 AS BIGINT) AS id,
-    list(CAST(o_orderkey AS VARCHAR) ORDER BY o_orderkey) AS measurement_ids
-  FROM orders GROUP BY o_custkey, CAST(o_orderkey // 1000 AS BIGINT)
+  SELECT 'fit-' || o_custkey AS id, list(CAST(o_orderkey AS VARCHAR) ORDER BY o_orderkey) AS measurement_ids
+  FROM orders GROUP BY o_custkey
 )"""
 
 _RUNS_IN_FIT_SQL = f"""

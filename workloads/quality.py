@@ -68,20 +68,19 @@ def record_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SUMMARY_SQL = """
-WITH names AS (SELECT DISTINCT user_id, event_type || ':' || json_extract_string(props, '$.k') AS name FROM events),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY name) AS n FROM names)
-SELECT user_id, count(*) AS name_count, string_agg(name, ',' ORDER BY name) FILTER (n <= 50) AS names FROM ranked GROUP BY user_id
+WITH names AS (SELECT DISTINCT user_id, event_type || ':' || json_extract_string(props, '$.k') AS name FROM events)
+SELECT user_id, name, count(*) OVER (PARTITION BY user_id) AS name_count FROM names
 """
 
 
 @query("source_summary", _SUMMARY_SQL)
 def source_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct log names per user, the first fifty listed."""
+    """Every distinct log name of every user, with their number."""
     events = load(spark, sf_dir, "events")
     key = F.get_json_object("props", "$.k")
     logs = events.select("user_id", text(F.col("event_type"), ":", key).alias("log_name"))
-    found = coverage.top_names(logs, ["user_id"], "log_name")
-    return found.select("user_id", "name_count", F.array_join("names", ",").alias("names"))
+    found = coverage.names_per_key(logs, ["user_id"], "log_name")
+    return found.select("user_id", F.col("log_name").alias("name"), "name_count")
 
 
 _HEADER_SUMMARY_SQL = """

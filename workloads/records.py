@@ -12,7 +12,7 @@ from measlake.operators.preference import log_values
 from measlake.records import environment, reflectivity
 from measlake.sources import run_dirs
 
-from .base import ingest_time, load, query, spread, text
+from .base import ingest_time, load, query, text
 
 _FIRST_SQL = """
 SELECT user_id, event_type, event_id, value, props FROM (
@@ -278,7 +278,7 @@ FROM orders
 @query("fit_state", _FIT_STATE_SQL)
 def fit_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Goodness of fit and text from final state or checkpoint."""
-    orders = spread(load(spark, sf_dir, "orders"))
+    orders = load(spark, sf_dir, "orders")
     status, customer = F.col("o_orderstatus"), F.col("o_custkey")
     own = F.when(customer % 2 == 0, text('"final_chi2": ', F.col("o_totalprice"), ", ")).otherwise(F.lit(""))
     final = F.when(
