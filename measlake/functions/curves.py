@@ -32,16 +32,16 @@ def curve_warnings(q: Column, r: Column, dr: Column, dq: Column) -> Column:
             F.when(
                 (nq != nr) | (nq != ndr) | (nq != ndq),
                 F.format_string(
-                    "Array length mismatch: q=%d, r=%d, dr=%d, dq=%d", nq, nr, ndr, ndq
+                    "Columns differ in length: q %d, r %d, dr %d, dq %d", nq, nr, ndr, ndq
                 ),
             ),
             F.when(
                 nq < MIN_POINTS,
-                F.format_string("Only %d data points - unusually small dataset", nq),
+                F.format_string("A curve of only %d points", nq),
             ),
             F.when(
                 high < MIN_Q_MAX,
-                F.format_string("Q range very small: %.4f - %.4f Å⁻¹", low, high),
+                F.format_string("All q are small: %.4f to %.4f", low, high),
             ),
         )
     )

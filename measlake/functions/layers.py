@@ -202,7 +202,7 @@ def generic_name_flags(stack: Column) -> Column:
                 F.struct(
                     F.format_string("layer_%d_name", i).alias("key"),
                     F.format_string(
-                        "Generic layer name '%s' - SLD: %.2f, thickness: %.1f Å",
+                        "The name '%s' tells nothing (SLD %.2f, %.1f Å thick)",
                         layer["name"],
                         layer["sld"],
                         layer["thickness"],

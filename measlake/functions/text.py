@@ -95,3 +95,8 @@ def any_time(text: Column) -> Column:
 
     plain = F.regexp_replace(F.regexp_replace(text, _WEEKDAY, ""), r"\s+", " ")
     return F.coalesce(iso_time(text), let(plain, spelled))
+
+
+def not_json(text: Column) -> Column:
+    """Whether a text is there but is not one JSON value."""
+    return text.isNotNull() & F.try_parse_json(text).isNull()

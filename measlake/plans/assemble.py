@@ -75,34 +75,56 @@ def _errors() -> Column:
     return issues.messages(
         F.when(
             F.col("curve").isNull(),
-            F.when(F.col("reduced").isNull(), F.lit("Reduced data is required")).otherwise(
-                F.concat(F.lit("File not found: "), F.col("reduced"))
+            F.when(F.col("reduced").isNull(), F.lit("No curve file is named")).otherwise(
+                F.concat(F.lit("There is no file "), F.col("reduced"))
             ),
         ),
         F.when(
             F.col("model_path").isNotNull() & F.col("model").isNull(),
-            F.concat(F.lit("File not found: "), F.col("model_path")),
+            F.concat(F.lit("There is no file "), F.col("model_path")),
         ),
         F.when(
-            F.col("model.malformed"), F.concat(F.lit("Error parsing model file: "), F.col("model_path"))
+            F.col("model.malformed"), F.concat(F.lit("Not a model that can be read: "), F.col("model_path"))
         ),
     )
 
 
+def input_errors(measurements: DataFrame, curves: DataFrame, models: DataFrame) -> DataFrame:
+    """Curves and models that are named but not there or not readable.
+
+    ``job``, ``pos``, ``rank``, ``message``, from paths and marks alone: no
+    curve or model is moved.
+    """
+    named = measurements.select(
+        "job",
+        "pos",
+        "reduced",
+        F.col("model").alias("model_path"),
+        F.coalesce("model", F.concat(F.lit("none:"), F.coalesce("reduced", "job"))).alias("_model"),
+    )
+    curve = curves.select(F.col("path").alias("_curve")).withColumn("curve", F.lit(True))
+    model = models.select(F.col("path").alias("_path"), F.struct("malformed").alias("model"))
+    wide = named.join(curve, F.col("reduced") == F.col("_curve"), "left").join(
+        model, F.col("_model") == F.col("_path"), "left"
+    )
+    listed = wide.select("job", "pos", F.posexplode(_errors()).alias("rank", "message"))
+    return listed.select("job", F.col("pos").cast("int").alias("pos"), "rank", "message")
+
+
 def selection_warning(needed: Column, matched: Column, count: Column) -> Column:
     """What is said about an automatic choice of dataset."""
     return F.when(
         needed & matched.isNotNull(),
         F.format_string(
-            "Auto-selected model dataset %d of %d (matched by reflectivity data)",
+            "Dataset %d of %d is taken, the best match of the curve",
             matched + 1,
             count,
         ),
     ).when(
         needed,
         F.format_string(
-            "Model has %d datasets but could not auto-detect match; using first dataset. "
-            "Consider passing --model-dataset-index.",
+            "None of %d datasets matches the curve; the first is taken. "
+            "Give dataset_index to choose.",
             count,
         ),
     )
@@ -245,14 +267,10 @@ def environments_table(good: DataFrame, ingest_time: Column) -> DataFrame:
     return table(good.filter(F.col("environment_id").isNotNull()), "environment", columns)
 
 
-def samples_table(
-    good: DataFrame, ingest_id: str, ingest_time: Column, fit_ids: str
-) -> DataFrame:
+def samples_table(good: DataFrame, ingest_id: str, ingest_time: Column) -> DataFrame:
     """Samples; a shared one lists the environments and fits of its whole job."""
     whole_job = F.col("shares_sample")
     every_fit = _sibling_ids(FIT, ingest_id, "has_fit")
-    if fit_ids == "first":
-        every_fit = F.slice(every_fit, 1, 1)
     columns = sample.record(
         F.col("linked_sample_id"),
         F.col("stack"),
@@ -313,7 +331,6 @@ def assemble(
     ingest_id: str,
     ingest_time: Column,
     parse_text: bool = False,
-    fit_ids: str = "all",
     dry_run: bool = False,
 ) -> Batch:
     """Measurements and their inputs to the four tables.
@@ -341,7 +358,7 @@ def assemble(
         {
             "reflectivity": lambda: runs_table(good, ingest_time),
             "environment": lambda: environments_table(good, ingest_time),
-            "sample": lambda: samples_table(good, ingest_id, ingest_time, fit_ids),
+            "sample": lambda: samples_table(good, ingest_id, ingest_time),
             "reflectivity_model": lambda: fits_table(good, ingest_time),
             "issues": lambda: issues.explode_issues(audit, ["job", "pos"]),
             "outcomes": lambda: outcomes_table(audit, dry_run),
@@ -361,12 +378,15 @@ def assemble_manifests(
 ) -> Batch:
     """Manifests to the four tables (L4).
 
-    A manifest with an error is not assembled at all; its errors are in
-    ``rejected``. ``existing`` lists the paths that are there.
+    A manifest with an error, in itself or in any of its inputs, is not
+    assembled at all, so that no id names a record that is not there; its errors
+    are in ``rejected``. ``existing`` lists the files that are there.
     """
     normal = manifest.normalise(manifests)
     errors = manifest.validate(normal, existing)
     sound = normal.join(errors.select("job").distinct(), "job", "left_anti")
+    unread = input_errors(manifest.to_jobs(sound), curves, models)
+    sound = sound.join(unread.select("job").distinct(), "job", "left_anti")
     batch = assemble(manifest.to_jobs(sound), curves, models, metadata, logs, **options)
-    batch.rejected = errors
+    batch.rejected = errors.unionByName(unread)
     return batch

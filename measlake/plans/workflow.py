@@ -93,12 +93,10 @@ def match_runs(located: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def summarise(runs: DataFrame) -> DataFrame:
-    """Match results per directory, in file order, and the first missing file."""
+    """Match results per directory, in file order."""
+    fields = ("pos", "state_ord", "path", "absent", "matched", "run_number")
     return runs.groupBy("job").agg(
-        F.min(F.when(F.col("absent"), F.struct("pos", "state_ord", "path"))).alias("absent"),
-        F.sort_array(
-            F.collect_list(F.struct("pos", "state_ord", "path", "matched", "run_number"))
-        ).alias("runs"),
+        F.sort_array(F.collect_list(F.struct(*fields))).alias("runs")
     )
 
 
@@ -111,27 +109,26 @@ def decide(
     count = F.col("model.num_experiments")
     needed = ~F.col("explicit") & given.isNull() & (count > 1)
     first_match = F.get("runs", F.lit(0))["matched"]
-    state_of_absent = F.get("states", F.col("absent.state_ord"))["name"]
-    missing = F.when(
-        F.col("absent").isNotNull(),
-        F.when(
+    missing = F.transform(
+        F.filter(F.coalesce("runs", F.array()), lambda r: r["absent"]),
+        lambda r: F.when(
             F.col("explicit"),
             F.concat(
-                F.lit("Data file not found for state '"),
-                F.coalesce(state_of_absent, F.lit("None")),
-                F.lit("': "),
-                F.col("absent.path"),
+                F.lit("State '"),
+                F.coalesce(F.get("states", r["state_ord"])["name"], F.lit("None")),
+                F.lit("': there is no file "),
+                r["path"],
             ),
         ).otherwise(
             F.concat(
-                F.lit("Reduced data file from run_info.json not found: "),
-                F.coalesce(F.col("absent.path"), F.lit("None")),
+                F.lit("There is no file that run_info.json names: "),
+                F.coalesce(r["path"], F.lit("None")),
             )
         ),
     )
     rows = rows.withColumns(
         {
-            "errors": F.slice(F.array_compact(F.concat("errors", F.array(missing))), 1, 1),
+            "errors": F.concat("errors", missing),
             "index": F.when(needed, F.coalesce(first_match, F.lit(0))).otherwise(given),
             "selection_note": selection_warning(needed, first_match, count),
             "has_model": F.col("model").isNotNull(),
@@ -191,11 +188,20 @@ def _runs(linked: DataFrame, ingest_id: str, ingest_time: Column) -> DataFrame:
 
 
 def _environments(done: DataFrame, ingest_id: str, ingest_time: Column) -> DataFrame:
-    rows = done.select(
-        "job", "runs", "stack", F.posexplode("state_rows").alias("state_ord", "s")
+    # Runs are grouped by state once; a state's row does not carry all runs of its directory.
+    own_runs = (
+        done.select("job", F.explode("runs").alias("r"))
+        .groupBy("job", F.col("r.state_ord").alias("state_ord"))
+        .agg(F.sort_array(F.collect_list(F.struct("r.pos", "r.path"))).alias("own_runs"))
+    )
+    states = done.select(
+        "job",
+        layers.ambient(F.col("stack"))["material"].alias("ambient"),
+        F.posexplode("state_rows").alias("state_ord", "s"),
     ).filter(F.col("s.environment_id").isNotNull())
-    own_runs = F.transform(
-        F.filter("runs", lambda r: r["state_ord"] == F.col("state_ord")),
+    rows = states.join(own_runs, ["job", "state_ord"], "left")
+    own_ids = F.transform(
+        F.coalesce("own_runs", F.array().cast("array<struct<pos:int,path:string>>")),
         lambda r: run_id(ingest_id, F.col("job"), r["path"], r["pos"]),
     )
     nothing = F.lit(None).cast("double")
@@ -205,11 +211,11 @@ def _environments(done: DataFrame, ingest_id: str, ingest_time: Column) -> DataF
         environment.record(
             F.col("s.environment_id"),
             F.col("s.text"),
-            layers.ambient(F.col("stack"))["material"],
+            F.col("ambient"),
             nothing,
             nothing,
             conditions.conditions(F.col("s.text")),
-            own_runs,
+            own_ids,
             ingest_time,
         ),
     )
@@ -230,9 +236,18 @@ def _sample_rows(done: DataFrame, external: bool) -> DataFrame:
 
 
 def _samples(done: DataFrame, external: bool, ingest_time: Column) -> DataFrame:
-    rows = _sample_rows(done, external)
-    used = F.filter("state_rows", lambda s: s["sample_id"] == F.col("owned.id"))
-    linked = F.when(F.col("distinct_sample") & F.col("explicit"), F.size(used) > 0).otherwise(
+    # States are grouped by sample once; a sample's row does not carry all states.
+    used = (
+        done.select("job", F.posexplode("state_rows").alias("state_ord", "s"))
+        .groupBy("job", F.col("s.sample_id").alias("_used_id"))
+        .agg(F.sort_array(F.collect_list(F.struct("state_ord", "s.environment_id"))).alias("used"))
+    )
+    owned = _sample_rows(done, external).select(
+        "job", "stack", "distinct_sample", "explicit", "shared_sample_id", "fit_id", "owned",
+        F.col("owned.id").alias("_used_id"),
+    )
+    rows = owned.join(used, ["job", "_used_id"], "left")
+    linked = F.when(F.col("distinct_sample") & F.col("explicit"), F.col("used").isNotNull()).otherwise(
         F.col("owned.id") == F.col("shared_sample_id")
     )
     return table(
@@ -242,7 +257,9 @@ def _samples(done: DataFrame, external: bool, ingest_time: Column) -> DataFrame:
             F.col("owned.id"),
             F.col("stack"),
             F.col("owned.text"),
-            F.array_compact(F.transform(used, lambda s: s["environment_id"])),
+            F.array_compact(
+                F.coalesce(F.col("used.environment_id"), F.array().cast("array<string>"))
+            ),
             F.when(linked, F.array("fit_id")),
             ingest_time,
         ),
@@ -316,8 +333,8 @@ def _job_issues(done: DataFrame) -> DataFrame:
     notes = F.transform(
         unsure,
         lambda r: F.format_string(
-            "Could not match run %s to a fit dataset (%d datasets vs %d runs); "
-            "using dataset %d — per-dataset fit params may be wrong.",
+            "Run %s matches no dataset (%d datasets, %d runs); dataset %d is taken, "
+            "its parameters may not be the run's",
             r["run_number"],
             count,
             total,
@@ -328,7 +345,7 @@ def _job_issues(done: DataFrame) -> DataFrame:
         F.array_distinct(F.transform(unsure, lambda r: r["run_number"])),
         lambda number: F.struct(
             F.concat(F.lit("fit_dataset_"), number).alias("key"),
-            F.lit("ambiguous dataset assignment").alias("value"),
+            F.lit("dataset is a guess").alias("value"),
         ),
     )
     no_flags = F.array().cast("array<struct<key:string,value:string>>")

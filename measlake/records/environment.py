@@ -53,5 +53,5 @@ def temperature_flag(from_records: Column, temperature: Column, handler: Column)
     return issues.flag(
         from_records & temperature.isNull(),
         "environment_temperature",
-        F.format_string("Temperature not found in daslogs (checked: %s sensors)", handler),
+        F.format_string("No temperature in the logs (sensors of %s)", handler),
     )

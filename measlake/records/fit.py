@@ -10,7 +10,7 @@ from ..functions.text import non_empty
 
 # Fit strategies.
 SINGLE, SINGLE_STATE, MULTI_STATE = "single", "single_state_coref", "multi_state_coref"
-NO_SOFTWARE = "Could not determine modeling software from libraries"
+NO_SOFTWARE = "The model names no known software"
 
 
 def strategy(num_experiments: Column) -> Column:

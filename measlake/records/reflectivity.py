@@ -65,18 +65,18 @@ def identity_warnings(curve: Column, meta: Column, who: Column) -> list[Column]:
     return [
         F.when(
             has_meta & given.isNotNull() & iso_time(given).isNull(),
-            F.concat(F.lit("Could not parse start_time: "), given),
+            F.concat(F.lit("Start time cannot be read: "), given),
         ),
         F.when(
-            has_meta & given.isNull(), F.lit("Run start time not found, using ingest time")
+            has_meta & given.isNull(), F.lit("No start time; the ingest time stands in")
         ),
         F.when(
             ~has_meta & block_start.isNotNull() & iso_time(block_start).isNull(),
-            F.concat(F.lit("Could not parse Meta.start_time: "), block_start),
+            F.concat(F.lit("Start time of the header cannot be read: "), block_start),
         ),
         F.when(
             ~has_meta & (who["proposal_number"] == UNKNOWN),
-            F.lit("Proposal number not found, using 'Unknown'"),
+            F.lit("No proposal number; 'Unknown' stands in"),
         ),
     ]
 
@@ -133,7 +133,7 @@ def geometry_flag(geometry: Column) -> Column:
     return issues.flag(
         geometry.isNull(),
         "measurement_geometry",
-        "Could not determine geometry - no model data provided",
+        "No model, so no geometry",
     )
 
 

@@ -58,13 +58,13 @@ REFLECTIVITY = StructType(
     _plain("id", S)
     + _plain("created_at", TS)
     + _plain("proposal_number facility laboratory probe technique technique_description", S)
-    + [_note("is_simulated", B, description="Indicates if the measurement is simulated data")]
+    + [_note("is_simulated", B, description="True for computed curves")]
     + _plain("run_title run_number", S)
     + _plain("run_start", TS)
     + _plain("raw_file_path instrument_name measurement_geometry", S)
     + _plain("reduction_time", TS)
     + _plain("reduction_version", S)
-    + [_note("q", ArrayType(D), units="the units")]
+    + [_note("q", ArrayType(D), units="1/angstrom")]
     + _plain("r dr dq", ArrayType(D))
     + _plain("sample_id environment_id", S)
 )
@@ -89,7 +89,7 @@ ENVIRONMENT = StructType(
         _note(
             "potential",
             D,
-            description="Applied potential setpoint on the scale named by potential_scale",
+            description="Set potential in volts, against potential_scale",
         )
     ]
     + _plain("potential_scale", S)
@@ -114,12 +114,12 @@ REFLECTIVITY_MODEL = StructType(
         _note(
             "dataset_index",
             I,
-            description="0-based index of the selected dataset in a co-refinement model, "
-            "null for single-experiment models",
+            description="Which experiment of the model the record shows, from 0; "
+            "null if there is one only",
         )
     ]
     + _plain("num_parameters num_free_parameters", I)
-    + [_note("chi_squared", D, description="Reduced chi-squared goodness-of-fit of the model")]
+    + [_note("chi_squared", D, description="Reduced chi squared of the fit")]
     + _plain("layers", ArrayType(LAYER_FIT))
     + _plain("datasets", ArrayType(DATASET_FIT))
     + _plain("model_json", S)

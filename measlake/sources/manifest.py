@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import non_empty
+from ..functions.text import non_empty, not_json
 from ..operators import issues
 
 # Fields of a manifest.
@@ -23,7 +23,10 @@ MANIFEST = (
 def parse(texts: DataFrame) -> DataFrame:
     """Manifest documents as rows: ``job`` is the document's path."""
     m = F.from_json("content", MANIFEST, {"mode": "PERMISSIVE"})
-    return texts.select(F.col("path").alias("job"), m.alias("m")).select("job", "m.*")
+    broken = F.col("content").isNull() | not_json(F.col("content"))
+    return texts.select(
+        F.col("path").alias("job"), broken.alias("malformed"), m.alias("m")
+    ).select("job", "malformed", "m.*")
 
 
 def _with_names(measurements: Column) -> Column:
@@ -41,9 +44,12 @@ def _with_names(measurements: Column) -> Column:
 
 
 def normalise(manifests: DataFrame) -> DataFrame:
-    """Manifests with defaults applied."""
+    """Manifests with defaults applied (S16). Ones given as a table are never malformed."""
+    if "malformed" not in manifests.columns:
+        manifests = manifests.withColumn("malformed", F.lit(False))
     return manifests.select(
         "job",
+        "malformed",
         "title",
         F.coalesce("output", F.lit("")).alias("output"),
         F.struct(
@@ -81,13 +87,13 @@ def field_errors(manifests: DataFrame) -> DataFrame:
         )
 
     whole = issues.messages(
-        entry(-2, 0, F.col("output") == "", "'output' directory is required"),
-        entry(-2, 1, F.size("measurements") == 0, "At least one measurement is required"),
+        entry(-2, 0, F.col("output") == "", "No output folder is given"),
+        entry(-2, 1, F.size("measurements") == 0, "There are no measurements"),
         entry(
             -1,
             1,
             _bad_index(F.col("sample.model_dataset_index")),
-            "Sample model_dataset_index must be >= 1",
+            "The sample's dataset index counts from 1",
         ),
     )
 
@@ -105,11 +111,14 @@ def field_errors(manifests: DataFrame) -> DataFrame:
             )
 
         return issues.messages(
-            own(0, m["reduced"] == "", "'reduced' is required"),
-            own(3, _bad_index(m["model_dataset_index"]), "model_dataset_index must be >= 1"),
+            own(0, m["reduced"] == "", "no curve file is named"),
+            own(3, _bad_index(m["model_dataset_index"]), "the dataset index counts from 1"),
         )
 
-    every = F.concat(whole, F.flatten(F.transform("measurements", measured)))
+    every = F.when(
+        F.col("malformed"),
+        issues.messages(entry(-2, 0, F.lit(True), "The manifest is not JSON")),
+    ).otherwise(F.concat(whole, F.flatten(F.transform("measurements", measured))))
     return manifests.select("job", F.explode(every).alias("e")).select("job", "e.*")
 
 
@@ -120,7 +129,7 @@ def referenced_paths(manifests: DataFrame) -> DataFrame:
         F.lit(-1).alias("pos"),
         F.lit(0).alias("rank"),
         F.col("sample.model").alias("path"),
-        F.concat(F.lit("Sample model file not found: "), F.col("sample.model")).alias("message"),
+        F.concat(F.lit("There is no model of the sample: "), F.col("sample.model")).alias("message"),
     )
     m = measurements(manifests)
     lead = F.concat(F.lit("Measurement '"), F.col("name"), F.lit("': "))
@@ -137,9 +146,9 @@ def referenced_paths(manifests: DataFrame) -> DataFrame:
         "pos",
         F.explode(
             F.array(
-                named(0, "reduced", "reduced file not found: "),
-                named(1, "parquet", "parquet directory not found: "),
-                named(2, "model", "model file not found: "),
+                named(0, "reduced", "there is no curve "),
+                named(1, "parquet", "there is no folder "),
+                named(2, "model", "there is no model "),
             )
         ).alias("p"),
     ).select("job", "pos", "p.*")
@@ -148,11 +157,22 @@ def referenced_paths(manifests: DataFrame) -> DataFrame:
     )
 
 
+def known_paths(existing: DataFrame) -> DataFrame:
+    """The listed files and all folders they lie in, as ``_known``, without closing slashes."""
+    parts = F.split(F.regexp_replace("path", "/+$", ""), "/")
+    every = F.transform(
+        F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/")
+    )
+    return existing.select(F.explode(every).alias("_known")).where("_known <> ''").distinct()
+
+
 def validate(manifests: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """All errors of all manifests (D1). ``existing`` lists the known paths."""
+    """All errors of all manifests (D1). ``existing`` lists the known files."""
     errors = field_errors(manifests)
     if existing is not None:
-        missing = referenced_paths(manifests).join(existing.select("path"), "path", "left_anti")
+        named = referenced_paths(manifests).withColumn("_path", F.regexp_replace("path", "/+$", ""))
+        known = known_paths(existing)
+        missing = named.join(known, F.col("_path") == F.col("_known"), "left_anti")
         errors = errors.unionByName(missing.select("job", "pos", "rank", "message"))
     return errors
 

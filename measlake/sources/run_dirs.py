@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import non_empty
+from ..functions.text import non_empty, not_json
 from . import fit_model
 from .files import read_texts
 
@@ -108,9 +108,19 @@ def parse(texts: DataFrame) -> DataFrame:
     list of files and the fit's condition text.
     """
     permissive = {"mode": "PERMISSIVE"}
+    # The checkpoint only matters without a final state.
+    broken = F.array_compact(
+        F.array(
+            F.when(not_json(F.col("run_info")), F.lit(RUN_INFO)),
+            F.when(not_json(F.col("final_state")), F.lit(FINAL_STATE)).when(
+                F.col("final_state").isNull() & not_json(F.col("checkpoint")), F.lit(CHECKPOINT)
+            ),
+        )
+    )
     read = bundle(texts).select(
         "job",
         F.col("run_info").alias("run_info_text"),
+        broken.alias("broken"),
         F.from_json("run_info", RUN_INFO_SCHEMA, permissive).alias("info"),
         fit_state(
             F.from_json("final_state", STATE_SCHEMA, permissive),
@@ -155,30 +165,34 @@ def parse(texts: DataFrame) -> DataFrame:
         F.col("fit_state.chi_squared").alias("chi_squared"),
         F.when(F.col("has_model"), F.struct(*model_fields)).alias("model"),
         F.col("run_info_text").isNull().alias("no_run_info"),
-    ).select("*", _errors().alias("errors"))
+        "broken",
+    ).select("*", _errors().alias("errors")).drop("broken")
 
 
 def _errors() -> Column:
-    empty_state = F.get(F.filter("states", lambda s: F.size(s["files"]) == 0), F.lit(0))
-    return F.array_compact(
-        F.array(
-            F.when(
-                F.col("no_run_info"),
-                F.concat(F.lit(f"{RUN_INFO} not found in "), F.col("job")),
-            )
-            .when(
-                ~F.col("explicit") & empty_state.isNotNull(),
-                F.concat(F.lit("No data files listed in "), F.col("job"), F.lit(f"/{RUN_INFO}")),
-            )
-            .when(
-                empty_state.isNotNull(),
-                F.concat(F.lit("State '"), empty_state["name"], F.lit("' has no data_files.")),
-            )
-            .when(
-                F.col("model.malformed"),
-                F.concat(F.lit("Error parsing model file: "), F.col("model.path")),
+    """Everything that is wrong with a directory itself."""
+    unread = F.col("no_run_info") | F.array_contains("broken", RUN_INFO)
+    empty = F.filter("states", lambda s: F.size(s["files"]) == 0)
+    of_states = F.transform(
+        empty,
+        lambda s: F.when(
+            F.col("explicit"),
+            F.concat(F.lit("State '"), F.coalesce(s["name"], F.lit("None")), F.lit("' lists no data files")),
+        ).otherwise(F.concat(F.col("job"), F.lit(f"/{RUN_INFO} lists no data files"))),
+    )
+    nothing = F.array().cast("array<string>")
+    return F.concat(
+        F.array_compact(
+            F.array(
+                F.when(F.col("no_run_info"), F.concat(F.col("job"), F.lit(f" has no {RUN_INFO}"))),
+                F.when(
+                    F.col("model.malformed"),
+                    F.concat(F.lit("Not a model that can be read: "), F.col("model.path")),
+                ),
             )
-        )
+        ),
+        F.transform("broken", lambda name: F.concat(F.col("job"), F.lit("/"), name, F.lit(" is not JSON"))),
+        F.when(unread, nothing).otherwise(of_states),
     )
 
 

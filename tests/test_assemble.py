@@ -104,8 +104,8 @@ def test_records_join_by_run(spark, ingest, tmp_path):
     assert other["temperature"] == 290.0 and other["pressure"] == 0.0
     assert other["description"] == "Sample cell"
     notes = {(r.job, r.message) for r in batch.issues.collect()}
-    assert ("j1", "Could not parse start_time: not a time") in notes
-    assert ("j0", "Temperature not found in daslogs (checked: REF_L sensors)") in notes
+    assert ("j1", "Start time cannot be read: not a time") in notes
+    assert ("j0", "No temperature in the logs (sensors of REF_L)") in notes
 
 
 def test_run_without_number_takes_the_first_record(spark, ingest, tmp_path):
@@ -176,8 +176,6 @@ def test_manifest_shares_one_sample(spark, ingest):
         assert fit["sample_id"] == sample.id and fit["sample_ids"] == [sample.id]
         assert fit["dataset_index"] == 0 and fit["fit_strategy"] == "single"
         assert fit["software"] == "refl1d" and fit["software_version"] == "1.0"
-    first_only = run_manifests(spark, ingest, {"/b/1.json": batch_doc()}, fit_ids="first")
-    assert len(first_only.sample.collect()[0].fit_ids) == 1
 
 
 def test_measurements_without_a_first_model_own_their_samples(spark, ingest):
@@ -197,6 +195,7 @@ def test_bad_manifests_are_left_out(spark, ingest):
         "/b/no_output.json": batch_doc(output=""),
         "/b/none.json": batch_doc(measurements=[]),
         "/b/index.json": batch_doc(measurements=[{"reduced": "/c/REF_L/REFL_200000_x.txt", "model_dataset_index": 0}]),
+        "/b/cut.json": '{"output": "/o", "measurements": [',
         "/b/gone.json": batch_doc(measurements=[{"name": "m", "reduced": "/c/gone.txt", "model": "/m/gone.json"}]),
     }
     existing = spark.createDataFrame([(p,) for p in [*CURVES, *MODEL]], "path string")
@@ -205,10 +204,11 @@ def test_bad_manifests_are_left_out(spark, ingest):
     for r in batch.rejected.orderBy("job", "pos", "rank").collect():
         errors.setdefault(r.job, []).append(r.message)
     assert errors == {
-        "/b/no_output.json": ["'output' directory is required"],
-        "/b/none.json": ["At least one measurement is required"],
-        "/b/index.json": ["Measurement 'Measurement 1': model_dataset_index must be >= 1"],
-        "/b/gone.json": ["Measurement 'm': reduced file not found: /c/gone.txt", "Measurement 'm': model file not found: /m/gone.json"],
+        "/b/no_output.json": ["No output folder is given"],
+        "/b/none.json": ["There are no measurements"],
+        "/b/cut.json": ["The manifest is not JSON"],
+        "/b/index.json": ["Measurement 'Measurement 1': the dataset index counts from 1"],
+        "/b/gone.json": ["Measurement 'm': there is no curve /c/gone.txt", "Measurement 'm': there is no model /m/gone.json"],
     }
     assert batch.reflectivity.count() == 3
 
@@ -305,3 +305,53 @@ def test_files_are_read_from_disk(spark, ingest, tmp_path):
     assert read.path == str(folder / "model.json") and (film.thickness, film.thickness_std) == (3.0, 0.25)
     listed = files.catalog(spark, [str(folder)])
     assert {r.path for r in listed.collect()} == {str(p) for p in folder.iterdir()}
+
+
+def test_no_id_dangles_when_an_input_is_bad(spark, ingest):
+    """Jobs with a bad input anywhere are left out as a whole, also without a list of files."""
+    curves = {p: t for p, t in CURVES.items()}
+    models = {**MODEL, "/m/bad.json": "{oops"}
+    docs = {"/b/ok.json": batch_doc()}
+    for name, place, field, value in (
+        ("first_model", 0, "model", "/m/bad.json"),
+        ("later_model", 1, "model", "/m/bad.json"),
+        ("no_model", 2, "model", "/m/none.json"),
+        ("no_curve", 2, "reduced", "/c/none.txt"),
+    ):
+        doc = batch_doc()
+        doc["measurements"][place][field] = value
+        docs[f"/b/{name}.json"] = doc
+    batch = assemble_manifests(
+        manifest_rows(spark, docs), curves_of(spark, curves), models_of(spark, models), **ingest
+    )
+    messages = {r.job: r.message for r in batch.rejected.collect()}
+    assert messages == {
+        "/b/first_model.json": "Not a model that can be read: /m/bad.json",
+        "/b/later_model.json": "Not a model that can be read: /m/bad.json",
+        "/b/no_model.json": "There is no file /m/none.json",
+        "/b/no_curve.json": "There is no file /c/none.txt",
+    }
+    tables = {name: collect(df) for name, df in batch.tables().items()}
+    assert len(tables["reflectivity"]) == 3
+    named = {
+        "sample": [r["sample_id"] for n in ("reflectivity", "reflectivity_model") for r in tables[n].values()],
+        "environment": [r["environment_id"] for r in tables["reflectivity"].values()]
+        + [e for r in tables["sample"].values() for e in r["environment_ids"]],
+        "reflectivity_model": [f for r in tables["sample"].values() for f in r["fit_ids"]],
+        "reflectivity": [m for n in ("environment", "reflectivity_model") for r in tables[n].values() for m in r["measurement_ids"]],
+    }
+    for name, ids in named.items():
+        assert ids and {i for i in ids if i is not None} <= set(tables[name])
+
+
+def test_a_manifest_may_name_a_folder(spark, ingest):
+    docs = {"/b/1.json": batch_doc(), "/b/2.json": batch_doc(), "/b/3.json": batch_doc()}
+    docs["/b/1.json"]["measurements"][0]["parquet"] = "/p/run/"
+    docs["/b/2.json"]["measurements"][0]["parquet"] = "/p"
+    docs["/b/3.json"]["measurements"][0]["parquet"] = "/p/ru"
+    files = [*CURVES, *MODEL, "/p/run/x_metadata.parquet"]
+    existing = spark.createDataFrame([(p,) for p in files], "path string")
+    batch = run_manifests(spark, ingest, docs, existing=existing)
+    assert [(r.job, r.message) for r in batch.rejected.collect()] == [
+        ("/b/3.json", "Measurement 'first': there is no folder /p/ru")
+    ]

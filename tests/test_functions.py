@@ -143,7 +143,7 @@ def test_stack_properties(spark):
     assert (row.ambient, row.substrate, row.films, row.total, row.named) == ("air", "Si", 2, 1000.0, "Cu")
     assert (row.main, row.description, row.geometry) == ("Cu", "Cu in air on Si", "back reflection")
     assert row.flags[0].key == "layer_1_name"
-    assert [(f.key, f.value) for f in row.flags[1:]] == [("layer_2_name", "Generic layer name 'Material' - SLD: 1.00, thickness: 500.0 Å")]
+    assert [(f.key, f.value) for f in row.flags[1:]] == [("layer_2_name", "The name 'Material' tells nothing (SLD 1.00, 500.0 Å thick)")]
     assert (row.view, row.number) == (4, 4)
 
 
@@ -177,6 +177,6 @@ def test_curve_warnings(spark):
     df = spark.createDataFrame([(i, q, r) for i, (q, r) in enumerate(rows)], "i int, q array<double>, r array<double>")
     q, r = F.col("q"), F.col("r")
     got = df.select("i", curves.curve_warnings(q, r, r, r).alias("w"), *[c.alias(n) for c, n in zip(curves.q_range(q), "ab")]).orderBy("i").collect()
-    assert got[0].w == ["Q range very small: 0.0010 - 0.0010 Å⁻¹"]
-    assert got[1].w == ["Array length mismatch: q=2, r=1, dr=1, dq=1", "Only 2 data points - unusually small dataset"]
-    assert got[2].w == ["Only 0 data points - unusually small dataset"] and (got[2].a, got[2].b) == (0.0, 0.0)
+    assert got[0].w == ["All q are small: 0.0010 to 0.0010"]
+    assert got[1].w == ["Columns differ in length: q 2, r 1, dr 1, dq 1", "A curve of only 2 points"]
+    assert got[2].w == ["A curve of only 0 points"] and (got[2].a, got[2].b) == (0.0, 0.0)

@@ -128,7 +128,7 @@ def test_manifest_defaults_and_errors(spark):
     rows = manifest.measurements(normal).orderBy("pos").collect()
     assert [r.name for r in rows] == ["Measurement 1", "n"] and rows[1].reduced == ""
     messages = [r.message for r in manifest.validate(normal).orderBy("pos", "rank").collect()]
-    assert messages == ["Measurement 'n': 'reduced' is required", "Measurement 'n': model_dataset_index must be >= 1"]
+    assert messages == ["Measurement 'n': no curve file is named", "Measurement 'n': the dataset index counts from 1"]
 
 
 def write(path, text="x"):

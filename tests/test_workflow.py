@@ -65,8 +65,8 @@ def test_single_state_three_runs(spark, ingest):
     assert fit["layers"][1]["thickness"] == 450.0
     assert [d["run_number"] for d in fit["datasets"]] == ["1", "2", "3"]
     found = [(r.severity, r.field, r.message) for r in batch.issues.collect()]
-    assert ("review", "fit_dataset_3", "ambiguous dataset assignment") in found
-    assert any(m == "Auto-selected model dataset 2 of 2 (matched by reflectivity data)" for _, _, m in found)
+    assert ("review", "fit_dataset_3", "dataset is a guess") in found
+    assert any(m == "Dataset 2 of 2 is taken, the best match of the curve" for _, _, m in found)
     assert [r.status for r in batch.outcomes.collect()] == ["ok"]
 
 
@@ -93,17 +93,28 @@ def test_errors_stop_a_directory(spark, ingest):
         "/w/state2/run_info.json": {"states": [{"name": "s0", "data_files": ["/c/zip.txt"]}]},
         "/w/bad/run_info.json": {"data_file": "/c/REFL_1.txt"},
         "/w/bad/problem.json": "{oops",
+        "/w/two/run_info.json": {"data_files": ["/c/gone.txt", "/c/REFL_1.txt", "/c/zip.txt"]},
+        "/w/cut/run_info.json": '{"data_file": "/c/REFL_1',
+        "/w/cut/final_state.json": '{"final_chi2": 1.5',
+        "/w/chi/run_info.json": {"data_file": "/c/REFL_1.txt"},
+        "/w/chi/final_state.json": '{"final_chi2": 1.5',
+        "/w/chi/checkpoints/004_fitting.json": {"state": {"best_chi2": 2.0}},
         "/w/good/run_info.json": {"data_file": "/c/REFL_1.txt"},
     }
     batch = run(spark, ingest, files, CURVES)
-    errors = {r.job: r.message for r in batch.issues.filter("severity = 'error'").collect()}
+    errors = {}
+    for r in batch.issues.filter("severity = 'error'").orderBy("job", "pos", "position").collect():
+        errors.setdefault(r.job, []).append(r.message)
     assert errors == {
-        "/w/none": "run_info.json not found in /w/none",
-        "/w/empty": "No data files listed in /w/empty/run_info.json",
-        "/w/miss": "Reduced data file from run_info.json not found: /c/gone.txt",
-        "/w/state": "State 's1' has no data_files.",
-        "/w/state2": "Data file not found for state 's0': /c/zip.txt",
-        "/w/bad": "Error parsing model file: /w/bad/problem.json",
+        "/w/none": ["/w/none has no run_info.json"],
+        "/w/empty": ["/w/empty/run_info.json lists no data files"],
+        "/w/miss": ["There is no file that run_info.json names: /c/gone.txt"],
+        "/w/state": ["State 's1' lists no data files"],
+        "/w/state2": ["State 's0': there is no file /c/zip.txt"],
+        "/w/bad": ["Not a model that can be read: /w/bad/problem.json"],
+        "/w/two": [f"There is no file that run_info.json names: /c/{n}.txt" for n in ("gone", "zip")],
+        "/w/cut": ["/w/cut/run_info.json is not JSON", "/w/cut/final_state.json is not JSON"],
+        "/w/chi": ["/w/chi/final_state.json is not JSON"],
     }
     assert batch.reflectivity.count() == 1
     assert {r.job: r.status for r in batch.outcomes.collect()}["/w/good"] == "ok"

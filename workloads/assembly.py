@@ -229,10 +229,10 @@ _L1_ISSUES = f"""
 WITH {_L1},
 e AS (SELECT *, CASE WHEN special THEN nullif(st, 0) ELSE coalesce(st, te) END AS t FROM ids LEFT JOIN env ON env.k = o_orderkey)
 SELECT severity, message, count(*) AS n FROM (
-  SELECT 'warning' AS severity, 'Auto-selected model dataset ' || (idx + 1) || ' of ' || n || ' (matched by reflectivity data)' AS message FROM e WHERE has_model AND n > 1
-  UNION ALL SELECT 'warning', 'Only 2 data points - unusually small dataset' FROM e
-  UNION ALL SELECT 'review', 'Could not determine geometry - no model data provided' FROM e WHERE NOT has_model
-  UNION ALL SELECT 'review', 'Temperature not found in daslogs (checked: ' || CASE WHEN special THEN 'REF_L' ELSE 'GENERIC' END || ' sensors)'
+  SELECT 'warning' AS severity, 'Dataset ' || (idx + 1) || ' of ' || n || ' is taken, the best match of the curve' AS message FROM e WHERE has_model AND n > 1
+  UNION ALL SELECT 'warning', 'A curve of only 2 points' FROM e
+  UNION ALL SELECT 'review', 'No model, so no geometry' FROM e WHERE NOT has_model
+  UNION ALL SELECT 'review', 'No temperature in the logs (sensors of ' || CASE WHEN special THEN 'REF_L' ELSE 'GENERIC' END || ')'
     FROM e WHERE o_orderstatus <> 'O' AND t IS NULL)
 GROUP BY ALL
 """
@@ -275,8 +275,8 @@ def measurement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WARNINGS_SQL = f"""
 WITH {_L1},
 w AS (
-  SELECT o_orderkey, 0 AS position, 'Auto-selected model dataset ' || (idx + 1) || ' of ' || n || ' (matched by reflectivity data)' AS message FROM ids WHERE has_model AND n > 1
-  UNION ALL SELECT o_orderkey, 1, 'Only 2 data points - unusually small dataset' FROM ids)
+  SELECT o_orderkey, 0 AS position, 'Dataset ' || (idx + 1) || ' of ' || n || ' is taken, the best match of the curve' AS message FROM ids WHERE has_model AND n > 1
+  UNION ALL SELECT o_orderkey, 1, 'A curve of only 2 points' FROM ids)
 SELECT CAST(o_orderkey AS VARCHAR) AS job, row_number() OVER (PARTITION BY o_orderkey ORDER BY position) - 1 AS position, message,
   count(*) OVER (PARTITION BY o_orderkey) AS warnings FROM w
 """
@@ -608,16 +608,16 @@ def workflow_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
 _L2_ISSUES = f"""
 WITH {_L2}
 SELECT severity, message, count(*) AS n FROM (
-  SELECT 'error' AS severity, CASE WHEN c_mktsegment IN ('FURNITURE', 'BUILDING') THEN 'Reduced data file from run_info.json not found: /c/none.txt'
-    ELSE 'Data file not found for state ''s1'': /c/none.txt' END AS message FROM customer WHERE c_nationkey = 3
-  UNION ALL SELECT 'warning', CASE WHEN matched IS NULL THEN 'Model has ' || n || ' datasets but could not auto-detect match; using first dataset. Consider passing --model-dataset-index.'
-    ELSE 'Auto-selected model dataset ' || (matched + 1) || ' of ' || n || ' (matched by reflectivity data)' END FROM linked WHERE flat AND pos = 0
-  UNION ALL SELECT 'warning', 'Could not determine modeling software from libraries' FROM linked WHERE NOT lone AND pos = 0
-  UNION ALL SELECT 'warning', 'Could not match run ' || (c * 10 + i) || ' to a fit dataset (' || n || ' datasets vs 3 runs); using dataset 0 — per-dataset fit params may be wrong.'
+  SELECT 'error' AS severity, CASE WHEN c_mktsegment IN ('FURNITURE', 'BUILDING') THEN 'There is no file that run_info.json names: /c/none.txt'
+    ELSE 'State ''s1'': there is no file /c/none.txt' END AS message FROM customer WHERE c_nationkey = 3
+  UNION ALL SELECT 'warning', CASE WHEN matched IS NULL THEN 'None of ' || n || ' datasets matches the curve; the first is taken. Give dataset_index to choose.'
+    ELSE 'Dataset ' || (matched + 1) || ' of ' || n || ' is taken, the best match of the curve' END FROM linked WHERE flat AND pos = 0
+  UNION ALL SELECT 'warning', 'The model names no known software' FROM linked WHERE NOT lone AND pos = 0
+  UNION ALL SELECT 'warning', 'Run ' || (c * 10 + i) || ' matches no dataset (' || n || ' datasets, 3 runs); dataset 0 is taken, its parameters may not be the run''s'
     FROM linked WHERE NOT lone AND matched IS NULL AND n <> 3
-  UNION ALL SELECT 'review', 'ambiguous dataset assignment' FROM linked WHERE flat AND matched IS NULL AND n <> 3
-  UNION ALL SELECT 'review', 'Could not determine geometry - no model data provided' FROM linked WHERE lone
-  UNION ALL SELECT 'warning', 'Only 2 data points - unusually small dataset' FROM linked)
+  UNION ALL SELECT 'review', 'dataset is a guess' FROM linked WHERE flat AND matched IS NULL AND n <> 3
+  UNION ALL SELECT 'review', 'No model, so no geometry' FROM linked WHERE lone
+  UNION ALL SELECT 'warning', 'A curve of only 2 points' FROM linked)
 GROUP BY ALL
 """
 

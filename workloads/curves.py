@@ -104,10 +104,10 @@ WITH c AS (
 SELECT doc_id, len(q) AS num_points, list_min(q) AS q_min, list_max(q) AS q_max,
   array_to_string(list_filter([
     CASE WHEN len(q) <> len(dr) THEN
-      printf('Array length mismatch: q=%d, r=%d, dr=%d, dq=%d', len(q), len(q), len(dr), len(q)) END,
-    CASE WHEN len(q) < 10 THEN printf('Only %d data points - unusually small dataset', len(q)) END,
+      printf('Columns differ in length: q %d, r %d, dr %d, dq %d', len(q), len(q), len(dr), len(q)) END,
+    CASE WHEN len(q) < 10 THEN printf('A curve of only %d points', len(q)) END,
     CASE WHEN list_max(q) < 0.01 THEN
-      printf('Q range very small: %.4f - %.4f Å⁻¹', list_min(q), list_max(q)) END],
+      printf('All q are small: %.4f to %.4f', list_min(q), list_max(q)) END],
     lambda x: x IS NOT NULL), '; ') AS warnings,
   len(q) AS summary_length, round(list_sum(q[1:7]), 6) AS head_sum
 FROM c

@@ -274,13 +274,13 @@ def manifest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _VALIDATION_SQL = """
 WITH known AS (SELECT '/c/' || doc_id AS path FROM labels UNION SELECT '/m/' || source FROM documents WHERE lang = 'de')
-SELECT doc_id AS job, -2 AS pos, '''output'' directory is required' AS message FROM documents WHERE doc_id % 10 = 0
-UNION ALL SELECT doc_id, -1, 'Sample model file not found: /m/' || source FROM documents WHERE '/m/' || source NOT IN (SELECT path FROM known)
-UNION ALL SELECT doc_id, 0, 'Measurement ''first ' || lang || ''': model_dataset_index must be >= 1' FROM documents
-UNION ALL SELECT doc_id, 0, 'Measurement ''first ' || lang || ''': reduced file not found: /c/' || doc_id FROM documents WHERE '/c/' || doc_id NOT IN (SELECT path FROM known)
-UNION ALL SELECT doc_id, 1, 'Measurement ''Measurement 2'': reduced file not found: /c/' || (doc_id + 1) FROM documents WHERE '/c/' || (doc_id + 1) NOT IN (SELECT path FROM known)
-UNION ALL SELECT doc_id, 1, 'Measurement ''Measurement 2'': model file not found: /m/own' FROM documents
-UNION ALL SELECT doc_id, 2, 'Measurement ''Measurement 3'': ''reduced'' is required' FROM documents WHERE lang = 'en'
+SELECT doc_id AS job, -2 AS pos, 'No output folder is given' AS message FROM documents WHERE doc_id % 10 = 0
+UNION ALL SELECT doc_id, -1, 'There is no model of the sample: /m/' || source FROM documents WHERE '/m/' || source NOT IN (SELECT path FROM known)
+UNION ALL SELECT doc_id, 0, 'Measurement ''first ' || lang || ''': the dataset index counts from 1' FROM documents
+UNION ALL SELECT doc_id, 0, 'Measurement ''first ' || lang || ''': there is no curve /c/' || doc_id FROM documents WHERE '/c/' || doc_id NOT IN (SELECT path FROM known)
+UNION ALL SELECT doc_id, 1, 'Measurement ''Measurement 2'': there is no curve /c/' || (doc_id + 1) FROM documents WHERE '/c/' || (doc_id + 1) NOT IN (SELECT path FROM known)
+UNION ALL SELECT doc_id, 1, 'Measurement ''Measurement 2'': there is no model /m/own' FROM documents
+UNION ALL SELECT doc_id, 2, 'Measurement ''Measurement 3'': no curve file is named' FROM documents WHERE lang = 'en'
 """
 
 

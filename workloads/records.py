@@ -102,8 +102,8 @@ e AS (
 )
 SELECT user_id, temperature, pressure,
   CASE WHEN special THEN 'REF_L' ELSE 'GENERIC' END AS instrument,
-  CASE WHEN temperature IS NULL THEN 'Temperature not found in daslogs (checked: '
-    || CASE WHEN special THEN 'REF_L' ELSE 'GENERIC' END || ' sensors)' END AS review,
+  CASE WHEN temperature IS NULL THEN 'No temperature in the logs (sensors of '
+    || CASE WHEN special THEN 'REF_L' ELSE 'GENERIC' END || ')' END AS review,
   CASE user_id % 2 WHEN 0 THEN 'cell ' || user_id ELSE 'Sample cell' END AS description
 FROM e
 """
@@ -210,8 +210,8 @@ SELECT d.doc_id,
        WHEN d.lang = 'fr' THEN '2022-01-01 00:00:00' ELSE '2026-01-02 03:04:05' END AS run_start,
   CASE WHEN l.doc_id IS NOT NULL THEN 'INST' WHEN d.source LIKE '%2' THEN 'REF_L' ELSE 'Unknown' END AS instrument,
   CASE WHEN l.doc_id IS NOT NULL AND l.toxic = 0 THEN
-         CASE WHEN l.quality = 1 THEN 'Could not parse start_time: later' ELSE 'Run start time not found, using ingest time' END
-       WHEN l.doc_id IS NULL AND d.lang NOT IN ('en', 'fr') THEN 'Proposal number not found, using ''Unknown'''
+         CASE WHEN l.quality = 1 THEN 'Start time cannot be read: later' ELSE 'No start time; the ingest time stands in' END
+       WHEN l.doc_id IS NULL AND d.lang NOT IN ('en', 'fr') THEN 'No proposal number; ''Unknown'' stands in'
        ELSE '' END AS notes
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 """
