@@ -17,7 +17,7 @@ from ..operators import curve_match, issues
 from ..operators.rows import once
 from ..records import environment, fit, reflectivity, sample
 from ..sources import manifest, run_records
-from .batch import Batch, table
+from .batch import Batch, Parents, table
 
 TOOL = "measlake"
 VERSION = "0.1.0"
@@ -65,7 +65,7 @@ def join_inputs(
         wide = wide.join(values, ["_dir", "_scope"], "left")
     curve = _as_struct(curves, "curve", "path")
     wide = wide.join(curve, F.col("reduced") == F.col("_curve_key"), "left")
-    model = _as_struct(models, "model", "path")
+    model = _as_struct(models.drop("model_json"), "model", "path")
     return wide.join(model, F.col("_model") == F.col("_model_key"), "left").drop(
         "_curve_key", "_model_key", "_dir", "_scope", "_model"
     )
@@ -284,7 +284,13 @@ def samples_table(good: DataFrame, ingest_id: str, ingest_time: Column) -> DataF
     return table(good.filter("owns_sample"), "sample", columns)
 
 
-def fits_table(good: DataFrame, ingest_time: Column) -> DataFrame:
+def fits_table(good: DataFrame, models: DataFrame, ingest_time: Column) -> DataFrame:
+    """Fits; the model's text joins here, where it is written."""
+    texts = models.select(F.col("path").alias("_path"), "model_json")
+    good = good.filter(F.col("fit_id").isNotNull()).join(
+        texts, F.col("model_path") == F.col("_path"), "left"
+    )
+    good = good.withColumn("model", F.col("model").withField("model_json", F.col("model_json")))
     no_chi = F.lit(None).cast("double")
     only = fit.dataset(
         F.col("index"), F.col("run_id"), F.lit(None).cast("string"), no_chi, F.col("stack")
@@ -301,7 +307,7 @@ def fits_table(good: DataFrame, ingest_time: Column) -> DataFrame:
         fit.strategy(F.col("model.num_experiments")),
         ingest_time,
     )
-    return table(good.filter(F.col("fit_id").isNotNull()), "reflectivity_model", columns)
+    return table(good, "reflectivity_model", columns)
 
 
 def outcomes_table(rows: DataFrame, dry_run: bool) -> DataFrame:
@@ -340,9 +346,15 @@ def assemble(
     """
     named = measurements.withColumnRenamed("model", "model_path")
     wide = join_inputs(named, curves, models, metadata, logs)
-    rows = prepare(wide, ingest_id, ingest_time, parse_text)
-    good = rows.filter(F.size("errors") == 0)
-    audit = rows.select(
+    # The chosen stack is on its own; the other experiments end here, with their probes.
+    chosen = [c for c in models.columns if c not in ("model_json", "datasets", "stack")]
+    rows = prepare(wide, ingest_id, ingest_time, parse_text).withColumn(
+        "model",
+        F.when(
+            F.col("model").isNotNull(), F.struct(*[F.col("model")[c].alias(c) for c in chosen])
+        ),
+    )
+    audited = (
         "job",
         "pos",
         "run_id",
@@ -354,16 +366,20 @@ def assemble(
         "warnings",
         "needs_review",
     )
+
+    def good(p: Parents) -> DataFrame:
+        return p["rows"].filter(F.size("errors") == 0)
+
     return Batch(
+        {"rows": lambda _: rows},
         {
-            "reflectivity": lambda: runs_table(good, ingest_time),
-            "environment": lambda: environments_table(good, ingest_time),
-            "sample": lambda: samples_table(good, ingest_id, ingest_time),
-            "reflectivity_model": lambda: fits_table(good, ingest_time),
-            "issues": lambda: issues.explode_issues(audit, ["job", "pos"]),
-            "outcomes": lambda: outcomes_table(audit, dry_run),
+            "reflectivity": lambda p: runs_table(good(p), ingest_time),
+            "environment": lambda p: environments_table(good(p), ingest_time),
+            "sample": lambda p: samples_table(good(p), ingest_id, ingest_time),
+            "reflectivity_model": lambda p: fits_table(good(p), models, ingest_time),
+            "issues": lambda p: issues.explode_issues(p["rows"].select(*audited), ["job", "pos"]),
+            "outcomes": lambda p: outcomes_table(p["rows"].select(*audited), dry_run),
         },
-        shared=[rows],
     )
 
 

@@ -18,7 +18,7 @@ from ..operators import curve_match, issues
 from ..operators.rows import once
 from ..records import environment, fit, reflectivity, sample
 from .assemble import TOOL, VERSION, selection_warning
-from .batch import Batch, table
+from .batch import Batch, Parents, table
 
 SHARED = "shared"
 # Runs of a directory per join key. A directory with more files gets several
@@ -277,7 +277,22 @@ def _ambiguous(run: Column, count: Column, total: Column) -> Column:
     return run["matched"].isNull() & (count != total)
 
 
-def _fits(done: DataFrame, ingest_id: str, ingest_time: Column) -> DataFrame:
+def without_probes(decided: DataFrame) -> DataFrame:
+    """Directories with what later steps need of their model: layers, no curves and no text."""
+    model = decided.schema["model"].dataType
+    chosen = [c for c in model.names if c not in ("model_json", "datasets", "stack")]
+    found = F.col("model")
+    narrow = F.struct(
+        *[found[c].alias(c) for c in chosen],
+        F.transform(found["datasets"], lambda d: F.struct(d["layers"].alias("layers"))).alias(
+            "datasets"
+        ),
+    )
+    return decided.withColumn("model", F.when(found.isNotNull(), narrow))
+
+
+def _fits(done: DataFrame, texts: DataFrame, ingest_id: str, ingest_time: Column) -> DataFrame:
+    """Fits; the model's text joins here, where it is written."""
     count, total = F.col("model.num_experiments"), F.size("runs")
     no_text, no_chi = F.lit(None).cast("string"), F.lit(None).cast("double")
 
@@ -294,8 +309,12 @@ def _fits(done: DataFrame, ingest_id: str, ingest_time: Column) -> DataFrame:
         fit.dataset(F.col("index"), own_id(only_run), no_text, F.col("chi_squared"), F.col("stack"))
     )
     per_state = F.array_distinct(F.transform("state_rows", lambda s: s["sample_id"]))
+    with_text = done.filter("has_model").join(texts, "job", "left")
+    with_text = with_text.withColumn(
+        "model", F.col("model").withField("model_json", F.col("model_json"))
+    )
     rows = once(
-        done.filter("has_model"),
+        with_text,
         F.struct(
             F.when(~F.col("explicit") & (total == 1), single)
             .otherwise(F.transform("runs", entry))
@@ -418,31 +437,39 @@ def assemble_run_dirs(
 
     A directory with an error contributes nothing but its issue.
     """
-    located = locate_runs(jobs, curves, ingest_time)
-    summary = summarise(match_runs(located, jobs))
-    decided = decide(jobs, summary, ingest_id, dataset_index, sample_id)
-    done = decided.filter(F.size("errors") == 0)
-    per_job = done.select(
-        "job",
-        layers.geometry(F.col("stack")).alias("geometry"),
-        F.transform(
-            "state_rows", lambda s: F.struct(s["sample_id"].alias("s"), s["environment_id"].alias("e"))
-        ).alias("links"),
-        F.size("runs").alias("files"),
-    )
-    chunks = per_chunk(per_job, F.col("files")).drop("files")
-    linked = located.join(chunks, ["job", "chunk"])
-    linked = linked.withColumn("link", F.get("links", F.col("state_ord")))
+
+    def decided(p: Parents) -> DataFrame:
+        summary = summarise(match_runs(p["located"], jobs))
+        return without_probes(decide(jobs, summary, ingest_id, dataset_index, sample_id))
+
+    def done(p: Parents) -> DataFrame:
+        return p["decided"].filter(F.size("errors") == 0)
+
+    def linked(p: Parents) -> DataFrame:
+        per_job = done(p).select(
+            "job",
+            layers.geometry(F.col("stack")).alias("geometry"),
+            F.transform(
+                "state_rows",
+                lambda s: F.struct(s["sample_id"].alias("s"), s["environment_id"].alias("e")),
+            ).alias("links"),
+            F.size("runs").alias("files"),
+        )
+        chunks = per_chunk(per_job, F.col("files")).drop("files")
+        rows = p["located"].join(chunks, ["job", "chunk"])
+        return rows.withColumn("link", F.get("links", F.col("state_ord")))
+
+    texts = jobs.select("job", F.col("model.model_json").alias("model_json"))
     return Batch(
+        {"located": lambda _: locate_runs(jobs, curves, ingest_time), "decided": decided},
         {
-            "reflectivity": lambda: _runs(linked, ingest_id, ingest_time),
-            "sample": lambda: _samples(done, sample_id is not None, ingest_time),
-            "environment": lambda: _environments(done, ingest_id, ingest_time),
-            "reflectivity_model": lambda: _fits(done, ingest_id, ingest_time),
-            "issues": lambda: issues.explode_issues(
-                _job_issues(decided).unionByName(_run_issues(linked)), ["job", "pos"]
+            "reflectivity": lambda p: _runs(linked(p), ingest_id, ingest_time),
+            "sample": lambda p: _samples(done(p), sample_id is not None, ingest_time),
+            "environment": lambda p: _environments(done(p), ingest_id, ingest_time),
+            "reflectivity_model": lambda p: _fits(done(p), texts, ingest_id, ingest_time),
+            "issues": lambda p: issues.explode_issues(
+                _job_issues(p["decided"]).unionByName(_run_issues(linked(p))), ["job", "pos"]
             ),
-            "outcomes": lambda: _outcomes(decided, dry_run),
+            "outcomes": lambda p: _outcomes(p["decided"], dry_run),
         },
-        shared=[jobs, located, decided],
     )

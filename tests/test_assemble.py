@@ -225,7 +225,7 @@ def test_tables_round_trip(spark, ingest, tmp_path):
     batch = run_manifests(spark, ingest, {"/b/1.json": batch_doc()})
     base = str(tmp_path / "lake")
     paths = tables.write_batch(batch, base)
-    assert set(paths) == set(TABLES)
+    assert set(paths) == {*TABLES, "issues", "outcomes", "rejected"}
     assert os.path.isdir(f"{base}/reflectivity/facility=SNS/year=2024")
     for name, df in batch.tables().items():
         back = tables.read_table(spark, base, name)
@@ -355,3 +355,19 @@ def test_a_manifest_may_name_a_folder(spark, ingest):
     assert [(r.job, r.message) for r in batch.rejected.collect()] == [
         ("/b/3.json", "Measurement 'first': there is no folder /p/ru")
     ]
+
+
+def test_an_empty_batch_can_be_written_and_read(spark, ingest, tmp_path):
+    batch = run_manifests(spark, ingest, {"/b/1.json": batch_doc(output="")})
+    paths = tables.write_batch(batch, str(tmp_path / "lake"), json_base=str(tmp_path / "json"))
+    for name in batch.tables():
+        assert tables.read_table(spark, str(tmp_path / "lake"), name).collect() == []
+    assert spark.read.parquet(paths["rejected"]).count() == 1
+    assert {"issues", "outcomes"} <= set(paths)
+
+
+def test_shared_parents_carry_no_probes_or_model_texts(spark, ingest):
+    batch = run_manifests(spark, ingest, {"/b/1.json": batch_doc()})
+    for df in batch.parents.values():
+        names = df.schema.simpleString()
+        assert not any(part in names for part in ("probe", "knots", "model_json"))

@@ -642,6 +642,111 @@ def workflow_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("status", "exit_code").agg(F.count(F.lit(1)).alias("n"))
 
 
+_WRITTEN_SQL = f"""
+WITH o AS ({_OUTCOMES_SQL}), i AS ({_L2_ISSUES})
+SELECT 'outcome' AS kind, status AS label, CAST(n AS BIGINT) AS n FROM o
+UNION ALL SELECT 'issue', severity, CAST(sum(n) AS BIGINT) FROM i GROUP BY severity
+"""
+
+
+@query("batch_outcomes", _WRITTEN_SQL)
+def batch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes and issues of all run directories, counted from the written tables."""
+    batch = run_dir_batch(spark, sf_dir)
+    paths = tables.write_batch(batch, scratch_path(spark, "lake"))
+
+    def counted(kind: str, name: str, df: DataFrame, label: str) -> DataFrame:
+        rows = spark.read.schema(df.schema).parquet(paths[name])
+        return rows.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(kind).alias("kind"), "label", "n"
+        )
+
+    outcomes = counted("outcome", "outcomes", batch.outcomes, "status")
+    return outcomes.unionByName(counted("issue", "issues", batch.issues, "severity"))
+
+
+def flawed_batch(spark: SparkSession, sf_dir: str) -> Batch:
+    """The customers' manifests, where nation 5 has models cut off and nation 7 lacks a curve."""
+    customers = load(spark, sf_dir, "customer")
+    key = F.split_part(F.split_part("path", F.lit("/"), F.lit(3)), F.lit("."), F.lit(1))
+    nations = customers.select(
+        F.col("c_custkey").cast("string").alias("_key"), F.col("c_nationkey").alias("_nation")
+    )
+    models = customer_models(customers).join(nations, key == F.col("_key"))
+    cut = F.when(F.col("_nation") == 5, F.substring("content", 1, 60)).otherwise(F.col("content"))
+    models = models.select("path", cut.alias("content"), "error_content")
+    curves = customer_curves(customers.filter("c_nationkey <> 7")).unionByName(
+        customer_curves(customers.filter("c_nationkey = 7")).filter(~F.col("path").endswith("_2.txt"))
+    )
+    return assemble_manifests(
+        manifest.parse(customer_manifests(customers)),
+        reduced_text.parse(curves),
+        fit_model.parse(models),
+        ingest_time=ingest_time(),
+        **OPTIONS,
+    )
+
+
+_FLAWED = f"{_L4}, sound AS (SELECT * FROM ids WHERE c_nationkey NOT IN (5, 7))"
+
+_GATE_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS job, message FROM (
+  SELECT c_custkey, 'No output folder is given' AS message FROM customer WHERE c_mktsegment = 'MACHINERY'
+  UNION ALL SELECT c_custkey, 'Not a model that can be read: /m/' || c_custkey || '.json' FROM customer, (VALUES (0), (1), (2)) AS p(pos)
+    WHERE c_nationkey = 5 AND c_mktsegment <> 'MACHINERY' AND (pos > 0 OR c_mktsegment <> 'BUILDING')
+  UNION ALL SELECT c_custkey, 'There is no file /c/' || c_custkey || '_2.txt' FROM customer WHERE c_nationkey = 7 AND c_mktsegment <> 'MACHINERY')
+"""
+
+
+@query("manifest_gate", _GATE_SQL)
+def manifest_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of the manifests that are left out because of themselves or one of their inputs."""
+    return flawed_batch(spark, sf_dir).rejected.select("job", "message")
+
+
+_DANGLING_SQL = f"""
+WITH {_FLAWED}
+SELECT 'reflectivity.sample_id' AS link, count(sample_id) AS ids, 0 AS dangling FROM sound
+UNION ALL SELECT 'reflectivity.environment_id', count(env_id), 0 FROM sound
+UNION ALL SELECT 'reflectivity_model.sample_id', count(sample_id), 0 FROM sound WHERE has_model
+UNION ALL SELECT 'reflectivity_model.measurement_ids', count(*), 0 FROM sound WHERE has_model
+UNION ALL SELECT 'environment.measurement_ids', count(env_id), 0 FROM sound
+UNION ALL SELECT 'sample.environment_ids', count(env_id), 0 FROM sound WHERE sample_id IS NOT NULL
+UNION ALL SELECT 'sample.fit_ids', count(fit_id), 0 FROM sound
+"""
+
+
+@query("dangling_ids", _DANGLING_SQL)
+def dangling_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every id column, its ids and how many of them have no row, over the flawed manifests."""
+    batch = tables.keep_parents(spark, flawed_batch(spark, sf_dir))
+    found = batch.tables()
+    named = [
+        ("reflectivity", "sample_id", "sample"),
+        ("reflectivity", "environment_id", "environment"),
+        ("reflectivity_model", "sample_id", "sample"),
+        ("reflectivity_model", "measurement_ids", "reflectivity"),
+        ("environment", "measurement_ids", "reflectivity"),
+        ("sample", "environment_ids", "environment"),
+        ("sample", "fit_ids", "reflectivity_model"),
+    ]
+    parts = []
+    for owner, column, target in named:
+        ids = F.explode(column) if column.endswith("s") else F.col(column)
+        rows = found[owner].select(ids.alias("named")).where("named IS NOT NULL")
+        there = found[target].select(F.col("id").alias("_id"))
+        joined_rows = rows.join(there, F.col("named") == F.col("_id"), "left")
+        parts.append(
+            joined_rows.agg(
+                F.count(F.lit(1)).alias("ids"), F.count_if(F.col("_id").isNull()).alias("dangling")
+            ).select(F.lit(f"{owner}.{column}").alias("link"), "ids", "dangling")
+        )
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 PLANS: dict[str, Callable[[SparkSession, str], Batch]] = {
     "measurement": measurement_batch,
     "manifest": manifest_batch,
