@@ -108,6 +108,24 @@ def outcome(
     )
 
 
+def against_store(outcomes: DataFrame, known: DataFrame, key: str, version: str) -> DataFrame:
+    """Outcomes of jobs that an earlier ingest may have done already.
+
+    ``known`` has the ``key`` and ``version`` of what is in the store, one row
+    per key. The same version is skipped, another one needs reprocessing; jobs
+    that failed, and dry runs, stay what they are. Null keys are never known.
+    """
+    earlier = known.select(F.col(key).alias("_key"), F.col(version).alias("_version"))
+    named = outcomes.join(earlier, F.col(key) == F.col("_key"), "left")
+    same = F.col("_version").eqNullSafe(F.col(version))
+    status = (
+        F.when((F.col("status") != OK) | F.col("_key").isNull(), F.col("status"))
+        .when(same, F.lit(SKIPPED))
+        .otherwise(F.lit(REPROCESS))
+    )
+    return named.withColumn("status", status).drop("_key", "_version")
+
+
 def totals(df: DataFrame, key: str) -> DataFrame:
     """Counts per batch: records, environments and warnings."""
     return df.groupBy(key).agg(

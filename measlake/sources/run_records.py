@@ -122,3 +122,12 @@ def logs_of_run(logs: DataFrame, names: list[str]) -> DataFrame:
     of_runs = preference.first_logs(logs, ["dir", "run_number"], names, ["file_path", "row_index"])
     of_folders = preference.merge_firsts(of_runs, ["dir"], names)
     return preference.as_values(_in_scopes(of_runs, of_folders), ["dir", "scope"], names)
+
+
+def log_counts(logs: DataFrame) -> DataFrame:
+    """Number of distinct log names per folder and run, and per folder."""
+    named = logs.where("log_name IS NOT NULL").select("dir", "run_number", "log_name").distinct()
+    count = F.count(F.lit(1)).alias("log_count")
+    of_runs = named.groupBy("dir", "run_number").agg(count)
+    of_folders = named.select("dir", "log_name").distinct().groupBy("dir").agg(count)
+    return _in_scopes(of_runs, of_folders)

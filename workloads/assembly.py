@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from measlake import store
 from measlake.plans.assemble import assemble, assemble_manifests
 from measlake.plans.batch import Batch
+from measlake.plans.sources import source_summary
 from measlake.plans.workflow import assemble_run_dirs
 from measlake.session import scratch_path
 from measlake.sinks import tables
@@ -289,6 +288,40 @@ def shown_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("job", F.col("position").cast("bigint").alias("position"), "message", "warnings")
 
 
+_SOURCES_SQL = """
+WITH l AS (SELECT l_orderkey AS k, count(DISTINCT least(l_linenumber, 4)) AS n FROM lineitem GROUP BY 1)
+SELECT CAST(o_orderkey AS VARCHAR) AS job, true AS has_curve, o_orderstatus = 'F' AS has_metadata, o_orderstatus = 'P' AS has_sample,
+  CASE WHEN o_orderstatus = 'O' THEN 0 ELSE coalesce(n, 0) END AS log_count, o_orderpriority <> '5-LOW' AS has_model,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN 3 ELSE 0 END AS layer_count,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_custkey + 1 + o_custkey % 2 AS DOUBLE) END AS total_thickness
+FROM orders LEFT JOIN l ON k = o_orderkey
+"""
+
+
+@query("measurement_sources", _SOURCES_SQL)
+def measurement_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What went into the measurement of every order."""
+    orders = load(spark, sf_dir, "orders")
+    items = load(spark, sf_dir, "lineitem")
+    key = F.col("o_orderkey")
+    samples = orders.filter("o_orderstatus = 'P'").select(
+        F.lit("REF_L").alias("instrument_id"), key.alias("run_number"), key.cast("string").alias("run_id"),
+        F.lit(RECORDS).alias("dir"), F.lit("sample.parquet").alias("file_path"), key.alias("row_index"),
+    )
+    found = source_summary(
+        manifest.single_jobs(order_measurements(orders)),
+        reduced_text.parse(curve_texts(orders).drop("o_orderkey")),
+        fit_model.parse(model_texts(orders)),
+        order_metadata(orders),
+        order_logs(items),
+        samples,
+    )
+    return found.select(
+        "job", "has_curve", "has_metadata", "has_sample", "log_count", "has_model", "layer_count",
+        "total_thickness",
+    )
+
+
 # --- manifests (L4) -----------------------------------------------------------
 
 
@@ -745,10 +778,3 @@ def dangling_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in parts[1:]:
         result = result.unionByName(part)
     return result
-
-
-PLANS: dict[str, Callable[[SparkSession, str], Batch]] = {
-    "measurement": measurement_batch,
-    "manifest": manifest_batch,
-    "workflow": run_dir_batch,
-}

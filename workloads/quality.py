@@ -194,6 +194,39 @@ def run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STORE_SQL = f"""
+WITH {_ISSUES_CTE},
+o AS (SELECT l_orderkey AS k, CAST(sum(l_quantity) AS BIGINT) AS version, max(len(errors)) AS failed FROM i JOIN lineitem USING (l_orderkey, l_linenumber, l_partkey, l_suppkey) GROUP BY 1),
+known AS (SELECT o_orderkey AS k, CASE WHEN o_custkey % 2 = 0 THEN 0 ELSE 1 END AS changed FROM orders WHERE o_orderstatus = 'F')
+SELECT CASE WHEN failed > 0 THEN 'failed' WHEN known.k IS NULL THEN 'ok' WHEN changed = 0 THEN 'skipped' ELSE 'needs-reprocessing' END AS status,
+  count(*) AS n
+FROM o LEFT JOIN known ON known.k = o.k GROUP BY 1
+"""
+
+
+@query("outcomes_against_store", _STORE_SQL)
+def outcomes_against_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of orders, of which the finished ones are in the store, half of them changed since."""
+    rows = checked_items(spark, sf_dir).withColumn("failing", F.size("errors"))
+    quantity = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.sum("l_quantity").cast("bigint").alias("version")
+    )
+    jobs = rows.groupBy("l_orderkey").agg(F.max("failing").alias("failing")).join(quantity, "l_orderkey")
+    jobs = jobs.withColumns(
+        {
+            "errors": F.when(F.col("failing") > 0, F.array(F.lit("failing item"))).otherwise(issues.no_messages()),
+            "warnings": issues.no_messages(),
+        }
+    )
+    outcomes = issues.outcome(jobs, "measlake", "0", {}, {}, {})
+    finished = load(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
+    known = finished.join(quantity, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "l_orderkey", (F.col("version") + F.col("o_custkey") % 2).alias("version")
+    )
+    found = issues.against_store(outcomes, known, "l_orderkey", "version")
+    return found.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
 _TOTALS_SQL = f"""
 WITH {_ISSUES_CTE}
 SELECT l_returnflag, count(*) AS measurements, count(discount_flag) AS environments,
