@@ -45,7 +45,7 @@ from measlake.llm.common import kept, text_bytes
 LEAST = 50
 GRAM = 18
 CHUNK = 4 << 20
-BUCKET = 2_000_000  # anchors
+BUCKET = 500_000  # anchors
 SLICE = 1 << 17
 PER_ANCHOR = (LEAST - GRAM + 2) / 2
 LAST = (1 << 63) - 1
