@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import let
-
 # Fields of a parameter, of a reference and of an error entry.
 _SLOT = "slot: STRUCT<value: STRING>, value: STRING"
-PARAMETER = f"STRUCT<`__class__`: STRING, id: STRING, {_SLOT}>"
 REFERENCES = f"MAP<STRING, STRUCT<name: STRING, fixed: STRING, std: STRING, {_SLOT}>>"
 ERRORS = "MAP<STRING, STRUCT<std: STRING>>"
 _REFERENCE_CLASS = "Reference"
@@ -55,19 +52,27 @@ def resolve_references(references: Column, errors: Column) -> Column:
 
 
 def resolve(param: Column, resolved: Column) -> Column:
-    """Struct of ``value`` and ``std`` of a parameter given as JSON text.
+    """Struct of ``value`` and ``std`` of a parameter given as a variant.
 
     A reference is looked up among the resolved ones; an unknown reference and
     any other object give their own value, and only references have a ``std``.
+    A quoted number is a text, and a text counts as zero.
     """
-    no_std = F.lit(None).cast("string")
+    no_std = F.lit(None).cast("double")
 
-    def of_object(parsed: Column) -> Column:
-        target = F.when(
-            parsed["__class__"] == _REFERENCE_CLASS, F.try_element_at(resolved, parsed["id"])
-        )
-        return F.coalesce(target, _resolved(_own_value(parsed), no_std))
+    def field(path: str) -> Column:
+        return F.try_variant_get(param, path, "string")
+
+    def plain(value: Column) -> Column:
+        return F.struct(F.coalesce(value, F.lit(0.0)).alias("value"), no_std.alias("std"))
 
-    return F.when(
-        F.startswith(param, F.lit("{")), let(F.from_json(param, PARAMETER), of_object)
-    ).otherwise(_resolved(param, no_std))
+    kind = F.substring(F.schema_of_variant(param), 1, 6)
+    target = F.when(
+        field("$.__class__") == _REFERENCE_CLASS, F.try_element_at(resolved, field("$.id"))
+    )
+    own = _number(F.coalesce(field("$.slot.value"), field("$.value")))
+    return (
+        F.when(kind == "OBJECT", F.coalesce(target, plain(own)))
+        .when(kind == "STRING", plain(F.lit(0.0)))
+        .otherwise(plain(_number(field("$"))))
+    )

@@ -10,11 +10,11 @@ from ..operators import curve_match
 from ..operators.rows import once
 from .files import read_texts
 
-# The part of a model file that is read. Parameters stay text,
-# because they may be numbers, value objects or references.
+# The part of a model file that is read. Parameters are variants,
+# because they may be numbers, value objects or references; the file is parsed once.
 _LAYERS = (
-    "ARRAY<STRUCT<name: STRING, thickness: STRING, interface: STRING, "
-    "material: STRUCT<name: STRING, rho: STRING, irho: STRING>>>"
+    "ARRAY<STRUCT<name: STRING, thickness: VARIANT, interface: VARIANT, "
+    "material: STRUCT<name: STRING, rho: VARIANT, irho: VARIANT>>>"
 )
 _VALUES = "STRUCT<values: ARRAY<DOUBLE>>"
 _LIBRARY = "STRUCT<version: STRING, schema_version: STRING>"

@@ -180,3 +180,19 @@ def test_curve_warnings(spark):
     assert got[0].w == ["All q are small: 0.0010 to 0.0010"]
     assert got[1].w == ["Columns differ in length: q 2, r 1, dr 1, dq 1", "A curve of only 2 points"]
     assert got[2].w == ["A curve of only 0 points"] and (got[2].a, got[2].b) == (0.0, 0.0)
+
+
+def test_kinds_of_parameters(spark):
+    """Numbers, value objects, references, texts: a quoted number is a text and counts as zero."""
+    given = [
+        ("5", 5.0), ("-1.5e2", -150.0), ("true", 1.0), ('"5"', 0.0), ('"x"', 0.0), ("null", 0.0), ("[1]", 0.0),
+        ('{"value": 7}', 7.0), ('{"slot": {"value": 8}, "value": 7}', 8.0), ('{"a": 1}', 0.0),
+        ('{"__class__": "Reference", "id": "r"}', 9.0), ('{"__class__": "Reference", "id": "z", "value": 3}', 3.0),
+        ('{"__class__": "Other", "id": "r", "value": 4}', 4.0),
+    ]
+    head = '{"references": {"r": {"name": "n", "fixed": false, "std": 0.5, "value": 9}}, "object": {"sample": {"layers": ['
+    layers_ = ", ".join('{"name": "l", "thickness": ' + text + "}" for text, _ in given)
+    texts = spark.createDataFrame([("m", head + layers_ + ', {"name": "none"}]}}}', None)], "path string, content string, error_content string")
+    (row,) = fit_model.parse(texts).select("stack").collect()
+    assert [layer.thickness for layer in row.stack] == [value for _, value in given] + [0.0]
+    assert [layer.thickness_std for layer in row.stack] == [0.5 if value == 9.0 else None for _, value in given] + [None]
