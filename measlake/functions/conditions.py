@@ -56,10 +56,3 @@ def conditions(text: Column) -> Column:
             ),
         ).alias("electrolyte"),
     )
-
-
-def has_conditions(found: Column) -> Column:
-    """Whether any condition was recognised."""
-    return F.coalesce(found["control_mode"], found["electrolyte"]["name"]).isNotNull() | found[
-        "pH"
-    ].isNotNull()

@@ -113,10 +113,13 @@ def parquet_dir_of_runs(
             ),
         )
     )
+    # Only the numbers asked for are grouped; a short window would gather all folders.
+    wanted = runs.select(F.col("run_number").cast("string").alias("run_text")).distinct()
     found = (
         in_folder.unionByName(in_base)
         .distinct()
         .select("rank", "dir", F.explode(F.array_distinct(windows)).alias("run_text"))
+        .join(wanted, "run_text", "left_semi")
         .groupBy("run_text")
         .agg(F.min(F.struct("rank", "dir"))["dir"].alias("parquet_dir"))
     )

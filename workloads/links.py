@@ -193,3 +193,46 @@ def distinct_by_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     ]
     return distinct_by_id(parts)
+
+
+_SAMPLE_FITS_SQL = """
+SELECT CAST(o_custkey AS VARCHAR) AS owner_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS position,
+  CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS chi_squared
+FROM orders
+"""
+
+
+@query("fits_for_samples", _SAMPLE_FITS_SQL)
+def fits_for_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fits that a sample names: the orders of a customer, in order."""
+    orders = load(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    whole = orders.groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("keys"))
+    samples = whole.select(
+        F.col("o_custkey").cast("string").alias("id"),
+        F.transform("keys", lambda x: x.cast("string")).alias("fit_ids"),
+    )
+    fits = orders.select(key.alias("id"), F.col("o_totalprice").alias("chi_squared"))
+    found = store.fits_for_samples(samples, fits)
+    return found.select("owner_id", F.col("position").cast("bigint").alias("position"), "id", "chi_squared")
+
+
+_STATE_RUNS_SQL = """
+SELECT o_orderkey, 'sample' AS by FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_nationkey = 4
+UNION ALL SELECT o_orderkey, 'state' FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_nationkey = 4 AND o_orderstatus = 'F'
+"""
+
+
+@query("runs_of_state", _STATE_RUNS_SQL)
+def runs_of_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of one sample, and of one of its states."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    customers = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    runs = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey",
+        F.col("c_nationkey").cast("string").alias("sample_id"),
+        F.col("o_orderstatus").alias("environment_id"),
+    )
+    of_sample = store.runs_of_sample(runs, "4").select("o_orderkey", F.lit("sample").alias("by"))
+    of_state = store.runs_of_state(runs, "4", "F").select("o_orderkey", F.lit("state").alias("by"))
+    return of_sample.unionByName(of_state)

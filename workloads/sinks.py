@@ -107,3 +107,51 @@ def export_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.aggregate("q_1_angstrom", F.lit(0.0), lambda a, x: a + x).alias("q_sum"),
         "instrument",
     )
+
+
+_ENVIRONMENT_PAYLOAD_SQL = """
+SELECT 'cell ' || c_custkey AS description, c_acctbal AS temperature, CAST(o_orderkey AS VARCHAR) AS run, CAST(1 AS BIGINT) AS runs
+FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_nationkey <> 3
+"""
+
+
+@query("environment_payload", _ENVIRONMENT_PAYLOAD_SQL)
+def environment_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Environments of customers, a document for every order measured under them."""
+    environments = load(spark, sf_dir, "customer").filter("c_nationkey <> 3").select(
+        F.col("c_custkey").cast("string").alias("id"),
+        text("cell ", F.col("c_custkey")).alias("description"),
+        F.col("c_acctbal").alias("temperature"),
+    )
+    runs = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_custkey").cast("string").alias("environment_id"),
+    )
+    found = export.environment_payload(runs, tables.conform(environments, "environment"))
+    return found.select(
+        "description", "temperature", F.get("measurements_ids", F.lit(0)).alias("run"),
+        F.size("measurements_ids").cast("bigint").alias("runs"),
+    )
+
+
+_SAMPLE_PAYLOAD_SQL = """
+WITH s AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_nationkey <> 3 THEN [CAST(c_nationkey AS VARCHAR), 'e' || c_custkey] ELSE [NULL] END AS envs FROM customer)
+SELECT 'film ' || c_custkey AS description, c_mktsegment AS main_composition, unnest(envs) AS environment FROM s
+"""
+
+
+@query("sample_payload", _SAMPLE_PAYLOAD_SQL)
+def sample_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of customers, a document for every environment, and one for those without any."""
+    n, nation = F.col("c_custkey"), F.col("c_nationkey")
+    both = F.array(nation.cast("string"), text("e", n))
+    samples = load(spark, sf_dir, "customer").select(
+        n.cast("string").alias("id"),
+        text("film ", n).alias("description"),
+        F.col("c_mktsegment").alias("main_composition"),
+        F.when(nation != 3, both).otherwise(F.array().cast("array<string>")).alias("environment_ids"),
+    )
+    found = export.sample_payload(tables.conform(samples, "sample"))
+    return found.select(
+        "description", "main_composition", F.get("environment_ids", F.lit(0)).alias("environment")
+    )
