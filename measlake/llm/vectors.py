@@ -92,6 +92,9 @@ class Best:
 
     def offer(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
         rows = dict((i, s) for s, i in self.found.get(query, []))
+        # Before any cut: the query itself must not take a place.
+        others = ids != query
+        scores, ids = scores[others], ids[others]
         if len(scores) > 4 * self.k:
             order = np.lexsort((ids, -scores))
             scores, ids = scores[order], ids[order]
@@ -99,7 +102,7 @@ class Best:
             firsts = np.sort(np.unique(ids, return_index=True)[1])[: self.k]
             scores, ids = scores[firsts], ids[firsts]
         for score, i in zip(scores.tolist(), ids.tolist()):
-            if i != query and -score < rows.get(i, 1e300):
+            if -score < rows.get(i, 1e300):
                 rows[i] = -score
         self.found[query] = sorted((s, i) for i, s in rows.items())[: self.k]
 
