@@ -13,10 +13,14 @@ bounds, which rise as better candidates are found. The rest is pruned; nothing
 else is left out, so the result is exact.
 
 Components are floor(scale * x). Rows without an id, vectors that are null or
-empty or hold null or non-finite components, take no part; nor do ones whose
-scaled components reach 2**26, since scores would leave the range of exact
-doubles. Vectors of different lengths do not meet. Rows that share an id count
-as one candidate, with the best score among them. Other columns are not read.
+empty or hold null or non-finite components, take no part. Vectors of different
+lengths do not meet. Rows that share an id count as one candidate, with the best
+score among them. Other columns are not read.
+
+Scores are exact integers. Where doubles may round them, pruning allows for the
+error, and what is left is scored in integers. A score among the k best that
+leaves the range of a long is an error, as in SQL, and so is a component that
+leaves the range of doubles when scaled.
 """
 
 from __future__ import annotations
@@ -39,7 +43,9 @@ PIVOTS = 16
 BLOCK = 1024
 GROUP = 128
 LEAF = 32
-LIMIT = 2.0**26
+# Sums of products are exact in doubles, and in longs, below these.
+EXACT = 2.0**53
+LONG = 2**63
 
 
 @dataclass
@@ -71,7 +77,7 @@ def cover_tree(values: np.ndarray, members: np.ndarray) -> Node:
     todo = [root]
     while todo:
         node = todo.pop()
-        if len(node.members) <= LEAF or node.radius == 0:
+        if len(node.members) <= LEAF or node.radius == 0 or not np.isfinite(node.radius):
             continue
         left, loose = node.members, []
         while len(left):
@@ -89,27 +95,65 @@ def cover_tree(values: np.ndarray, members: np.ndarray) -> Node:
     return root
 
 
+def scaled(values: np.ndarray, scale: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        out = np.floor(values * scale)
+    if not np.isfinite(out).all():
+        raise ValueError("a component leaves the range of doubles when scaled")
+    return out
+
+
+def rounding(length: int, q_norms: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """How far products of these vectors in doubles may be off, with room to spare."""
+    return (length + 8) * 2.0**-51 * q_norms[:, None] * norms
+
+
+def integers(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact products of one vector with many: longs, or Python's integers where they are larger."""
+    if np.linalg.norm(q) * np.linalg.norm(x, axis=1).max() < LONG / 2 and (
+        max(np.abs(q).max(), np.abs(x).max()) < LONG / 2
+    ):
+        return x.astype(np.int64) @ q.astype(np.int64)
+    own = [int(a) for a in q.tolist()]
+    found = [sum(a * int(b) for a, b in zip(own, row)) for row in x.tolist()]
+    return np.array([*found, None], dtype=object)[:-1]
+
+
+def below(score: float) -> float:
+    """A score as a double, rounded down."""
+    near = float(score)
+    return near if near <= score else float(np.nextafter(near, -np.inf))
+
+
 def search(
     queries: Bundle, query_tree: Node, data: Bundle, data_tree: Node, floor: np.ndarray, best: Best
 ) -> None:
     """Walk both trees, skipping pairs of nodes that cannot matter to any query of the pair."""
     query_ids, q = queries
     ids, x = data
-    worst = np.array([best.worst(i, w) for i, w in zip(query_ids.tolist(), floor.tolist())])
+    worst = np.array([below(best.worst(i, w)) for i, w in zip(query_ids.tolist(), floor.tolist())])
+    q_norms, norms = np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)
+    exact = q_norms.max() * norms.max() < EXACT
 
     def reach(a: Node, b: Node) -> float:
         na, nb = np.linalg.norm(a.centre), np.linalg.norm(b.centre)
-        most = a.centre @ b.centre + na * b.radius + nb * a.radius + a.radius * b.radius
-        return float(most + 1e-9 * (1 + abs(most)))
+        more = na * b.radius + nb * a.radius + a.radius * b.radius
+        # The error grows with the sizes, not with their sum, which may cancel.
+        return float(a.centre @ b.centre + more + 1e-9 * (1 + na * nb + more))
 
     def compare(rows: np.ndarray, cols: np.ndarray) -> None:
         scores = q[rows] @ x[cols].T
-        hits = scores >= worst[rows][:, None]
+        if exact:
+            hits = scores >= worst[rows][:, None]
+        else:
+            most = scores + rounding(q.shape[1], q_norms[rows], norms[cols])
+            hits = ~(most < worst[rows][:, None])
         for i in np.flatnonzero(hits.any(axis=1)).tolist():
             r, hit = rows[i], hits[i]
             query = int(query_ids[r])
-            best.offer(query, scores[i][hit], ids[cols[hit]])
-            worst[r] = best.worst(query, float(floor[r]))
+            own = scores[i][hit] if exact else integers(q[r], x[cols[hit]])
+            best.offer(query, own, ids[cols[hit]])
+            worst[r] = below(best.worst(query, float(floor[r])))
 
     stack = [(query_tree, data_tree)]
     while stack:
@@ -129,16 +173,21 @@ def search(
             stack += [(c, b) for c in a.children]
 
 
+def drained(best: Best) -> pa.RecordBatch:
+    """All rows of ``best``, with scores as longs."""
+    for query, rows in best.found.items():
+        if any(-s >= LONG for s, _ in rows):
+            raise ValueError(f"a score of {query} leaves the range of a long")
+    return best.drain(pa.int64(), lambda s: int(s) if s >= -LONG else None)
+
+
 def top_k(vectors: DataFrame, every: int, k: int, scale: int = SCALE) -> DataFrame:
     """The k best of all vectors for each one whose id is divisible by ``every``, itself left out."""
     drawn = {}
     for length, (ids, values) in sample(vectors, SAMPLE).items():
-        scaled = np.floor(values * scale)
         # Repeated rows of a candidate count once.
         firsts = np.unique(ids, return_index=True)[1]
-        firsts = firsts[(np.abs(scaled[firsts]) < LIMIT).all(axis=1)]
-        if len(firsts):
-            drawn[length] = (ids[firsts], scaled[firsts])
+        drawn[length] = (ids[firsts], scaled(values[firsts], scale))
     pivots = {length: spread_out(values, PIVOTS) for length, (_, values) in drawn.items()}
 
     def pivots_of(length: int) -> np.ndarray:
@@ -161,9 +210,7 @@ def top_k(vectors: DataFrame, every: int, k: int, scale: int = SCALE) -> DataFra
 
         for batch in batches:
             for ids, values in matrices(batch):
-                values = np.floor(values * scale)
-                small = (np.abs(values) < LIMIT).all(axis=1)
-                ids, values = ids[small], values[small]
+                values = scaled(values, scale)
                 centres = pivots_of(values.shape[1])
                 # Nearest by |x|^2 - 2 x.p + |p|^2, whose first part is the same for all.
                 cells = ((centres**2).sum(axis=1) - 2 * values @ centres.T).argmin(axis=1)
@@ -187,18 +234,24 @@ def top_k(vectors: DataFrame, every: int, k: int, scale: int = SCALE) -> DataFra
         def out(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
             for (length, _), ids, values in found:
                 floor = np.full(len(ids), -np.inf)
+                norms = np.linalg.norm(values, axis=1)
                 if length in drawn and len(drawn[length][0]) > k:
                     sample_ids, sample_values = drawn[length]
                     scores = values @ sample_values.T
+                    sample_norms = np.linalg.norm(sample_values, axis=1)
+                    if not norms.max() * sample_norms.max() < EXACT:
+                        scores -= rounding(length, norms, sample_norms)
+                        scores[np.isnan(scores)] = -np.inf
                     scores[ids[:, None] == sample_ids] = -np.inf
                     floor = np.sort(scores, axis=1)[:, -k]
-                norms = np.linalg.norm(values, axis=1)
                 centres = pivots_of(length)
                 for cell, centre in enumerate(centres):
                     if (length, cell) not in radii:
                         continue
-                    most = values @ centre + norms * radii[length, cell]
-                    some = most + 1e-9 * (1 + np.abs(most)) >= floor
+                    more = norms * radii[length, cell]
+                    most = values @ centre + more
+                    most += 1e-9 * (1 + norms * np.linalg.norm(centre) + more)
+                    some = ~(most < floor)
                     if some.any():
                         row = [length, cell, ids[some].tobytes(), values[some].tobytes()]
                         row.append(floor[some].tobytes())
@@ -232,8 +285,8 @@ def top_k(vectors: DataFrame, every: int, k: int, scale: int = SCALE) -> DataFra
                 query_tree = cover_tree(queries[1], np.arange(len(ids)))
                 search(queries, query_tree, data, tree, np.frombuffer(row["floor"]), best)
                 if best.full():
-                    yield best.drain(pa.float64())
-        yield best.drain(pa.float64())
+                    yield drained(best)
+        yield drained(best)
 
     groups = mapped(
         index, route, "q_length long, q_cell long, q_ids binary, q_values binary, floor binary"
@@ -241,8 +294,10 @@ def top_k(vectors: DataFrame, every: int, k: int, scale: int = SCALE) -> DataFra
     pairs = index.drop("radius").join(
         groups, (F.col("length") == F.col("q_length")) & (F.col("cell") == F.col("q_cell"))
     )
-    found = mapped(pairs, meet, "query_id long, vec_id long, score double")
-    return ranked(found, k).withColumn("score", F.col("score").cast("long"))
+    # Scores below the range of a long are null, which ranks last.
+    found = ranked(mapped(pairs, meet, "query_id long, vec_id long, score long"), k)
+    outside = F.raise_error(F.lit("a score leaves the range of a long")).cast("long")
+    return found.withColumn("score", F.when(F.col("score").isNull(), outside).otherwise(F.col("score")))
 
 
 SQL = """

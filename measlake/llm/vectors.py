@@ -96,21 +96,25 @@ class Best:
         others = ids != query
         scores, ids = scores[others], ids[others]
         if len(scores) > 4 * self.k:
-            order = np.lexsort((ids, -scores))
+            if scores.dtype == object:  # integers of any size
+                order = np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i])))
+            else:
+                order = np.lexsort((ids, -scores))
             scores, ids = scores[order], ids[order]
             # Repeated rows may fill the first places; distinct ids are wanted.
             firsts = np.sort(np.unique(ids, return_index=True)[1])[: self.k]
             scores, ids = scores[firsts], ids[firsts]
         for score, i in zip(scores.tolist(), ids.tolist()):
-            if -score < rows.get(i, 1e300):
+            if -score < rows.get(i, float("inf")):
                 rows[i] = -score
         self.found[query] = sorted((s, i) for i, s in rows.items())[: self.k]
 
     def full(self) -> bool:
         return len(self.found) >= self.most
 
-    def drain(self, score_type: pa.DataType) -> pa.RecordBatch:
-        rows = [(q, i, -s) for q, best in self.found.items() for s, i in best]
+    def drain(self, score_type: pa.DataType, kind: Callable = float) -> pa.RecordBatch:
+        """All rows, their scores made by ``kind`` from numbers."""
+        rows = [(q, i, kind(-s)) for q, best in self.found.items() for s, i in best]
         self.found = {}
         types = [pa.int64(), pa.int64(), score_type]
         columns = list(zip(*rows)) if rows else [(), (), ()]
