@@ -142,18 +142,20 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = Blocks(BLOCK)
-        number = TaskContext.get().partitionId() << 32
+        part, made = TaskContext.get().partitionId(), 0
 
         def out(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-            nonlocal number
+            nonlocal made
             for (length,), ids, values in found:
                 placed = (units(values) @ directions(length)).T
                 order = np.argsort(placed, axis=1, kind="stable").astype(np.uint16)
                 line = np.take_along_axis(placed, order.astype(np.int64), axis=1)
-                row = [length, number % SHARDS, number, ids.tobytes(), values.tobytes()]
+                # Small partitions of one block each are dealt over all shards, too.
+                row = [length, (part + made) % SHARDS, (part << 32) + made]
+                row += [ids.tobytes(), values.tobytes()]
                 row += [order.tobytes(), line.tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=names)
-                number += 1
+                made += 1
 
         for batch in batches:
             for ids, values in matrices(batch):
