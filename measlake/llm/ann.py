@@ -10,7 +10,9 @@ by step towards the distance of the query's k-th nearest so far (virtual
 rehashing: the arrays stay, windows widen). Vectors that collide often enough to
 be within the radius, but for a chance of ``MISS``, are verified by their exact
 cosine. A query is done with a block when the radius has reached its k-th
-nearest; a bounded sample gives the first of these.
+nearest; a bounded sample gives the first of these, and its k best are candidates
+themselves. While a query has fewer than k, all of a block is verified, so that
+it gets k, or all there are.
 
 Every vector is in the index; there is no cap on candidates. Rows without an id,
 vectors that are null, empty or zero or hold null or non-finite components, take
@@ -41,6 +43,9 @@ BLOCK = 4096
 GROUP = 128
 SHARDS = 32
 SEED = 11
+FIRSTS = pa.list_(
+    pa.struct([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+)
 
 
 def directions(length: int) -> np.ndarray:
@@ -126,7 +131,10 @@ class Index:
                 seen[fresh] = True
                 best.offer(query, cosines(vector, self.values[fresh]), self.ids[fresh])
             if share * goal >= distance(best.worst(query, floor)) + 1e-9:
-                return
+                break
+        if not best.whole(query) and not seen.all():
+            rest = np.flatnonzero(~seen)
+            best.offer(query, cosines(vector, self.values[rest]), self.ids[rest])
 
 
 def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
@@ -136,7 +144,7 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
         firsts = np.unique(ids, return_index=True)[1]
         firsts = firsts[np.abs(values[firsts]).max(axis=1) > 0]
         if len(firsts):
-            drawn[length] = (ids[firsts], units(values[firsts]))
+            drawn[length] = (ids[firsts], values[firsts], units(values[firsts]))
 
     names = ["length", "shard", "block", "ids", "values", "order", "line"]
 
@@ -173,20 +181,29 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
         "ann-index",
     )
 
+    asked = ["q_length", "q_ids", "q_values", "floor", "firsts"]
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = Blocks(GROUP)
 
         def out(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
             for (length,), ids, values in found:
                 floor = np.full(len(ids), -1.0)
-                if length in drawn and len(drawn[length][0]) > k:
-                    sample_ids, sample_units = drawn[length]
+                firsts = Best(k)
+                if length in drawn:
+                    sample_ids, sample_values, sample_units = drawn[length]
                     scores = units(values) @ sample_units.T
-                    scores[ids[:, None] == sample_ids] = -1
-                    floor = np.sort(scores, axis=1)[:, -k] - 1e-9
+                    scores[ids[:, None] == sample_ids] = -2
+                    if len(sample_ids) > k:
+                        floor = np.sort(scores, axis=1)[:, -k] - 1e-9
+                    for n, query in enumerate(ids.tolist()):
+                        near = np.flatnonzero(scores[n] >= max(floor[n], -1.5))
+                        own = cosines(values[n], sample_values[near])
+                        firsts.offer(query, own, sample_ids[near])
                 row = [length, ids.tobytes(), values.tobytes(), floor.tobytes()]
+                row.append(firsts.drain(pa.float64()).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v]) for v in row], names=["q_length", "q_ids", "q_values", "floor"]
+                    [*(pa.array([v]) for v in row[:-1]), pa.array(row[-1:], FIRSTS)], names=asked
                 )
 
         for batch in batches:
@@ -200,7 +217,7 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(k)
-        last, found = None, None
+        last, found, told = None, None, set()
         for batch in batches:
             for row in batch.to_pylist():
                 length = row["length"]
@@ -215,6 +232,12 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
                     )
                 queries = np.frombuffer(row["q_values"]).reshape(-1, length)
                 places = units(queries) @ directions(length)
+                group = hash((row["q_ids"], row["q_values"]))
+                if group not in told:
+                    told.add(group)
+                    for first in row["firsts"]:
+                        score, one = np.array([first["score"]]), np.array([first["vec_id"]])
+                        best.offer(first["query_id"], score, one)
                 found.search(
                     np.frombuffer(row["q_ids"], dtype=np.int64),
                     queries,
@@ -222,15 +245,17 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
                     best,
                     np.frombuffer(row["floor"]),
                 )
-                if best.full():
+                if best.full() or len(told) >= best.most:
                     yield best.drain(pa.float64())
+                    told.clear()
         yield best.drain(pa.float64())
 
     # All queries meet all blocks, in blocks: a group of queries goes to every shard of the index.
     groups = mapped(
         index.select("length", "ids", "values"),
         ask,
-        "q_length long, q_ids binary, q_values binary, floor binary",
+        "q_length long, q_ids binary, q_values binary, floor binary, "
+        "firsts array<struct<query_id:bigint,vec_id:bigint,score:double>>",
     ).withColumn("q_shard", F.explode(F.expr(f"sequence(0L, {SHARDS - 1}L)")))
     pairs = index.join(
         groups, (F.col("length") == F.col("q_length")) & (F.col("shard") == F.col("q_shard"))

@@ -90,6 +90,9 @@ class Best:
         rows = self.found.get(query)
         return max(least, -rows[-1][0]) if rows and len(rows) == self.k else least
 
+    def whole(self, query: int) -> bool:
+        return len(self.found.get(query, [])) == self.k
+
     def offer(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
         rows = dict((i, s) for s, i in self.found.get(query, []))
         # Before any cut: the query itself must not take a place.
