@@ -3,13 +3,16 @@
 Words are runs of letters and digits, lowered; a shingle is five words, or all
 words of a notice that has fewer. A document holds a notice if a run of its
 shingles, a quarter longer than the notice, contains at least ``SHARE`` of the
-notice's shingles.
+notice's shingles, and, word for word, each of the phrases that the notice has in
+double braces: versions, and what else tells licenses apart. Notices of up to
+eight words are so found word for word, or nearly.
 
-Windows of two such runs overlap by one, so that every run lies in some window.
-A window's MinHash values are compared with the notice's, a band being one
-value. A window that holds the notice has at least a known similarity to it, and
-there are as many bands as make the chance that all differ at most ``MISS``.
-Windows that agree in some band are verified by exact containment.
+Every run lies in a window of two steps, a step being the next power of two;
+windows overlap by one step. A window's MinHash values are compared with the
+notice's, a band being one value. A window that holds the notice has at least a
+known similarity to it, and there are as many bands as make the chance that all
+differ at most ``MISS``. Windows that agree in some band are verified by exact
+containment.
 
 Null and empty texts hold no notice. Repeated rows give repeated results; equal
 notices in a text count once, with the first best run. Null ids are passed on.
@@ -21,8 +24,11 @@ from __future__ import annotations
 import math
 import re
 import string
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -40,46 +46,49 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 KINDS = kinds_of(string.ascii_lowercase + string.digits)
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
-# Notices as their licenses word them.
-NOTICES = {
-    "all-rights-reserved": "All rights reserved.",
-    "mit-notice": "Released under the MIT License.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "mit": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        'software and associated documentation files (the "Software"), to deal in the Software '
-        "without restriction, including without limitation the rights to use, copy, modify, merge, "
-        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons "
-        "to whom the Software is furnished to do so, subject to the following conditions:"
-    ),
-    "gpl-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms "
-        "of the GNU General Public License as published by the Free Software Foundation, either "
-        "version 3 of the License, or (at your option) any later version."
-    ),
-}
+MARK = re.compile(r"\{\{(.*?)\}\}", re.DOTALL)
+
+
+def shipped() -> dict[str, str]:
+    """Notices by name, as their licenses word them: the texts in the folder ``notices``."""
+    texts = {}
+    for file in sorted(resources.files("measlake.llm").joinpath("notices").iterdir(), key=lambda f: f.name):
+        if file.name == "short.txt":
+            for part in file.read_text(encoding="utf-8").split("\n== ")[1:]:
+                name, text = part.split("\n", 1)
+                texts[name.strip()] = text.strip()
+        elif file.name.endswith(".txt"):
+            texts[file.name.removesuffix(".txt")] = file.read_text(encoding="utf-8")
+    return texts
+
+
+NOTICES = shipped()
 
 
 @dataclass(frozen=True)
 class Template:
-    """A notice: its shingles as words, and how many shingles a run of it has."""
+    """A notice: its shingles as words, how many shingles a run of it has, and its phrases."""
 
     name: str
     width: int
     shingles: frozenset[tuple[bytes, ...]]
     run: int
     least: int
+    phrases: tuple[tuple[bytes, ...], ...] = ()
+
+
+def words_of(text: str) -> list[bytes]:
+    return WORD.findall(text.encode().translate(LOWER))
 
 
 def template(name: str, text: str) -> Template:
-    words = WORD.findall(text.encode().translate(LOWER))
+    words = words_of(text)
+    phrases = tuple(dict.fromkeys(tuple(words_of(m)) for m in MARK.findall(text)))
     width = min(SHINGLE, len(words))
     count = len(words) - width + 1
     shingles = frozenset(tuple(words[i : i + width]) for i in range(count))
-    return Template(name, width, shingles, count + count // 4, math.ceil(SHARE * len(shingles)))
+    least = math.ceil(SHARE * len(shingles))
+    return Template(name, width, shingles, count + count // 4, least, phrases)
 
 
 def shingled(hashes: np.ndarray, firsts: np.ndarray, width: int) -> np.ndarray:
@@ -113,93 +122,162 @@ class Scanner:
         self.templates = [template(name, text) for name, text in notices.items()]
         self.words = Words(KINDS)
         random = np.random.default_rng(SEED)
-        # Notices of one shingle width and run length share their windows.
+        # Notices of one shingle width and step share their windows, and all of a width its orders.
         self.classes: dict[tuple[int, int], list[int]] = {}
         for i, t in enumerate(self.templates):
-            self.classes.setdefault((t.width, t.run), []).append(i)
-        self.bands = {}
-        for (width, run), own in self.classes.items():
-            window = 2 * run if run > 1 else 1
+            step = 1 << (t.run - 1).bit_length()
+            self.classes.setdefault((t.width, step), []).append(i)
+        self.counts: dict[tuple[int, int], int] = {}
+        for (width, step), own in self.classes.items():
+            window = 2 * step if step > 1 else 1
             like = min(
                 t.least / (window + len(t.shingles) - t.least)
                 for t in (self.templates[i] for i in own)
             )
             count = 1 if like >= 1 else math.ceil(math.log(MISS) / math.log(1 - like))
-            orders = [
+            self.counts[width, step] = count
+        self.orders: dict[int, list[tuple[np.uint32, np.uint32]]] = {}
+        for width in sorted({width for width, _ in self.classes}):
+            count = max(c for (w, _), c in self.counts.items() if w == width)
+            self.orders[width] = [
                 (np.uint32(a | 1), np.uint32(b))
                 for a, b in random.integers(0, 2**32, (count, 2), dtype=np.uint32).tolist()
             ]
+        self.values = {}
+        for (width, step), own in self.classes.items():
+            orders = self.orders[width][: self.counts[width, step]]
             values = []
             for i in own:
                 texts = [b" ".join(s) for s in self.templates[i].shingles]
                 hashes, firsts = self.words(texts)
                 shingles = shingled(hashes, firsts, width)
                 values.append([permuted(shingles, *o).min() for o in orders])
-            self.bands[width, run] = orders, np.array(values)
-
-    def candidates(self, shingles: np.ndarray, key: tuple[int, int]) -> np.ndarray:
-        """Which windows (rows) agree with which notices of the class (columns) in some band."""
-        run = key[1]
-        begins = np.arange(0, len(shingles), run)
-        orders, values = self.bands[key]
-        agree = np.zeros((len(begins), len(values)), dtype=bool)
-        for j, order in enumerate(orders):
-            least = np.minimum.reduceat(permuted(shingles, *order), begins)
-            if run > 1:
-                least[:-1] = np.minimum(least[:-1], least[1:])
-            for i in range(len(values)):
-                agree[:, i] |= least == values[i, j]
+            self.values[width, step] = np.array(values)
+
+    def candidates(self, shingles: np.ndarray, width: int) -> dict[int, np.ndarray]:
+        """By step: which windows (rows) agree with which notices (columns) in some band."""
+        steps = sorted(step for w, step in self.classes if w == width)
+        agree = {
+            step: np.zeros((-(-len(shingles) // step), len(self.classes[width, step])), dtype=bool)
+            for step in steps
+        }
+        for j, order in enumerate(self.orders[width]):
+            least, size = permuted(shingles, *order), 1
+            for step in steps:
+                while size < step:
+                    if len(least) % 2:
+                        least = np.append(least, np.uint32(0xFFFFFFFF))
+                    least, size = np.minimum(least[::2], least[1::2]), 2 * size
+                if j >= self.counts[width, step]:
+                    continue
+                windows = least
+                if step > 1:
+                    windows = least.copy()
+                    windows[:-1] = np.minimum(least[:-1], least[1:])
+                for i, value in enumerate(self.values[width, step][:, j]):
+                    agree[step][:, i] |= windows == value
         return agree
 
     def __call__(self, texts: list[bytes]) -> list[list[tuple[int, int, int, float]]]:
         """Per text: notice, first word and end of the best run's matches, share contained."""
         texts = [t.translate(LOWER) for t in texts]
         hashes, firsts = self.words(texts)
-        found: list[dict[int, tuple[int, int, int, float]]] = [{} for _ in texts]
+        # Where in a text a notice may be: pieces of (first, end) words, by text and notice.
+        places: dict[tuple[int, int], list[tuple[int, int]]] = {}
         if not len(hashes):
             return [[] for _ in texts]
-        split: dict[int, list[bytes]] = {}
-        widths = {width for width, _ in self.classes}
-        shingles = {width: shingled(hashes, firsts, width) for width in widths}
-        for key, own in self.classes.items():
-            width, run = key
-            for row, column in np.argwhere(self.candidates(shingles[width], key)).tolist():
-                low, high = row * run, min((row + 2) * run if run > 1 else row + 1, len(hashes))
-                # The window may hold the end of one text and the begin of others.
-                first = int(np.searchsorted(firsts, low, side="right")) - 1
-                last = int(np.searchsorted(firsts, high - 1, side="right")) - 1
-                for text in range(first, last + 1):
-                    if text not in split:
-                        split[text] = WORD.findall(texts[text])
-                    a = max(low, int(firsts[text])) - int(firsts[text])
-                    b = min(high, int(firsts[text + 1])) - int(firsts[text])
-                    best = contained(self.templates[own[column]], split[text], a, b)
-                    old = found[text].get(own[column])
-                    if best and (old is None or (-best[2], best[0]) < (-old[3], old[1])):
-                        found[text][own[column]] = (own[column], *best)
-        return [sorted(f.values()) for f in found]
+        for width in self.orders:
+            shingles = shingled(hashes, firsts, width)
+            for step, agree in self.candidates(shingles, width).items():
+                own = self.classes[width, step]
+                for row, column in np.argwhere(agree).tolist():
+                    low = row * step
+                    high = min((row + 2) * step if step > 1 else row + 1, len(hashes))
+                    # The window may hold the end of one text and the begin of others.
+                    first = int(np.searchsorted(firsts, low, side="right")) - 1
+                    last = int(np.searchsorted(firsts, high - 1, side="right")) - 1
+                    for text in range(first, last + 1):
+                        begin, end = int(firsts[text]), int(firsts[text + 1])
+                        piece = (max(low, begin) - begin, min(high, end) - begin)
+                        if piece[1] - piece[0] >= self.templates[own[column]].least:
+                            places.setdefault((text, own[column]), []).append(piece)
+        found: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
+        text, words = -1, []
+        for (place, notice), pieces in sorted(places.items()):
+            if place != text:
+                text, words = place, WORD.findall(texts[place])
+            best = None
+            for low, high in joined(pieces):
+                own = contained(self.templates[notice], words, low, high)
+                if own and (best is None or (-own[2], own[0]) < (-best[2], best[0])):
+                    best = own
+            if best:
+                found[text].append((notice, *best))
+        return found
+
+
+def joined(pieces: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Pieces in order, overlapping and adjoining ones as one."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(pieces):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
+def starts_of(phrase: tuple[bytes, ...], words: list[bytes], low: int, high: int) -> list[int]:
+    """Places from ``low`` to ``high`` where the phrase stands in the words."""
+    size = len(phrase)
+    return [
+        i for i in range(low, min(high, len(words)) - size + 1) if tuple(words[i : i + size]) == phrase
+    ]
+
+
+def counted(t: Template, own: list[tuple[bytes, ...]], at: list[int]) -> Iterator[tuple[int, int]]:
+    """For each place in ``at``: how many of the notice's shingles the run from there has."""
+    seen: Counter = Counter()
+    last = 0
+    for n, i in enumerate(at):
+        while last < len(at) and at[last] < i + t.run:
+            seen[own[at[last]]] += 1
+            last += 1
+        yield len(seen), n
+        seen[own[i]] -= 1
+        if not seen[own[i]]:
+            del seen[own[i]]
 
 
 def contained(t: Template, words: list[bytes], low: int, high: int) -> tuple | None:
     """First best run among the shingles that begin from ``low`` to ``high``.
 
     Gives its first matching word, the end of its last, and the share of the
-    notice's shingles it has; nothing if that is too small.
+    notice's shingles it has; nothing if that is too small, or a phrase is not there.
     """
     high = min(high, len(words) - t.width + 1)
     own = [tuple(words[i : i + t.width]) for i in range(low, max(low, high))]
     at = [i for i, s in enumerate(own) if s in t.shingles]
+    if len(at) < t.least:
+        return None
+    phrases = [(len(p), starts_of(p, words, low, high + t.run + t.width)) for p in t.phrases]
     best = None
-    for n, i in enumerate(at):
-        within = [j for j in at[n:] if j < i + t.run]
-        count = len({own[j] for j in within})
-        if count >= t.least and (best is None or count > best[0]):
-            best = (count, low + i, low + within[-1] + t.width)
+    for count, n in counted(t, own, at):
+        if count < t.least or (best is not None and count <= best[0]):
+            continue
+        first, end = low + at[n], low + at[n] + t.run + t.width - 1
+        places = ((size, found, bisect_left(found, first)) for size, found in phrases)
+        if all(p < len(found) and found[p] + size <= end for size, found, p in places):
+            last = at[bisect_left(at, at[n] + t.run) - 1]
+            best = (count, first, low + last + t.width)
     return best and (best[1], best[2], best[0] / len(t.shingles))
 
 
 def find_licenses(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
-    """Each document's id and its ``licenses``: name, first word, end (exclusive), share."""
+    """Each document's id and its ``licenses``: name, first word, end (exclusive), share.
+
+    ``notices`` are texts by name, with phrases that must be there in double braces.
+    """
     names = list(notices)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
