@@ -29,7 +29,8 @@ def powers(base: int, count: int) -> np.ndarray:
 class Words:
     """Words are runs of bytes of one kind; their hashes come from one running sum.
 
-    Slices of a megabyte are hashed at once, cut between words; a longer word is cut.
+    Slices of a megabyte are hashed at once, cut between words; a longer word is hashed
+    piece by piece, and stays one word.
     """
 
     def __init__(self, kinds: np.ndarray) -> None:
@@ -48,6 +49,21 @@ class Words:
         mixed = (sums[ends] - sums[starts]) * self.down[starts]
         return starts, (mixed ^ (mixed >> np.uint64(32))) * MIX
 
+    def long(self, data: np.ndarray, first: int) -> tuple[int, np.ndarray]:
+        """End and hash of the word that begins at ``first``, of any length."""
+        kind, at, total = self.kinds[data[first]], first, 0
+        while at < len(data):
+            part = data[at : at + SLICE]
+            others = np.flatnonzero(self.kinds[part] != kind)
+            part = part[: others[0]] if len(others) else part
+            own = (part.astype(np.uint64) + np.uint64(1)) * self.up[: len(part)]
+            total = (total + int(own.sum()) * pow(PRIME, at - first, 1 << 64)) % (1 << 64)
+            at += len(part)
+            if len(others):
+                break
+        mixed = np.array([total], dtype=np.uint64)
+        return at, (mixed ^ (mixed >> np.uint64(32))) * MIX
+
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all words in order, and the first word of each text (and the end)."""
         data = np.frombuffer(b" ".join(texts), dtype=np.uint8)
@@ -57,8 +73,15 @@ class Words:
         while first < len(data):
             end = min(first + SLICE, len(data))
             if end < len(data):
-                spaces = np.flatnonzero(self.kinds[data[first:end]] == 0)
-                end = first + int(spaces[-1]) + 1 if len(spaces) else end
+                changes = np.flatnonzero(np.diff(self.kinds[data[first:end]]))
+                if len(changes):
+                    end = first + int(changes[-1]) + 1
+                elif self.kinds[data[first]] > 0:
+                    end, own = self.long(data, first)
+                    starts.append(np.array([first]))
+                    hashes.append(own)
+                    first = end
+                    continue
             found, own = self.slice(data[first:end])
             starts.append(found + first)
             hashes.append(own)
