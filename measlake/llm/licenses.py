@@ -14,9 +14,10 @@ known similarity to it, and there are as many bands as make the chance that all
 differ at most ``MISS``. Windows that agree in some band are verified by exact
 containment.
 
-Null and empty texts hold no notice. Repeated rows give repeated results; equal
-notices in a text count once, with the first best run. Null ids are passed on.
-Other columns are not read.
+All runs of a notice that do not overlap are told, best first, then first; the
+digest counts a notice once per text, with its first best run, and counts all
+runs apart. Null and empty texts hold no notice. Repeated rows give repeated
+results. Null ids are passed on. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -179,7 +180,10 @@ class Scanner:
         return agree
 
     def __call__(self, texts: list[bytes]) -> list[list[tuple[int, int, int, float]]]:
-        """Per text: notice, first word and end of the best run's matches, share contained."""
+        """Per text: notice, first word and end of each run's matches, share contained.
+
+        In the order of the notices, and for each the best first.
+        """
         texts = [t.translate(LOWER) for t in texts]
         hashes, firsts = self.words(texts)
         # Where in a text a notice may be: pieces of (first, end) words, by text and notice.
@@ -206,13 +210,10 @@ class Scanner:
         for (place, notice), pieces in sorted(places.items()):
             if place != text:
                 text, words = place, WORD.findall(texts[place])
-            best = None
-            for low, high in joined(pieces):
-                own = contained(self.templates[notice], words, low, high)
-                if own and (best is None or (-own[2], own[0]) < (-best[2], best[0])):
-                    best = own
-            if best:
-                found[text].append((notice, *best))
+            t = self.templates[notice]
+            own = [r for low, high in joined(pieces) for r in runs(t, words, low, high)]
+            own.sort(key=lambda r: (-r[2], r[0]))
+            found[text] += [(notice, *r) for r in own]
         return found
 
 
@@ -249,33 +250,57 @@ def counted(t: Template, own: list[tuple[bytes, ...]], at: list[int]) -> Iterato
             del seen[own[i]]
 
 
-def contained(t: Template, words: list[bytes], low: int, high: int) -> tuple | None:
-    """First best run among the shingles that begin from ``low`` to ``high``.
+def runs(
+    t: Template, words: list[bytes], low: int, high: int
+) -> list[tuple[int, int, float]]:
+    """Runs among the shingles that begin from ``low`` to ``high``, without overlap, best first.
 
-    Gives its first matching word, the end of its last, and the share of the
-    notice's shingles it has; nothing if that is too small, or a phrase is not there.
+    Each with its first matching word, the end of the last that adds to its share,
+    and the share of the notice's shingles it has; only those with a share that is
+    large enough, and with all phrases.
     """
     high = min(high, len(words) - t.width + 1)
     own = [tuple(words[i : i + t.width]) for i in range(low, max(low, high))]
     at = [i for i, s in enumerate(own) if s in t.shingles]
     if len(at) < t.least:
-        return None
+        return []
     phrases = [(len(p), starts_of(p, words, low, high + t.run + t.width)) for p in t.phrases]
-    best = None
-    for count, n in counted(t, own, at):
-        if count < t.least or (best is not None and count <= best[0]):
-            continue
+    enough = sorted((-count, n) for count, n in counted(t, own, at) if count >= t.least)
+    # Ends of the runs taken, by their starts; none overlap.
+    begins: list[int] = []
+    ends: list[int] = []
+    out = []
+    for count, n in enough:
         first, end = low + at[n], low + at[n] + t.run + t.width - 1
+        place = bisect_left(begins, first + 1)
+        if place and ends[place - 1] > first:
+            continue
         places = ((size, found, bisect_left(found, first)) for size, found in phrases)
-        if all(p < len(found) and found[p] + size <= end for size, found, p in places):
-            last = at[bisect_left(at, at[n] + t.run) - 1]
-            best = (count, first, low + last + t.width)
-    return best and (best[1], best[2], best[0] / len(t.shingles))
+        if not all(p < len(found) and found[p] + size <= end for size, found, p in places):
+            continue
+        seen, last = set(), n
+        while len(seen) < -count:
+            seen.add(own[at[last]])
+            last += 1
+        end = low + at[last - 1] + t.width
+        if place < len(begins) and begins[place] < end:
+            continue
+        begins.insert(place, first)
+        ends.insert(place, end)
+        out.append((first, end, -count / len(t.shingles)))
+    return out
+
+
+def contained(t: Template, words: list[bytes], low: int, high: int) -> tuple | None:
+    """First best run among the shingles that begin from ``low`` to ``high``, if there is one."""
+    found = runs(t, words, low, high)
+    return found[0] if found else None
 
 
 def find_licenses(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
     """Each document's id and its ``licenses``: name, first word, end (exclusive), share.
 
+    One for each run of a notice; in the order of the notices, and the best first.
     ``notices`` are texts by name, with phrases that must be there in double braces.
     """
     names = list(notices)
@@ -307,10 +332,15 @@ def find_licenses(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFra
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Number of notices per document, and them as text."""
+    """Number of notices per document, the best run of each as text, and number of all runs."""
+    # The first of a name is its best run.
+    best = F.filter(
+        "licenses",
+        lambda x, i: (i == 0) | (F.get("licenses", i - 1)["name"] != x["name"]),
+    )
     joined = F.array_join(
         F.transform(
-            "licenses",
+            "best",
             lambda x: F.concat_ws(
                 ":",
                 x["name"],
@@ -321,6 +351,9 @@ def digest(found: DataFrame) -> DataFrame:
         ),
         ",",
     )
-    return found.select(
-        "doc_id", F.size("licenses").cast("long").alias("n_licenses"), joined.alias("licenses")
+    return found.select("doc_id", best.alias("best"), F.size("licenses").alias("n_runs")).select(
+        "doc_id",
+        F.size("best").cast("long").alias("n_licenses"),
+        joined.alias("licenses"),
+        F.col("n_runs").cast("long").alias("n_runs"),
     )
