@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from measlake.llm import ann, exact_topk, licenses, mixing, packing, quality, repeats, secrets, sharding, simhash
+from measlake.llm import (
+    ann,
+    dialogue,
+    exact_topk,
+    extract,
+    licenses,
+    mixing,
+    packing,
+    periods,
+    quality,
+    repeats,
+    secrets,
+    sharding,
+    simhash,
+)
 from measlake.llm.common import kept, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +94,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scans")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.find_licenses(table(spark, sf_dir, "documents")))
+
+
+@query("op11_html_extraction")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.digest(extract.main_texts(table(spark, sf_dir, "pages")))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(periods.find_runs(periods.with_repeats(table(spark, sf_dir, "documents"))))
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.digest(table(spark, sf_dir, "conversations"))
