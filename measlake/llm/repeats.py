@@ -20,13 +20,19 @@ holds a whole one: equal strings have their anchors at equal places.
 4. Each chunk marks and cuts its documents.
 
 Chunks and buckets are of bounded size and grow in number. A passage that very
-many documents share comes once from each chunk. Exact copies of a text are
-known beforehand by their hash and sent nowhere. The documents' own shuffle is
-one exchange that all passes read.
-
-A null text is empty. A null id counts as larger than all others. Documents that
-share an id do not shorten each other. Texts below ``LEAST`` bytes stay whole.
-Other columns are not read.
+many documents share comes once from each chunk. Anchors with a very frequent
+hash, where contexts may differ without end (the edge of a footer, a long row of one
+byte), send no contexts: every string of ``LEAST`` bytes around them goes to
+a bucket of its own hash, once per chunk. Chunks are drawn by id and text, so rows
+without an id, or with one repeated id, spread; rows equal in both are one row with a
+count. Exact copies in larger ids are known beforehand by their hash and sent
+nowhere. The documents' own shuffle is one exchange that all passes read. What is
+not bounded is one text: a chunk holds it whole, with up to some hundred bytes
+for each of its anchors.
+
+A null text is empty. A null id, or one that is no integer, counts as larger than all
+others. Documents that share an id do not shorten each other. Texts below ``LEAST``
+bytes stay whole. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -46,11 +52,16 @@ LEAST = 50
 GRAM = 18
 CHUNK = 4 << 20
 BUCKET = 500_000  # anchors
+# A hash is frequent from so many chunks on, each counting as often as it has HEAVY or more of it.
+FREQUENT = 5_000
+HEAVY = 64
 SLICE = 1 << 17
 PER_ANCHOR = (LEAST - GRAM + 2) / 2
 LAST = (1 << 63) - 1
+TIMES = 4096
 
 BASE = 0xD6E8FEB86659FD93
+OTHER_BASE = 0xA0761D6478BD642F
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,6 +103,7 @@ class Chunk:
 
     def __init__(self, table: pa.Table, gram: int, least: int) -> None:
         ranks = table.column("rank").to_numpy()
+        self.prints = table.column("print").to_pylist()
         texts = [t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()]
         self.order = np.argsort(ranks, kind="stable")
         self.ranks = ranks[self.order]
@@ -104,12 +116,52 @@ class Chunk:
     def document(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, places, side="right")
 
+    def among(self, rows: pa.Table) -> np.ndarray:
+        """Which documents are among rows of rank and print."""
+        known = set(zip(rows.column("rank").to_pylist(), rows.column("print").to_pylist()))
+        own = zip(self.ranks.tolist(), (self.prints[i] for i in self.order.tolist()))
+        return np.fromiter((pair in known for pair in own), dtype=bool, count=len(self.texts))
+
     def hashes(self, places: np.ndarray) -> np.ndarray:
         """Hashes of the grams at the places."""
         total = np.zeros(len(places), dtype=np.uint64)
-        for i in range(self.gram):
-            total = total * np.uint64(BASE) + (self.data[places + i].astype(np.uint64) + np.uint64(1))
-        return finished(total)
+        for first in range(0, len(places), SLICE):
+            part = places[first : first + SLICE]
+            sums = np.zeros(len(part), dtype=np.uint64)
+            for i in range(self.gram):
+                sums = sums * np.uint64(BASE) + (self.data[part + i].astype(np.uint64) + np.uint64(1))
+            total[first : first + SLICE] = finished(sums)
+        return total
+
+    def strings(self, places: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Starts of all strings that hold a gram at one of the places and do not cross documents.
+
+        Also which distinct string each start has; and two hashes and the smallest rank of each
+        distinct string, by hash.
+        """
+        document = self.document(places)
+        low = np.maximum(places - (self.least - self.gram), self.starts[document])
+        high = np.minimum(places, self.ends[document] - self.least) + 1
+        some = low < high
+        edges = np.zeros(len(self.data) + 1, dtype=np.int32)
+        np.add.at(edges, low[some], 1)
+        np.add.at(edges, high[some], -1)
+        starts = np.flatnonzero(np.cumsum(edges[:-1], dtype=np.int32))
+        one, other = (np.zeros(len(starts), dtype=np.uint64) for _ in range(2))
+        for first in range(0, len(self.data), SLICE):
+            a, b = np.searchsorted(starts, [first, first + SLICE])
+            if a < b:
+                part = self.data[first : first + SLICE + self.least - 1]
+                one[a:b] = rolling(part, self.least)[starts[a:b] - first]
+                other[a:b] = rolling(part, self.least, OTHER_BASE)[starts[a:b] - first]
+        # Starts ascend with the ids, so the first of equal strings is of the smallest document.
+        order = np.lexsort((other, one))
+        one, other = one[order], other[order]
+        begins = np.append(True, (one[1:] != one[:-1]) | (other[1:] != other[:-1]))[: len(one)]
+        which = np.empty(len(starts), dtype=np.int64)
+        which[order] = np.cumsum(begins) - 1
+        firsts = starts[order[begins]]
+        return starts, which, one[begins], other[begins], self.ranks[self.document(firsts)]
 
     def anchors(self) -> np.ndarray:
         """Places of all anchors. No gram crosses documents."""
@@ -156,10 +208,10 @@ def finished(sums: np.ndarray) -> np.ndarray:
     return sums ^ (sums >> np.uint64(29))
 
 
-def rolling(data: np.ndarray, length: int) -> np.ndarray:
+def rolling(data: np.ndarray, length: int, with_base: int = BASE) -> np.ndarray:
     """Hash of the ``length`` bytes at every place, put together from powers of two."""
     part = data.astype(np.uint64) + np.uint64(1)
-    have, base = 1, BASE
+    have, base = 1, with_base
     total, done = None, 0
     while True:
         if length & have:
@@ -168,7 +220,7 @@ def rolling(data: np.ndarray, length: int) -> np.ndarray:
             else:
                 # The part stands before what is there already.
                 count = len(data) - done - have + 1
-                factor = np.uint64(pow(BASE, done, 1 << 64))
+                factor = np.uint64(pow(with_base, done, 1 << 64))
                 total = part[:count] * factor + total[have : have + count]
             done += have
         if done == length:
@@ -263,6 +315,24 @@ def repeated(
     return masks
 
 
+def collapsed(places: np.ndarray, document: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """First of each row of neighbouring places with one hash in one document."""
+    alike = (np.diff(places) == 1) & (hashes[1:] == hashes[:-1]) & (document[1:] == document[:-1])
+    return np.flatnonzero(np.append(True, ~alike)[: len(places)])
+
+
+def found_in(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which values are among ascending ones."""
+    if not len(among):
+        return np.zeros(len(values), dtype=bool)
+    there = np.zeros(len(values), dtype=bool)
+    for first in range(0, len(values), SLICE):
+        part = values[first : first + SLICE]
+        at = np.minimum(np.searchsorted(among, part), len(among) - 1)
+        there[first : first + SLICE] = among[at] == part
+    return there
+
+
 def grouped_by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -270,32 +340,52 @@ def grouped_by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(bucket[rows[0]]), rows
 
 
+def once_each(docs: DataFrame, twins: DataFrame) -> DataFrame:
+    """Rows equal in id and text once, with their number ``n``.
+
+    ``twins`` is read from its file, so a small one, as usual, moves no texts.
+    """
+    named = twins.select(
+        F.col("doc_id").alias("twin_id"), F.col("rank").alias("twin_rank"), F.col("print").alias("twin_print"), "n"
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("twin_id")) & (F.col("rank") == F.col("twin_rank"))
+    same &= F.col("print") == F.col("twin_print")
+    single = docs.join(named, same, "left_anti").withColumn("n", F.lit(1).cast("long"))
+    several = docs.join(named, same).groupBy("doc_id", "rank", "print", "n").agg(F.first("text").alias("text"))
+    return single.unionByName(several)
+
+
 def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFrame:
     """Per document: doc_id, n_bytes, spans removed (start and end in bytes), bytes that remain."""
     docs = docs.select(
         "doc_id",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"),
+        F.coalesce(F.col("doc_id").try_cast("long"), F.lit(LAST)).alias("rank"),
         F.coalesce("text", F.lit("")).alias("text"),
-    )
+    ).withColumn("print", F.unhex(F.md5("text")))
     total = docs.agg(F.sum(text_bytes())).first()[0] or 0
     chunks = total // CHUNK + 1
     buckets = int(total / PER_ANCHOR / BUCKET) + 1
-    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("rank"), F.lit(chunks)).cast("int"))
+    chunk_of = F.pmod(F.xxhash64("rank", "print"), F.lit(chunks)).cast("int")
     prints = kept(
-        docs.select("rank", "chunk", F.md5("text").alias("print")), "repeats-prints"
+        docs.groupBy("doc_id", "rank", "print").agg(F.count(F.lit(1)).alias("n")), "repeats-prints"
     )
     # Written first, so that the join below may split a text with very many copies.
     firsts = kept(
         prints.groupBy("print")
-        .agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .drop("n"),
+        .agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("rows"))
+        .where("rows > 1")
+        .drop("rows"),
         "repeats-firsts",
     )
     copies = kept(
-        prints.join(firsts, "print").where("rank > first").select("chunk", "rank"),
+        prints.join(firsts, "print")
+        .where("rank > first")
+        .select(chunk_of.alias("chunk"), "rank", "print")
+        .distinct(),
         "repeats-copies",
     )
+    twins = kept(prints.where("n > 1"), "repeats-twins")
+    docs = once_each(docs, twins).withColumn("chunk", chunk_of)
 
     def bucket_of(hashes: np.ndarray) -> np.ndarray:
         return ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
@@ -307,22 +397,29 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
     def seeds(key: tuple, texts: pa.Table, dropped: pa.Table) -> pa.Table:
         number = key[0].as_py()
         chunk = Chunk(texts, gram, least)
-        skipped = np.isin(chunk.ranks, dropped.column("rank").to_numpy())
+        skipped = chunk.among(dropped)
         places = chunk.anchors()
         document = chunk.document(places)
         there = ~skipped[document]
         places, document = places[there], document[there]
         hashes = chunk.hashes(places)
-        order = np.lexsort((chunk.ranks[document], hashes))
-        found, rank = hashes[order], chunk.ranks[document][order]
+        heads = collapsed(places, document, hashes)
+        times = np.diff(np.append(heads, len(places)))
+        hashes, rank = hashes[heads], chunk.ranks[document[heads]]
+        # Places ascend with the ranks, and stable sorting keeps that.
+        order = np.argsort(hashes, kind="stable")
+        found, rank, times = hashes[order], rank[order], times[order]
         begins = np.flatnonzero(np.diff(found, prepend=~found[:1]))
         distinct = found[begins]
         lasts = np.append(begins[1:], len(found)) - 1
         several = rank[begins] != rank[lasts] if len(found) else np.zeros(0, bool)
+        count = np.add.reduceat(times, begins) if len(found) else times
         rows = [(buckets + number, number, blob(steps(places), skipped))]
         for bucket, own in grouped_by_bucket(bucket_of(distinct)):
-            values = short(distinct[own])
-            rows.append((bucket, number, blob(values[~several[own]], values[several[own]])))
+            values, heavy = short(distinct[own]), count[own] >= HEAVY
+            more = several[own]
+            parts = values[~more], values[more], values[heavy], count[own][heavy]
+            rows.append((bucket, number, blob(*parts)))
         return rows_of(rows, ["bucket", "chunk"])
 
     def shared(key: tuple, table: pa.Table) -> pa.Table:
@@ -330,14 +427,17 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
         if bucket >= buckets:
             return table.select(["chunk", "bucket", "bytes", "data"])
         sent = list(arrays_of(table))
-        values = np.sort(np.concatenate([a for _, _, one, more in sent for a in (one, more, more)]))
-        often = np.unique(values[1:][values[1:] == values[:-1]])
+        every = [a for _, _, one, more, *_ in sent for a in (one, more, more)]
+        values, counts = np.unique(np.concatenate(every), return_counts=True)
+        often = values[counts > 1]
+        for _, _, _, _, heavy, count in sent:
+            np.add.at(counts, np.searchsorted(values, heavy), count)
+        frequent = values[counts >= FREQUENT]
         rows = []
-        for _, number, one, more in sent:
-            at = np.searchsorted(often, one)
-            known = one[often[np.minimum(at, len(often) - 1)] == one] if len(often) else one[:0]
-            if len(known) or len(more):
-                rows.append((number, bucket, blob(np.concatenate([known, more]))))
+        for _, number, one, more, *_ in sent:
+            known = np.concatenate([one[found_in(one, often)], more])
+            if len(known):
+                rows.append((number, bucket, blob(known, known[found_in(known, frequent)])))
         return rows_of(rows, ["chunk", "bucket"])
 
     def distinct_contexts(chunk: Chunk, places: np.ndarray) -> tuple:
@@ -355,18 +455,25 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
     def ask(key: tuple, texts: pa.Table, table: pa.Table) -> pa.Table:
         number = key[0].as_py()
         chunk = Chunk(texts, gram, least)
-        wanted = []
+        wanted, often = ([np.zeros(0, np.uint64)] for _ in range(2))
         for _, bucket, *arrays in arrays_of(table):
             if bucket >= buckets:
                 places, skipped = np.cumsum(arrays[0]), arrays[1]
             else:
-                wanted.append(arrays[0].astype(np.uint64) | np.uint64(bucket << 32))
+                for values, to in zip(arrays, (wanted, often)):
+                    to.append(values.astype(np.uint64) | np.uint64(bucket << 32))
         hashes = chunk.hashes(places)
         bucket = bucket_of(hashes)
         full = short(hashes).astype(np.uint64) | (bucket.astype(np.uint64) << np.uint64(32))
-        there = np.isin(full, np.concatenate(wanted)) if wanted else np.zeros(len(full), bool)
+        frequent = found_in(full, np.sort(np.concatenate(often)))
+        there = found_in(full, np.sort(np.concatenate(wanted))) & ~frequent
+        crowded = places[frequent]
         places, bucket = places[there], bucket[there]
-        rows = [(buckets + number, number, blob(steps(places), skipped))]
+        rows = [(buckets + number, number, blob(steps(places), steps(crowded), skipped))]
+        if len(crowded):
+            _, _, one, other, rank = chunk.strings(crowded)
+            for to, own in grouped_by_bucket(bucket_of(one)):
+                rows.append((to, number, blob(one[own], other[own], rank[own], steps(own))))
         if len(places):
             (left, right, before, behind), first, _ = distinct_contexts(chunk, places)
             ranks = chunk.ranks[chunk.document(places)]
@@ -380,10 +487,30 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
         bucket = key[0].as_py()
         if bucket >= buckets:
             return table.select(["chunk", "bucket", "bytes", "data"])
-        sent = [(number, *a[:4], *map(np.cumsum, a[4:])) for _, number, *a in arrays_of(table)]
+        contexts, strings = [], []
+        for _, number, *arrays in arrays_of(table):
+            (strings if len(arrays) == 4 else contexts).append((number, arrays))
+        rows, at = [], 0
+        if strings:
+            one, other, rank = (np.concatenate([a[i] for _, a in strings]) for i in range(3))
+            order = np.lexsort((rank, other, one))
+            heads = np.flatnonzero(
+                np.append(True, np.diff(one[order]).astype(bool) | np.diff(other[order]).astype(bool))
+            )
+            smallest = np.repeat(rank[order][heads], np.diff(np.append(heads, len(order))))
+            later = np.empty(len(order), dtype=bool)
+            later[order] = rank[order] > smallest
+            for number, arrays in strings:
+                own = later[at : at + len(arrays[0])]
+                at += len(own)
+                if own.any():
+                    rows.append((number, bucket, blob(steps(np.cumsum(arrays[3])[own]))))
+        sent = [(number, *a[:4], *map(np.cumsum, a[4:])) for number, a in contexts]
+        if not sent:
+            return rows_of(rows, ["chunk", "bucket"])
         parts = [np.concatenate(p) for p in zip(*(s[1:6] for s in sent))]
         masks = repeated(*parts, gram, least)
-        rows, at = [], 0
+        at = 0
         for number, *_, numbers in sent:
             own = masks[at : at + len(numbers)]
             at += len(own)
@@ -397,14 +524,24 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
 
     def cut(texts: pa.Table, table: pa.Table) -> pa.Table:
         chunk = Chunk(texts, gram, least)
-        sent = []
+        sent, known = [], []
         for _, bucket, *arrays in arrays_of(table):
             if bucket >= buckets:
-                places, skipped = np.cumsum(arrays[0]), arrays[1]
+                places, crowded, skipped = np.cumsum(arrays[0]), np.cumsum(arrays[1]), arrays[2]
+            elif len(arrays) == 1:
+                known.append(np.cumsum(arrays[0]))
             else:
                 sent.append(arrays)
         size = len(chunk.data)
         edges = np.zeros(size + 1, dtype=np.int32)
+        if len(crowded):
+            starts, which, one, _, rank = chunk.strings(crowded)
+            elsewhere = np.zeros(len(one), dtype=bool)
+            for numbers in known:
+                elsewhere[numbers] = True
+            hit = elsewhere[which] | (chunk.ranks[chunk.document(starts)] > rank[which])
+            edges[starts[hit]] += 1
+            edges[starts[hit] + least] -= 1
         if len(places):
             (_, _, before, behind), first, which = distinct_contexts(chunk, places)
             masks = np.zeros(len(first), dtype=np.uint64)
@@ -440,6 +577,7 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
         return pa.table(
             {
                 "doc_id": texts.column("doc_id").take(pa.array(chunk.order)),
+                "n": texts.column("n").take(pa.array(chunk.order)),
                 "n_bytes": pa.array(chunk.ends - chunk.starts),
                 "spans": pa.array(spans, span_type),
                 "remaining": pa.array(remaining, pa.binary()),
@@ -453,11 +591,17 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
     known = sent.groupBy("bucket").applyInArrow(shared, to_chunk)
     asked = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(ask, to_bucket)
     answers = asked.groupBy("bucket").applyInArrow(answer, to_chunk)
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(
+    found = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(
         cut,
-        f"doc_id {id_type}, n_bytes long, spans array<struct<start:bigint,end:bigint>>, "
+        f"doc_id {id_type}, n long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, "
         "remaining binary",
     )
+    # Two steps, so that no array grows with the number of equal rows alone.
+    columns = ["doc_id", "n_bytes", "spans", "remaining"]
+    steps_of = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(TIMES).cast("long"))
+    found = found.select(*columns, "n", F.explode(steps_of).alias("from"))
+    times = F.least(F.lit(TIMES), F.col("n") - F.col("from")).cast("int")
+    return found.select(*columns, F.explode(F.array_repeat(F.lit(0), times)).alias("again")).drop("again")
 
 
 def digest(found: DataFrame) -> DataFrame:
