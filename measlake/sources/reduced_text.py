@@ -61,9 +61,19 @@ def parse(texts: DataFrame) -> DataFrame:
         "header",
         "points",
     )
+    fields = described(parts.select(*keep, "header", "points"))
+    return fields.select(
+        *[c for c in fields.columns if c != "points"],
+        *[F.col("points")[c].alias(c) for c in ("q", "r", "dr", "dq")],
+    )
+
+
+def described(parts: DataFrame) -> DataFrame:
+    """Replace ``header``, the joined header lines, by the fields found in it."""
+    keep = [c for c in parts.columns if c != "header"]
     header = F.col("header")
     found = once(
-        parts.select(*keep, "header", "points"),
+        parts,
         F.struct(
             strip(capture_text(header, _START)).alias("start"),
             strip(capture_text(header, _REDUCED_AT)).alias("reduced"),
@@ -96,7 +106,6 @@ def parse(texts: DataFrame) -> DataFrame:
             F.transform(F.regexp_extract_all(header, F.lit(_RUN_TABLE), F.lit(1)), to_number),
             lambda angle: angle.isNotNull(),
         ).alias("two_theta"),
-        *[F.col("points")[c].alias(c) for c in ("q", "r", "dr", "dq")],
     )
 
 
