@@ -8,6 +8,8 @@ that brings a curve and its model together.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,7 +23,16 @@ ACCEPT_BELOW = 0.5
 # A point of the sorted line: larger q first; on equal q knots come before
 # points and later knots before earlier ones.
 _ITEM = "STRUCT<down: DOUBLE, kind: INT, back: INT, q: DOUBLE, r: DOUBLE, q0: DOUBLE, r0: DOUBLE>"
-PROBE = f"STRUCT<knots: ARRAY<{_ITEM}>, q_min: DOUBLE, q_max: DOUBLE, usable: BOOLEAN>"
+_PIECE = "STRUCT<q_from: DOUBLE, q_to: DOUBLE, low: DOUBLE, high: DOUBLE>"
+PROBE = (
+    f"STRUCT<knots: ARRAY<{_ITEM}>, q_min: DOUBLE, q_max: DOUBLE, usable: BOOLEAN, envelope: ARRAY<{_PIECE}>>"
+)
+# Parts that a curve and a probe are summed up in for lower bounds.
+PIECES = 16
+# Beyond this size a mean distance could overflow, and then the range decides instead.
+_BOUNDED = 1e100
+# Rounding may put an interpolated value outside its knots.
+_SLACK = 1 - 1e-9
 _KNOT, _POINT = 0, 1
 
 
@@ -69,12 +80,95 @@ def probe(q: Column, r: Column) -> Column:
         )
 
     low, high = _bounds(q)
-    return F.struct(
-        let(F.sort_array(pairs), knots).alias("knots"),
-        low.alias("q_min"),
-        high.alias("q_max"),
-        (_has_values(q) & _has_values(r)).alias("usable"),
-    )
+    usable = _has_values(q) & _has_values(r)
+
+    def prepared(line: Column) -> Column:
+        return F.struct(
+            line.alias("knots"),
+            low.alias("q_min"),
+            high.alias("q_max"),
+            usable.alias("usable"),
+            envelope(line).alias("envelope"),
+        )
+
+    return let(let(F.sort_array(pairs), knots), prepared)
+
+
+def _in_pieces(items: Column, piece: Callable[[Column], Column]) -> Column:
+    """One value for each of at most ``PIECES`` slices of equal length."""
+
+    def cut(step: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: i * step < F.size(items))
+        return F.transform(starts, lambda i: let(F.slice(items, i * step + 1, step), piece))
+
+    return let(F.ceil(F.size(items) / F.lit(PIECES)).cast("int"), cut)
+
+
+def envelope(knots: Column) -> Column:
+    """Lowest and highest value of the line through the knots, piece by piece.
+
+    Null if a knot has no finite place and size; then no lower bound holds.
+    """
+
+    def piece(part: Column) -> Column:
+        first = F.get(part, F.lit(0))
+        return F.struct(
+            F.coalesce(first["q0"], first["q"]).alias("q_from"),
+            F.try_element_at(part, F.lit(-1))["q"].alias("q_to"),
+            F.least(F.array_min(part["r"]), first["r0"]).alias("low"),
+            F.greatest(F.array_max(part["r"]), first["r0"]).alias("high"),
+        )
+
+    sound = F.forall(knots, lambda k: (F.abs(k["r"]) <= _BOUNDED) & ~F.isnan(k["q"]))
+    return F.when(sound & (F.size(knots) >= 2), _in_pieces(knots, piece))
+
+
+def outline(q: Column, r: Column) -> Column:
+    """A measured curve in parts: range of q, of r, number of points, largest size of r.
+
+    Null if a point has no place or no finite size, or the lengths differ.
+    """
+    pairs = F.arrays_zip(q.alias("q"), r.alias("r"))
+
+    def piece(part: Column) -> Column:
+        return F.struct(
+            F.array_min(part["q"]).alias("q_from"),
+            F.array_max(part["q"]).alias("q_to"),
+            F.array_min(part["r"]).alias("low"),
+            F.array_max(part["r"]).alias("high"),
+            F.size(part).alias("n"),
+            F.greatest(F.array_max(F.transform(part["r"], F.abs)), F.lit(MIN_R)).alias("peak"),
+        )
+
+    sound = F.forall(pairs, lambda p: F.coalesce((F.abs(p["r"]) <= _BOUNDED) & ~F.isnan(p["q"]), F.lit(False)))
+    return F.when((F.size(q) == F.size(r)) & sound, _in_pieces(pairs, piece))
+
+
+def error_bound(parts: Column, pieces: Column) -> Column:
+    """What the mean relative distance of a curve to a probe is at least (0 if nothing is known).
+
+    A part that lies in the probe's range counts with the gap between its values
+    and those of the pieces above it; any other part that touches the range may
+    add points without distance. Without a part inside there may be no point to
+    compare, and then the range decides.
+    """
+    first = F.get(pieces, F.lit(0))["q_from"]
+    last = F.try_element_at(pieces, F.lit(-1))["q_to"]
+    zero = F.lit(0.0)
+
+    def add(state: Column, part: Column) -> Column:
+        above = F.filter(pieces, lambda p: (p["q_to"] >= part["q_from"]) & (p["q_from"] <= part["q_to"]))
+        gap = F.greatest(F.array_min(above["low"]) - part["high"], part["low"] - F.array_max(above["high"]), zero)
+        inside = (part["q_from"] >= first) & (part["q_to"] <= last)
+        touching = (part["q_to"] >= first) & (part["q_from"] <= last)
+        return F.struct(
+            (state["total"] + F.when(inside, part["n"] * gap / part["peak"]).otherwise(zero)).alias("total"),
+            (state["n"] + F.when(touching, part["n"]).otherwise(0)).alias("n"),
+        )
+
+    start = F.struct(zero.alias("total"), F.lit(0).alias("n"))
+    bound = F.aggregate(parts, start, add, lambda s: F.try_divide(s["total"], s["n"]) * _SLACK)
+    return F.coalesce(F.when(parts.isNotNull() & pieces.isNotNull(), bound), zero)
 
 
 def points(q: Column, r: Column) -> Column:
@@ -144,29 +238,94 @@ def range_distance(q_min: Column, q_max: Column, probe_min: Column, probe_max: C
     ) / F.greatest(q_max, floor)
 
 
+def _run(q: Column, r: Column) -> Column:
+    """What all comparisons of a curve share."""
+    low, high = _bounds(q)
+    return F.struct(
+        points(q, r).alias("curve"),
+        low.alias("low"),
+        high.alias("high"),
+        (F.size(q) == F.size(r)).alias("even"),
+        outline(q, r).alias("parts"),
+    )
+
+
+def _score(run: Column, item: Column) -> Column:
+    """The exact score of one probe."""
+    error = F.when(run["even"] & (F.size(item["knots"]) >= 2), curve_error(run["curve"], item["knots"]))
+    by_range = range_distance(run["low"], run["high"], item["q_min"], item["q_max"])
+    return let(error, lambda e: F.when(e < F.lit(float("inf")), e).otherwise(by_range))
+
+
 def scores(q: Column, r: Column, probes: Column) -> Column:
     """Array of (score, dataset) of one curve against all probes of its model."""
-    low, high = _bounds(q)
-    same_length = F.size(q) == F.size(r)
-    bound = F.struct(points(q, r).alias("curve"), low.alias("low"), high.alias("high"))
 
     def against_all(run: Column) -> Column:
         def score(item: Column, i: Column) -> Column:
-            def choose(error: Column) -> Column:
-                by_range = range_distance(run["low"], run["high"], item["q_min"], item["q_max"])
+            found = F.struct(_score(run, item).alias("score"), i.cast("int").alias("dataset"))
+            return F.when(item["usable"], found)
+
+        return F.filter(F.transform(probes, score), lambda s: s.isNotNull())
+
+    return F.when(_has_values(q), let(_run(q, r), against_all))
+
+
+def closest(q: Column, r: Column, probes: Column) -> Column:
+    """The ``best`` of ``scores``, comparing only probes that can still win.
+
+    Probes come in the order of their lower bounds; one whose bound is above the best
+    score so far is passed by. ``compared`` and ``usable`` count the probes.
+    """
+    start = F.struct(
+        F.lit(None).cast("double").alias("score"),
+        F.lit(None).cast("int").alias("dataset"),
+        F.lit(0).alias("compared"),
+    )
+
+    def against_some(run: Column) -> Column:
+        bounds = F.filter(
+            F.transform(
+                probes,
+                lambda item, i: F.when(
+                    item["usable"],
+                    F.struct(
+                        error_bound(run["parts"], item["envelope"]).alias("bound"), i.cast("int").alias("dataset")
+                    ),
+                ),
+            ),
+            lambda b: b.isNotNull(),
+        )
+
+        def step(state: Column, item: Column) -> Column:
+            def choose(score: Column) -> Column:
+                wins = score.isNotNull() & (
+                    state["score"].isNull()
+                    | (score < state["score"])
+                    | ((score == state["score"]) & (item["dataset"] < state["dataset"]))
+                )
                 return F.struct(
-                    F.when(error < F.lit(float("inf")), error).otherwise(by_range).alias("score"),
-                    i.cast("int").alias("dataset"),
+                    F.when(wins, score).otherwise(state["score"]).alias("score"),
+                    F.when(wins, item["dataset"]).otherwise(state["dataset"]).alias("dataset"),
+                    (state["compared"] + 1).alias("compared"),
                 )
 
-            error = F.when(
-                same_length & (F.size(item["knots"]) >= 2), curve_error(run["curve"], item["knots"])
-            )
-            return F.when(item["usable"], let(error, choose))
-
-        return F.filter(F.transform(probes, score), lambda s: s.isNotNull())
+            passed = F.coalesce(item["bound"] > state["score"], F.lit(False))
+            exact = _score(run, F.get(probes, item["dataset"]))
+            return F.when(passed, state).otherwise(let(exact, choose))
+
+        return F.aggregate(
+            F.sort_array(bounds),
+            start,
+            step,
+            lambda s: F.struct(
+                s["score"].alias("score"),
+                s["dataset"].alias("dataset"),
+                s["compared"].alias("compared"),
+                F.size(bounds).alias("usable"),
+            ),
+        )
 
-    return F.when(_has_values(q), let(bound, against_all))
+    return F.when(_has_values(q), let(_run(q, r), against_some))
 
 
 def best(scored: Column) -> Column:

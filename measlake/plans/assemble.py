@@ -135,7 +135,7 @@ def prepare(wide: DataFrame, ingest_id: str, ingest_time: Column, parse_text: bo
     needed = F.col("dataset_index").isNull() & (F.col("model.num_experiments") > 1)
     probes = F.transform("model.datasets", lambda d: d["probe"])
     winner = F.when(
-        needed, curve_match.best(curve_match.scores(F.col("curve.q"), F.col("curve.r"), probes))
+        needed, curve_match.closest(F.col("curve.q"), F.col("curve.r"), probes)
     )
     chosen = once(
         wide.withColumn("errors", _errors()),

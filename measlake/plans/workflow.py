@@ -83,7 +83,7 @@ def match_runs(located: DataFrame, jobs: DataFrame) -> DataFrame:
         F.col("curve.q").alias("q"),
         F.col("curve.r").alias("r"),
     )
-    winner = curve_match.best(curve_match.scores(F.col("q"), F.col("r"), F.col("probes")))
+    winner = curve_match.closest(F.col("q"), F.col("r"), F.col("probes"))
     matched = once(
         narrow.join(probes, ["job", "chunk"]),
         F.struct(curve_match.matched_dataset(winner).alias("matched")),

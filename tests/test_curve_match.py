@@ -112,3 +112,70 @@ def test_named_cases(spark):
 def test_nan_point_takes_the_first_knot(spark):
     cases = [([0.1, math.nan], [1.0, 1.0], [([0.1, 0.2], [1.0, 9.0])])]
     assert matched(spark, cases) == {0: 0}
+
+
+def pruned(spark, cases):
+    rows = [(i, q, r, [{"q": a, "r": b} for a, b in probes]) for i, (q, r, probes) in enumerate(cases)]
+    probes = F.transform("d", lambda d: curve_match.probe(d["q"], d["r"]))
+    df = spark.createDataFrame(rows, SCHEMA)
+    all_scores = curve_match.scores(F.col("q"), F.col("r"), F.col("p"))
+    df = df.withColumn("p", probes).select(
+        "id",
+        curve_match.best(all_scores).alias("best"),
+        curve_match.closest(F.col("q"), F.col("r"), F.col("p")).alias("closest"),
+        F.transform("p", lambda p: curve_match.error_bound(curve_match.outline(F.col("q"), F.col("r")), p["envelope"])).alias("bounds"),
+        all_scores.alias("scores"),
+    )
+    return df.collect()
+
+
+def check_pruned(rows):
+    for row in rows:
+        won = row.best or (None, None)
+        found = row.closest or (None, None)
+        assert repr((won[0], won[1])) == repr((found[0], found[1])), row.id
+        for score, dataset in row.scores or ():
+            # A bound holds for whatever decides.
+            assert score is None or math.isnan(score) or row.bounds[dataset] <= score
+
+
+def test_closest_is_the_best_of_all(spark):
+    rng = random.Random(21)
+    cases = [random_case(rng) for _ in range(150)]
+    nan, inf = math.nan, math.inf
+    far = [([0.1 * k for k in range(1, 40)], [float(d)] * 39) for d in (9, 1, 30, 1, 2, 500)]
+    q = [0.5 + 0.01 * k for k in range(100)]
+    cases += [
+        (q, [1.1] * 100, far),
+        (q, [1.0] * 100, far),
+        (q, [1e200] * 100, far),
+        (q, [-2.0] * 100, far),
+        (q, [0.0] * 100, far),
+        (q, [nan] * 100, far),
+        (q, [1.0] * 99, far),
+        (q[:1], [2.0], far),
+        ([9.0, 9.5], [1.0, 1.0], far),
+        (q, [1.0] * 100, [(q, [inf] * 100), (q, [nan] * 100), (q, [1.5] * 100)]),
+        (q, [1.0] * 100, [([0.5, nan, 1.5], [5.0, 5.0, 5.0]), (q, [1.5] * 100)]),
+    ]
+    rows = pruned(spark, cases)
+    check_pruned(rows)
+    found = {row.id: row.closest for row in rows}
+    assert found[150]["compared"] < found[150]["usable"] == 6
+    assert found[151]["dataset"] == 1
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10**6))
+def test_bounds_hold_on_steep_curves(spark, seed):
+    rng = random.Random(seed)
+    cases = []
+    for _ in range(25):
+        q = sorted(rng.uniform(0, 1) for _ in range(rng.randint(1, 60)))
+        r = [math.exp(-8 * x) * rng.choice([1, -1, 1.01, 3]) for x in q]
+        probes = []
+        for _ in range(5):
+            at = sorted(rng.uniform(-0.1, rng.choice([0.5, 1.1])) for _ in range(rng.randint(2, 50)))
+            probes.append((at, [math.exp(-8 * x) * rng.choice([1, 2, 0.2, -1]) for x in at]))
+        cases.append((q, r, probes))
+    check_pruned(pruned(spark, cases))

@@ -93,6 +93,55 @@ def curve_match_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Datasets of the models below: the mean curve, moved up by quarters.
+SHIFTS = 12
+
+_CLOSEST_SQL = f"""
+WITH points AS (
+  SELECT vec_id, label, i AS pos, 2 + CAST(embedding[i] AS DOUBLE) + vec_id % 5 AS r
+  FROM embeddings, unnest(generate_series(1, len(embedding))) AS t(i)
+),
+means AS (SELECT label, pos, avg(r - vec_id % 5) AS r FROM points GROUP BY 1, 2),
+lines AS (SELECT label, pos / 100.0::DOUBLE AS q, r, lag(r) OVER (PARTITION BY label ORDER BY pos) AS r0 FROM means),
+errors AS (
+  SELECT p.vec_id, d AS dataset,
+    avg(abs((l.r0 + l.r) / 2 + d / 4.0::DOUBLE - p.r) / greatest(abs(p.r), 1e-12::DOUBLE)) AS score
+  FROM points p JOIN lines l ON l.label = p.label AND l.q = (p.pos + 1) / 100.0::DOUBLE, generate_series(0, {SHIFTS - 1}) AS t(d)
+  WHERE l.r0 IS NOT NULL GROUP BY 1, 2
+)
+SELECT vec_id, CAST(arg_min(dataset, struct_pack(s := score, d := dataset)) AS INTEGER) AS dataset,
+  round(min(score), 6) AS score, {SHIFTS} AS usable
+FROM errors GROUP BY 1
+"""
+
+
+@query("closest_dataset", _CLOSEST_SQL)
+def closest_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector, moved up by its number, against the moved means of its label."""
+    vectors = load(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    values = vectors.select("label", F.posexplode("embedding").alias("i", "v"))
+    means = values.groupBy("label", "i").agg(F.avg(2 + F.col("v").cast("double")).alias("r"))
+    # A model has one knot per vector position, however many vectors there are.
+    lines = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "r"))).alias("k"))
+    grid = F.transform("k", lambda k: (k["i"] + 1) / F.lit(100.0))
+    shifted = F.transform(
+        F.sequence(F.lit(0), F.lit(SHIFTS - 1)),
+        lambda d: curve_match.probe(grid, F.transform("k", lambda k: k["r"] + d / F.lit(4.0))),
+    )
+    models = composed(lines, F.col("label"), shifted.alias("probes"))
+    moved = F.col("vec_id") % 5
+    runs = vectors.select(
+        "vec_id",
+        "label",
+        F.transform("embedding", lambda v, i: (i + 1.5) / F.lit(100.0)).alias("q"),
+        F.transform("embedding", lambda v: 2 + v.cast("double") + moved).alias("r"),
+    )
+    found = runs.join(models, "label").select(
+        "vec_id", F.inline(F.array(curve_match.closest(F.col("q"), F.col("r"), F.col("probes"))))
+    )
+    return found.select("vec_id", "dataset", F.round("score", 6).alias("score"), "usable")
+
+
 # --- checks -------------------------------------------------------------------
 
 _CHECKS_SQL = """
