@@ -1,15 +1,57 @@
-"""Fit parameters: numbers, value objects or references."""
+"""Fit parameters: numbers, value objects or references.
+
+A map is searched key by key, so that a model with as many parameters as
+references would cost their product. Larger maps are looked up in an array of
+their entries sorted by key, by halving.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 # Fields of a parameter, of a reference and of an error entry.
 _SLOT = "slot: STRUCT<value: STRING>, value: STRING"
 REFERENCES = f"MAP<STRING, STRUCT<name: STRING, fixed: STRING, std: STRING, {_SLOT}>>"
 ERRORS = "MAP<STRING, STRUCT<std: STRING>>"
 _REFERENCE_CLASS = "Reference"
+_OBJECT = f"STRUCT<__class__: STRING, id: STRING, {_SLOT}>"
+# A map of up to this size is quicker to search than to sort.
+SEARCHED = 32
+
+
+def index(entries: Column) -> Column:
+    """A map, prepared once for many lookups."""
+    sorted_entries = F.sort_array(F.map_entries(entries))
+    halvings = F.ceil(F.log2(F.size(entries) + F.lit(1.0))).cast("int")
+    large = F.size(entries) > SEARCHED
+    return F.struct(
+        entries.alias("entries"),
+        F.when(large, sorted_entries).alias("sorted"),
+        F.when(large, F.sequence(F.lit(1), halvings)).alias("steps"),
+    )
+
+
+def find(indexed: Column, key: Column) -> Column:
+    """The value of a key, null if it is not there."""
+    entries, steps = indexed["sorted"], indexed["steps"]
+
+    def halved(wanted: Column) -> Column:
+        def step(state: Column, _: Column) -> Column:
+            middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+            below = (state["low"] < state["high"]) & (F.get(entries, middle)["key"] < wanted)
+            return F.struct(
+                F.when(below, middle + 1).otherwise(state["low"]).alias("low"),
+                F.when(below, state["high"]).otherwise(middle).alias("high"),
+            )
+
+        start = F.struct(F.lit(0).alias("low"), F.size(entries).alias("high"))
+        place = F.aggregate(steps, start, step, lambda state: state["low"])
+        return let(F.get(entries, place), lambda e: F.when(e["key"] == wanted, e["value"]))
+
+    return F.when(entries.isNull(), F.try_element_at(indexed["entries"], key)).otherwise(let(key, halved))
 
 
 def _number(text: Column) -> Column:
@@ -39,11 +81,11 @@ def resolve_references(references: Column, errors: Column) -> Column:
     """Map from reference id to its ``value`` and ``std``, once per model.
 
     A reference's own ``std`` wins over the error file, which is keyed by
-    parameter name. Fixed parameters have none.
+    parameter name and comes as an ``index``. Fixed parameters have none.
     """
 
     def entry(_: Column, ref: Column) -> Column:
-        listed = F.try_element_at(errors, F.coalesce(ref["name"], F.lit("")))["std"]
+        listed = find(errors, F.coalesce(ref["name"], F.lit("")))["std"]
         return _resolved(
             _own_value(ref), F.when(is_free(ref), F.coalesce(ref["std"], listed))
         )
@@ -54,9 +96,9 @@ def resolve_references(references: Column, errors: Column) -> Column:
 def resolve(param: Column, resolved: Column) -> Column:
     """Struct of ``value`` and ``std`` of a parameter given as a variant.
 
-    A reference is looked up among the resolved ones; an unknown reference and
-    any other object give their own value, and only references have a ``std``.
-    A quoted number is a text, and a text counts as zero.
+    A reference is looked up among the resolved ones, an ``index``; an unknown
+    reference and any other object give their own value, and only references have a
+    ``std``. A quoted number is a text, and a text counts as zero.
     """
     no_std = F.lit(None).cast("double")
 
@@ -66,13 +108,28 @@ def resolve(param: Column, resolved: Column) -> Column:
     def plain(value: Column) -> Column:
         return F.struct(F.coalesce(value, F.lit(0.0)).alias("value"), no_std.alias("std"))
 
-    kind = F.substring(F.schema_of_variant(param), 1, 6)
-    target = F.when(
-        field("$.__class__") == _REFERENCE_CLASS, F.try_element_at(resolved, field("$.id"))
-    )
-    own = _number(F.coalesce(field("$.slot.value"), field("$.value")))
-    return (
-        F.when(kind == "OBJECT", F.coalesce(target, plain(own)))
-        .when(kind == "STRING", plain(F.lit(0.0)))
-        .otherwise(plain(_number(field("$"))))
+    def of_object(fields: Column) -> Column:
+        target = F.when(fields["__class__"] == _REFERENCE_CLASS, find(resolved, fields["id"]))
+        return F.coalesce(target, plain(_number(_own_value(fields))))
+
+    def of_other(kind: Column) -> Column:
+        # An object with a field of another shape, a slot that is a number say, is read by fields.
+        by_field = F.struct(
+            field("$.__class__").alias("__class__"),
+            field("$.id").alias("id"),
+            F.struct(field("$.slot.value").alias("value")).alias("slot"),
+            field("$.value").alias("value"),
+        )
+        return (
+            F.when(kind == "OBJECT", let(by_field, of_object))
+            .when(kind == "STRING", plain(F.lit(0.0)))
+            .otherwise(plain(let(field("$"), _number)))
+        )
+
+    def typed(fields: Column) -> Column:
+        kind = F.substring(F.schema_of_variant(param), 1, 6)
+        return F.when(fields.isNotNull(), of_object(fields)).otherwise(let(kind, of_other))
+
+    return F.when(param.isNull(), plain(F.lit(0.0))).otherwise(
+        let(F.try_variant_get(param, "$", _OBJECT), typed)
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import layers, params
+from ..functions.text import let
 from ..operators import curve_match
 from ..operators.rows import once
 from .files import read_texts
@@ -79,45 +80,46 @@ def parse(texts: DataFrame) -> DataFrame:
         F.from_json(errors, params.ERRORS, {"mode": "PERMISSIVE"}).alias("e"),
     )
     m, e = F.col("m"), F.col("e")
-    experiments = m["object"]["models"]
+    experiments = F.col("experiments")
     references = F.coalesce(m["references"], F.create_map().cast(params.REFERENCES))
-    # The object's own stack and then every experiment's, resolved in one go.
-    raw_stacks = F.concat(
-        F.array(m["object"]["sample"]["layers"]),
-        F.coalesce(
-            F.transform(experiments, lambda x: x["sample"]["layers"]),
-            F.array().cast(f"ARRAY<{_LAYERS}>"),
-        ),
-    )
-    resolved = F.transform(
-        raw_stacks,
-        lambda raw: F.coalesce(
+    errors_of = params.index(F.coalesce(e, F.create_map().cast(params.ERRORS)))
+
+    def stack_of(raw: Column) -> Column:
+        return F.coalesce(
             F.transform(raw, lambda layer: layers.from_parsed(layer, F.col("parameters"))),
             F.array().cast(layers.STACK),
-        ),
-    )
+        )
+
     # Generators keep these from being computed again inside the lambdas.
     referenced = once(
         parsed,
         F.struct(
             references.alias("refs"),
-            params.resolve_references(references, e).alias("parameters"),
+            errors_of.alias("errors_of"),
+            m["object"]["sample"]["layers"].alias("own_layers"),
+            m["object"]["models"].alias("experiments"),
         ),
         "refs",
-        "parameters",
+        "errors_of",
+        "own_layers",
+        "experiments",
+    )
+    looked_up = params.resolve_references(F.col("refs"), F.col("errors_of"))
+    resolved = once(
+        referenced, F.struct(let(looked_up, params.index).alias("parameters")), "parameters"
     )
-    stacked = referenced.withColumn("stacks", resolved)
 
-    def dataset(x: Column, i: Column) -> Column:
+    # The object's own stack and the experiments' are apart, so that one alone can be read.
+    def dataset(x: Column) -> Column:
         q, r = x["probe"]["Q"]["values"], x["probe"]["R"]["values"]
         return F.struct(
-            F.get(F.col("stacks"), i + 1).alias("layers"),
+            stack_of(x["sample"]["layers"]).alias("layers"),
             q.alias("q"),
             r.alias("r"),
             curve_match.probe(q, r).alias("probe"),
         )
 
-    return stacked.select(
+    return resolved.select(
         *keep,
         F.col("content").alias("model_json"),
         F.when(m["_corrupt"].isNotNull(), F.try_parse_json("content").isNull())
@@ -128,7 +130,7 @@ def parse(texts: DataFrame) -> DataFrame:
         F.coalesce(F.size(experiments), F.lit(0)).alias("num_experiments"),
         F.size("refs").alias("num_parameters"),
         params.free_count(F.col("refs")).alias("num_free_parameters"),
-        F.get(F.col("stacks"), F.lit(0)).alias("stack"),
+        stack_of(F.col("own_layers")).alias("stack"),
         F.coalesce(F.transform(experiments, dataset), F.array().cast(DATASETS)).alias("datasets"),
     )
 
