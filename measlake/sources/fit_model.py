@@ -45,9 +45,8 @@ def with_errors(models: DataFrame, texts: DataFrame) -> DataFrame:
     return models.join(companions, error_path(F.col("path")) == F.col("_err"), "left").drop("_err")
 
 
-def _provenance(model: Column) -> list[Column]:
+def _provenance(libraries: Column, schema: Column) -> list[Column]:
     """Software, its version and the schema version, by preference."""
-    libraries = model["libraries"]
     first, second = libraries["refl1d"], libraries["bumps"]
 
     def pick(field: str) -> Column:
@@ -61,7 +60,7 @@ def _provenance(model: Column) -> list[Column]:
         .otherwise(F.lit(UNKNOWN))
         .alias("software"),
         F.coalesce(pick("version"), F.lit(UNKNOWN)).alias("software_version"),
-        F.coalesce(pick("schema_version"), model["$schema"], F.lit(UNKNOWN)).alias("schema_version"),
+        F.coalesce(pick("schema_version"), schema, F.lit(UNKNOWN)).alias("schema_version"),
     ]
 
 
@@ -90,20 +89,20 @@ def parse(texts: DataFrame) -> DataFrame:
             F.array().cast(layers.STACK),
         )
 
-    # Generators keep these from being computed again inside the lambdas.
-    referenced = once(
-        parsed,
-        F.struct(
-            references.alias("refs"),
-            errors_of.alias("errors_of"),
-            m["object"]["sample"]["layers"].alias("own_layers"),
-            m["object"]["models"].alias("experiments"),
-        ),
-        "refs",
-        "errors_of",
-        "own_layers",
-        "experiments",
-    )
+    # Generators keep these from being computed again inside the lambdas. All that is read of
+    # the file passes through the first one, since fields are not pruned across two.
+    parts = {
+        "refs": references,
+        "errors_of": errors_of,
+        "own_layers": m["object"]["sample"]["layers"],
+        "experiments": m["object"]["models"],
+        "object_name": m["object"]["name"],
+        "libraries": m["libraries"],
+        "schema_name": m["$schema"],
+        "corrupt": m["_corrupt"].isNotNull(),
+    }
+    referenced = once(parsed, F.struct(*[part.alias(name) for name, part in parts.items()]), *parts)
+    referenced = referenced.select(*keep, "content", *parts)
     looked_up = params.resolve_references(F.col("refs"), F.col("errors_of"))
     resolved = once(
         referenced, F.struct(let(looked_up, params.index).alias("parameters")), "parameters"
@@ -122,11 +121,11 @@ def parse(texts: DataFrame) -> DataFrame:
     return resolved.select(
         *keep,
         F.col("content").alias("model_json"),
-        F.when(m["_corrupt"].isNotNull(), F.try_parse_json("content").isNull())
+        F.when(F.col("corrupt"), F.try_parse_json("content").isNull())
         .otherwise(F.lit(False))
         .alias("malformed"),
-        m["object"]["name"].alias("model_name"),
-        *_provenance(m),
+        F.col("object_name").alias("model_name"),
+        *_provenance(F.col("libraries"), F.col("schema_name")),
         F.coalesce(F.size(experiments), F.lit(0)).alias("num_experiments"),
         F.size("refs").alias("num_parameters"),
         params.free_count(F.col("refs")).alias("num_free_parameters"),
