@@ -72,16 +72,11 @@ def parse(texts: DataFrame) -> DataFrame:
     """
     keep = [c for c in texts.columns if c not in ("content", "error_content")]
     errors = F.col("error_content") if "error_content" in texts.columns else F.lit(None).cast("string")
-    parsed = texts.select(
-        *keep,
-        "content",
+    read = F.struct(
         F.from_json("content", MODEL, _OPTIONS).alias("m"),
         F.from_json(errors, params.ERRORS, {"mode": "PERMISSIVE"}).alias("e"),
     )
-    m, e = F.col("m"), F.col("e")
     experiments = F.col("experiments")
-    references = F.coalesce(m["references"], F.create_map().cast(params.REFERENCES))
-    errors_of = params.index(F.coalesce(e, F.create_map().cast(params.ERRORS)))
 
     def stack_of(raw: Column) -> Column:
         return F.coalesce(
@@ -89,20 +84,25 @@ def parse(texts: DataFrame) -> DataFrame:
             F.array().cast(layers.STACK),
         )
 
-    # Generators keep these from being computed again inside the lambdas. All that is read of
-    # the file passes through the first one, since fields are not pruned across two.
-    parts = {
-        "refs": references,
-        "errors_of": errors_of,
-        "own_layers": m["object"]["sample"]["layers"],
-        "experiments": m["object"]["models"],
-        "object_name": m["object"]["name"],
-        "libraries": m["libraries"],
-        "schema_name": m["$schema"],
-        "corrupt": m["_corrupt"].isNotNull(),
-    }
-    referenced = once(parsed, F.struct(*[part.alias(name) for name, part in parts.items()]), *parts)
-    referenced = referenced.select(*keep, "content", *parts)
+    def parts_of(file: Column) -> Column:
+        m, e = file["m"], file["e"]
+        return F.struct(
+            F.coalesce(m["references"], F.create_map().cast(params.REFERENCES)).alias("refs"),
+            params.index(F.coalesce(e, F.create_map().cast(params.ERRORS))).alias("errors_of"),
+            m["object"]["sample"]["layers"].alias("own_layers"),
+            m["object"]["models"].alias("experiments"),
+            m["object"]["name"].alias("object_name"),
+            m["libraries"].alias("libraries"),
+            m["$schema"].alias("schema_name"),
+            m["_corrupt"].isNotNull().alias("corrupt"),
+        )
+
+    # Generators keep results from being computed again inside the lambdas. A file is
+    # parsed within the first one: as a column, each part read of it would parse it anew.
+    parts = (
+        "refs", "errors_of", "own_layers", "experiments", "object_name", "libraries", "schema_name", "corrupt",
+    )
+    referenced = once(texts, let(read, parts_of), *parts).select(*keep, "content", *parts)
     looked_up = params.resolve_references(F.col("refs"), F.col("errors_of"))
     resolved = once(
         referenced, F.struct(let(looked_up, params.index).alias("parameters")), "parameters"
