@@ -11,7 +11,7 @@ from measlake.plans.batch import Batch
 from measlake.plans.sources import source_summary
 from measlake.plans.workflow import assemble_run_dirs
 from measlake.session import scratch_path
-from measlake.sinks import tables
+from measlake.sinks import ingests, tables
 from measlake.sources import fit_model, manifest, reduced_text, run_dirs
 
 from .base import INGEST, composed, ingest_time, load, query, sql_id, text
@@ -778,3 +778,21 @@ def dangling_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in parts[1:]:
         result = result.unionByName(part)
     return result
+
+
+@query("ingest_once", _WRITTEN_SQL)
+def ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes and issues of all run directories that are ingested twice under one name."""
+    base = scratch_path(spark, "ingests")
+    for _ in range(2):
+        batch = run_dir_batch(spark, sf_dir)
+        ingests.write_ingest(batch, base, OPTIONS["ingest_id"])
+    lake = ingests.Snapshot(spark, base)
+
+    def counted(kind: str, name: str, df: DataFrame, label: str) -> DataFrame:
+        return lake.report(name, df.schema).groupBy(F.col(label).alias("label")).agg(
+            F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n")
+        )
+
+    outcomes = counted("outcome", "outcomes", batch.outcomes, "status")
+    return outcomes.unionByName(counted("issue", "issues", batch.issues, "severity"))
