@@ -16,7 +16,7 @@ Null and empty texts have no words; they are scored like any other, from zeros.
 Without labels of both kinds every score is the share of good ones, or 0.5
 without any. A document labelled more than once counts by its lowest label, a
 null label not at all. Repeated rows are scored alike. Null ids are passed on
-and never learnt from. Words over a megabyte are cut. Other columns are not read.
+and never learnt from. Other columns are not read.
 """
 
 from __future__ import annotations
