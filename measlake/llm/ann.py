@@ -10,9 +10,11 @@ by step towards the distance of the query's k-th nearest so far (virtual
 rehashing: the arrays stay, windows widen). Vectors that collide often enough to
 be within the radius, but for a chance of ``MISS``, are verified by their exact
 cosine. A query is done with a block when the radius has reached its k-th
-nearest; a bounded sample gives the first of these, and its k best are candidates
-themselves. While a query has fewer than k, all of a block is verified, so that
-it gets k, or all there are.
+nearest. A bounded sample tells a distance within which there are k, so that no
+radius needs to go beyond it; its vectors are candidates only as all others are.
+Queries that after all blocks have fewer than k within that distance were let
+down by chance; they are asked once more, with windows twice as wide, which
+double further while a task has fewer than k of its blocks.
 
 Every vector is in the index; there is no cap on candidates. Rows without an id,
 vectors that are null, empty or zero or hold null or non-finite components, take
@@ -22,7 +24,8 @@ as one candidate, with the best score among them. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 from statistics import NormalDist
 
 import numpy as np
@@ -40,12 +43,11 @@ MISS = 0.02
 STEPS = (0.5, 0.75, 1.0)
 SAMPLE = 2048
 BLOCK = 4096
-GROUP = 128
+# Queries in a row, so that a block is sent once for so many, and at a time in a search.
+GROUP = 4096
+TURN = 128
 SHARDS = 32
 SEED = 11
-FIRSTS = pa.list_(
-    pa.struct([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-)
 
 
 def directions(length: int) -> np.ndarray:
@@ -53,6 +55,7 @@ def directions(length: int) -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((length, PROJECTIONS))
 
 
+@cache
 def threshold() -> int:
     """Collisions that a vector at the radius reaches but for a chance of ``MISS``."""
     normal = NormalDist()
@@ -78,6 +81,29 @@ def distance(cosine: float) -> float:
     return max(0.0, 2 - 2 * cosine) ** 0.5
 
 
+class Hits:
+    """Collisions of one query with the vectors of one block."""
+
+    def __init__(self, index: Index, query: int, vector: np.ndarray, best: Best):
+        self.index, self.query, self.vector, self.best = index, query, vector, best
+        self.count = np.zeros(len(index.ids), dtype=np.int64)
+        self.seen = np.zeros(len(index.ids), dtype=bool)
+
+    def add(self, ends: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Count what the windows gained, and verify what has enough collisions now."""
+        gained = [
+            order[a:b]
+            for first, last in ends
+            for order, a, b in zip(self.index.order, first.tolist(), last.tolist())
+        ]
+        self.count += np.bincount(np.concatenate(gained), minlength=len(self.count))
+        fresh = np.flatnonzero((self.count >= threshold()) & ~self.seen)
+        if len(fresh):
+            self.seen[fresh] = True
+            scores = cosines(self.vector, self.index.values[fresh])
+            self.best.offer(self.query, scores, self.index.ids[fresh])
+
+
 class Index:
     """Sorted projections of one block."""
 
@@ -85,9 +111,19 @@ class Index:
         self.ids, self.values, self.order, self.line = ids, values, order, line
 
     def search(
-        self, ids: np.ndarray, vectors: np.ndarray, places: np.ndarray, best: Best, floors: np.ndarray
-    ) -> None:
-        """Offer what collides often enough, until the radius reaches the k-th nearest."""
+        self,
+        ids: np.ndarray,
+        vectors: np.ndarray,
+        places: np.ndarray,
+        best: Best,
+        floors: np.ndarray,
+        fill: bool = False,
+    ) -> int:
+        """Offer what collides often enough, until the radius reaches the k-th nearest.
+
+        Gives the number of vectors verified. With ``fill``, windows start at twice the radius
+        and double while a query has fewer than k.
+        """
         goals = np.array(
             [distance(best.worst(q, f)) + 1e-9 for q, f in zip(ids.tolist(), floors.tolist())]
         )
@@ -98,43 +134,38 @@ class Index:
             for s in STEPS
         ]
         low, high = np.array(low), np.array(high)
+        verified = 0
         for n, query in enumerate(ids.tolist()):
-            self.widen(query, vectors[n], goals[n], low[:, :, n], high[:, :, n], best, floors[n])
+            hits = Hits(self, query, vectors[n], best)
+            if fill:
+                self.fill(hits, goals[n], places[n])
+            else:
+                self.widen(hits, goals[n], low[:, :, n], high[:, :, n], floors[n])
+            verified += int(hits.seen.sum())
+        return verified
 
     def widen(
-        self,
-        query: int,
-        vector: np.ndarray,
-        goal: float,
-        low: np.ndarray,
-        high: np.ndarray,
-        best: Best,
-        floor: float,
+        self, hits: Hits, goal: float, low: np.ndarray, high: np.ndarray, floor: float
     ) -> None:
         """The windows of one query, step by step."""
-        needed, count = threshold(), len(self.ids)
-        hits = np.zeros(count, dtype=np.int64)
-        seen = np.zeros(count, dtype=bool)
         for step, share in enumerate(STEPS):
             if step == 0:
-                ends = [(low[0], high[0])]
+                hits.add([(low[0], high[0])])
             else:
-                ends = [(low[step], low[step - 1]), (high[step - 1], high[step])]
-            rings = [
-                order[a:b]
-                for first, last in ends
-                for order, a, b in zip(self.order, first.tolist(), last.tolist())
-            ]
-            hits += np.bincount(np.concatenate(rings), minlength=count)
-            fresh = np.flatnonzero((hits >= needed) & ~seen)
-            if len(fresh):
-                seen[fresh] = True
-                best.offer(query, cosines(vector, self.values[fresh]), self.ids[fresh])
-            if share * goal >= distance(best.worst(query, floor)) + 1e-9:
+                hits.add([(low[step], low[step - 1]), (high[step - 1], high[step])])
+            if share * goal >= distance(hits.best.worst(hits.query, floor)) + 1e-9:
+                break
+
+    def fill(self, hits: Hits, radius: float, place: np.ndarray) -> None:
+        """Windows twice as wide, and again while the query has fewer than k."""
+        while not hits.seen.all():
+            radius *= 2
+            hits.count[:] = 0
+            low = [a.searchsorted(p - radius) for a, p in zip(self.line, place)]
+            high = [a.searchsorted(p + radius, "right") for a, p in zip(self.line, place)]
+            hits.add([(np.array(low), np.array(high))])
+            if hits.best.whole(hits.query):
                 break
-        if not best.whole(query) and not seen.all():
-            rest = np.flatnonzero(~seen)
-            best.offer(query, cosines(vector, self.values[rest]), self.ids[rest])
 
 
 def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
@@ -144,7 +175,7 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
         firsts = np.unique(ids, return_index=True)[1]
         firsts = firsts[np.abs(values[firsts]).max(axis=1) > 0]
         if len(firsts):
-            drawn[length] = (ids[firsts], values[firsts], units(values[firsts]))
+            drawn[length] = (ids[firsts], units(values[firsts]))
 
     names = ["length", "shard", "block", "ids", "values", "order", "line"]
 
@@ -181,83 +212,82 @@ def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
         "ann-index",
     )
 
-    asked = ["q_length", "q_ids", "q_values", "floor", "firsts"]
+    asked = ["q_length", "q_ids", "q_values", "floor"]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = Blocks(GROUP)
 
         def out(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
             for (length,), ids, values in found:
+                # A cosine that k others of the sample reach; the true k-th is no less.
                 floor = np.full(len(ids), -1.0)
-                firsts = Best(k)
-                if length in drawn:
-                    sample_ids, sample_values, sample_units = drawn[length]
-                    scores = units(values) @ sample_units.T
-                    scores[ids[:, None] == sample_ids] = -2
-                    if len(sample_ids) > k:
-                        floor = np.sort(scores, axis=1)[:, -k] - 1e-9
-                    for n, query in enumerate(ids.tolist()):
-                        near = np.flatnonzero(scores[n] >= max(floor[n], -1.5))
-                        own = cosines(values[n], sample_values[near])
-                        firsts.offer(query, own, sample_ids[near])
+                if length in drawn and len(drawn[length][0]) > k:
+                    sample_ids, sample_units = drawn[length]
+                    for i in range(0, len(ids), TURN):
+                        scores = units(values[i : i + TURN]) @ sample_units.T
+                        scores[ids[i : i + TURN, None] == sample_ids] = -2
+                        floor[i : i + TURN] = np.sort(scores, axis=1)[:, -k] - 1e-9
                 row = [length, ids.tobytes(), values.tobytes(), floor.tobytes()]
-                row.append(firsts.drain(pa.float64()).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array([v]) for v in row[:-1]), pa.array(row[-1:], FIRSTS)], names=asked
-                )
+                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=asked)
 
         for batch in batches:
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], dtype=np.int64)
-                values = np.frombuffer(row["values"]).reshape(len(ids), -1)
-                own = ids % every == 0
-                if own.any():
-                    yield from out(groups.add((row["length"],), ids[own], values[own]))
+            for ids, values in matrices(batch):
+                some = np.abs(values).max(axis=1) > 0
+                if some.any():
+                    yield from out(groups.add((values.shape[1],), ids[some], values[some]))
         yield from out(groups.rest())
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(k)
-        last, found, told = None, None, set()
-        for batch in batches:
-            for row in batch.to_pylist():
-                length = row["length"]
-                if row["block"] != last:
-                    last = row["block"]
-                    ids = np.frombuffer(row["ids"], dtype=np.int64)
-                    found = Index(
-                        ids,
-                        np.frombuffer(row["values"]).reshape(len(ids), -1),
-                        np.frombuffer(row["order"], dtype=np.uint16).reshape(PROJECTIONS, -1),
-                        np.frombuffer(row["line"]).reshape(PROJECTIONS, -1),
-                    )
-                queries = np.frombuffer(row["q_values"]).reshape(-1, length)
-                places = units(queries) @ directions(length)
-                group = hash((row["q_ids"], row["q_values"]))
-                if group not in told:
-                    told.add(group)
-                    for first in row["firsts"]:
-                        score, one = np.array([first["score"]]), np.array([first["vec_id"]])
-                        best.offer(first["query_id"], score, one)
-                found.search(
-                    np.frombuffer(row["q_ids"], dtype=np.int64),
-                    queries,
-                    places,
-                    best,
-                    np.frombuffer(row["floor"]),
-                )
-                if best.full() or len(told) >= best.most:
-                    yield best.drain(pa.float64())
-                    told.clear()
-        yield best.drain(pa.float64())
-
-    # All queries meet all blocks, in blocks: a group of queries goes to every shard of the index.
-    groups = mapped(
-        index.select("length", "ids", "values"),
-        ask,
-        "q_length long, q_ids binary, q_values binary, floor binary, "
-        "firsts array<struct<query_id:bigint,vec_id:bigint,score:double>>",
-    ).withColumn("q_shard", F.explode(F.expr(f"sequence(0L, {SHARDS - 1}L)")))
-    pairs = index.join(
-        groups, (F.col("length") == F.col("q_length")) & (F.col("shard") == F.col("q_shard"))
-    )
-    return ranked(mapped(pairs, meet, "query_id long, vec_id long, score double"), k)
+    def meeting(fill: bool) -> Callable:
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best, goals = Best(k), {}
+            last, found = None, None
+
+            def told() -> pa.RecordBatch:
+                rows = best.drain(pa.float64())
+                floors = [goals[q] for q in rows.column("query_id").to_pylist()]
+                goals.clear()
+                return rows.append_column("floor", pa.array(floors, pa.float64()))
+
+            for batch in batches:
+                for row in batch.to_pylist():
+                    length = row["length"]
+                    if row["block"] != last:
+                        last = row["block"]
+                        ids = np.frombuffer(row["ids"], dtype=np.int64)
+                        found = Index(
+                            ids,
+                            np.frombuffer(row["values"]).reshape(len(ids), -1),
+                            np.frombuffer(row["order"], dtype=np.uint16).reshape(PROJECTIONS, -1),
+                            np.frombuffer(row["line"]).reshape(PROJECTIONS, -1),
+                        )
+                    asking = np.frombuffer(row["q_ids"], dtype=np.int64)
+                    queries = np.frombuffer(row["q_values"]).reshape(-1, length)
+                    floors = np.frombuffer(row["floor"])
+                    goals.update(zip(asking.tolist(), floors.tolist()))
+                    for i in range(0, len(asking), TURN):
+                        turn = slice(i, i + TURN)
+                        places = units(queries[turn]) @ directions(length)
+                        found.search(asking[turn], queries[turn], places, best, floors[turn], fill)
+                    if len(goals) >= best.most:
+                        yield told()
+            yield told()
+
+        return meet
+
+    def hits(queries: DataFrame, fill: bool) -> DataFrame:
+        # Queries meet all blocks, in blocks: a group of queries goes to every shard of the index.
+        groups = queries.mapInArrow(
+            ask, "q_length long, q_ids binary, q_values binary, floor binary"
+        ).withColumn("q_shard", F.explode(F.expr(f"sequence(0L, {SHARDS - 1}L)")))
+        pairs = index.join(
+            groups, (F.col("length") == F.col("q_length")) & (F.col("shard") == F.col("q_shard"))
+        )
+        return mapped(pairs, meeting(fill), "query_id long, vec_id long, score double, floor double")
+
+    queries = narrow.where(F.col("vec_id") % every == 0)
+    first = kept(hits(queries, False), "ann-first")
+    within = first.where(F.col("score") >= F.col("floor")).groupBy("query_id")
+    served = within.agg(F.count_distinct("vec_id").alias("n")).where(F.col("n") >= k)
+    served = served.select(F.col("query_id").alias("vec_id"))
+    second = hits(queries.join(served, "vec_id", "left_anti"), True)
+    return ranked(first.unionByName(second), k)
