@@ -36,7 +36,6 @@ def identified(files: DataFrame) -> DataFrame:
     and ``root_ord``. A file counts for a run only if its own name holds the
     run number, not just its folder's.
     """
-    name = names.file_name(F.col("path"))
     info = names.identify(F.col("path"), F.col("content"))
     found = once(
         files.select("path", "content", "root_ord"),
@@ -46,6 +45,12 @@ def identified(files: DataFrame) -> DataFrame:
         "proposal",
         "instrument",
     )
+    return with_slots(found)
+
+
+def with_slots(found: DataFrame) -> DataFrame:
+    """Identified files with their slot."""
+    name = names.file_name(F.col("path"))
     return found.select(
         "path",
         "root_ord",

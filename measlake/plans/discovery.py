@@ -27,6 +27,12 @@ def discover_under(spark: SparkSession, roots: list[str]) -> tuple[DataFrame, Da
     return discover(files.with_texts(spark, roots))
 
 
+def discover_kept(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``discover``, over a kept catalog, whose files are identified already; no text is read."""
+    found = fileset.with_slots(catalog)
+    return fileset.fileset(found), found
+
+
 def related_to(sets: DataFrame, known: DataFrame) -> DataFrame:
     """File sets of the runs that some known files belong to."""
     number: Column = names.run_number(F.col("path"))

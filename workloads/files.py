@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from measlake.functions import names
 from measlake.operators import fileset
 from measlake.plans import discovery
+from measlake.session import scratch_path
+from measlake.sinks.named_files import write_named
 from measlake.sources import files, manifest
+from measlake.sources import kept_catalog as kept_files
 
 from .base import composed, load, query, text
 
@@ -291,3 +294,45 @@ def manifest_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     german = load(spark, sf_dir, "documents").filter("lang = 'de'").select(text("/m/", F.col("source")).alias("path"))
     errors = manifest.validate(manifests(spark, sf_dir), labelled.unionByName(german).distinct())
     return errors.select(F.col("job").cast("bigint").alias("job"), "pos", "message")
+
+
+_KEPT_SQL = """
+WITH p AS (SELECT page_id, length(html) AS n, strlen(html) AS bytes, page_id % 4 AS kind, page_id % 5 = 0 AS late, page_id % 7 = 0 AS other FROM pages),
+f AS (SELECT *, '/run_' || (200000 + page_id) || '_/' || CASE kind WHEN 0 THEN 'REFL_' || (200000 + page_id) || '_combined_data.txt'
+    WHEN 1 THEN 'm' || page_id || '.json' WHEN 2 THEN 'r_' || (200000 + page_id) || '_metadata.parquet' ELSE 'notes.dat' END AS name FROM p),
+t AS (SELECT *, bytes + CASE WHEN kind = 1 THEN 8 ELSE 0 END AS length,
+    CASE kind WHEN 0 THEN 'reduced' WHEN 1 THEN 'model' WHEN 2 THEN 'parquet' ELSE 'unknown' END AS file_type FROM f)
+SELECT name, CASE WHEN other THEN 'gone' WHEN late THEN 'added' WHEN page_id % 3 = 1 THEN 'changed' ELSE 'same' END AS state,
+  length + CASE WHEN NOT other AND NOT late AND page_id % 3 = 1 THEN 4 ELSE 0 END AS length, file_type,
+  200000 + page_id AS run_number
+FROM t
+"""
+
+
+@query("kept_catalog", _KEPT_SQL)
+def kept_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A kept catalog after a second listing, when files were added, changed, and gone with their folder."""
+    pages = load(spark, sf_dir, "pages")
+    n = F.col("page_id")
+    run = (n + 200000).cast("string")
+    kind = n % 4
+    name = (
+        F.when(kind == 0, text("REFL_", run, "_combined_data.txt"))
+        .when(kind == 1, text("m", n, ".json"))
+        .when(kind == 2, text("r_", run, "_metadata.parquet"))
+        .otherwise(F.lit("notes.dat"))
+    )
+    content = F.when(kind == 1, F.concat(F.lit("{refl1d}"), "html")).otherwise(F.col("html"))
+    files = pages.select("page_id", text("run_", run, "_/", name).alias("path"), content.alias("content"))
+    late, other = n % 5 == 0, n % 7 == 0
+    first, second, catalog = [scratch_path(spark, part) for part in ("first", "second", "catalog")]
+    write_named(files.filter(~late & ~other), first)
+    write_named(files.filter(other), second)
+    kept_files.refresh(spark, [first, second], catalog)
+    write_named(files.filter(late & ~other), first)
+    changed = files.filter(~late & ~other & (n % 3 == 1))
+    write_named(changed.select("path", F.concat("content", F.lit("more")).alias("content")), first)
+    found = kept_files.refresh(spark, [first], catalog)
+    return found.select(
+        F.regexp_extract("path", "(/run_[^/]*/[^/]*)$", 1).alias("name"), "state", "length", "file_type", "run_number"
+    )
