@@ -19,7 +19,7 @@ def leaves(schema: StructType, prefix: str = "") -> list[str]:
     return names
 
 
-def _value(name: str) -> Column:
+def value_of(name: str) -> Column:
     return F.col(".".join(f"`{part}`" for part in name.split(".")))
 
 
@@ -31,7 +31,7 @@ def profile(df: DataFrame) -> DataFrame:
     names = leaves(df.schema)
     counted = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.count(_value(name)).alias(f"_{i}") for i, name in enumerate(names)],
+        *[F.count(value_of(name)).alias(f"_{i}") for i, name in enumerate(names)],
     )
     rows = F.explode(
         F.array(
@@ -66,13 +66,13 @@ def record_coverage(df: DataFrame) -> Column:
         found = []
         for field in schema.fields:
             name = f"{prefix}{field.name}"
-            parent = _value(prefix[:-1]) if prefix else None
+            parent = value_of(prefix[:-1]) if prefix else None
             if isinstance(field.dataType, StructType):
-                whole = F.when(_value(name).isNull(), F.struct(F.lit(name).alias("f"), F.lit(False).alias("ok")))
+                whole = F.when(value_of(name).isNull(), F.struct(F.lit(name).alias("f"), F.lit(False).alias("ok")))
                 found.append(whole if parent is None else F.when(parent.isNotNull(), whole))
                 found.extend(entries(field.dataType, f"{name}."))
             else:
-                entry = F.struct(F.lit(name).alias("f"), _value(name).isNotNull().alias("ok"))
+                entry = F.struct(F.lit(name).alias("f"), value_of(name).isNotNull().alias("ok"))
                 found.append(entry if parent is None else F.when(parent.isNotNull(), entry))
         return found
 

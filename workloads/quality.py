@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from measlake.functions.text import non_empty
-from measlake.operators import coverage, issues
+from measlake.operators import coverage, issues, kept_coverage
+from measlake.session import scratch_path
 
 from .base import load, query, text
 
@@ -44,6 +45,33 @@ def field_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.profile(labelled_documents(spark, sf_dir))
 
 
+_KEPT_COVERAGE_SQL = """
+WITH t AS (SELECT d.doc_id, d.lang, nullif(d.source, 'src1') AS source, d.n_chars, l.quality, nullif(l.toxic, 0) AS toxic
+           FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+c AS (
+  SELECT 'doc_id' AS field, count(doc_id) AS populated, count(*) AS n, CAST(min(doc_id) AS DOUBLE) AS low_number,
+    CAST(max(doc_id) AS DOUBLE) AS high_number, NULL AS low_text, NULL AS high_text FROM t
+  UNION ALL SELECT 'lang', count(lang), count(*), NULL, NULL, min(lang), max(lang) FROM t
+  UNION ALL SELECT 'source', count(source), count(*), NULL, NULL, min(source), max(source) FROM t
+  UNION ALL SELECT 'label.quality', count(quality), count(*), min(quality), max(quality), NULL, NULL FROM t
+  UNION ALL SELECT 'label.toxic', count(toxic), count(*), min(toxic), max(toxic), NULL, NULL FROM t
+  UNION ALL SELECT 'words', count(*), count(*), NULL, NULL, NULL, NULL FROM t)
+SELECT field, populated, n - populated AS missing, round(100.0::DOUBLE * populated / n, 1) AS coverage_pct,
+  low_number, high_number, low_text, high_text FROM c
+"""
+
+
+@query("coverage_after_appends", _KEPT_COVERAGE_SQL)
+def coverage_after_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage and bounds of a table after three appends, each of which reads the new files only."""
+    docs = labelled_documents(spark, sf_dir)
+    table, kept = scratch_path(spark, "lake"), scratch_path(spark, "coverage")
+    for turn in range(3):
+        docs.filter(F.col("doc_id") % 3 == turn).write.mode("append").parquet(table)
+        parts = kept_coverage.refresh(spark, table, kept)
+    return kept_coverage.merged(parts)
+
+
 _RECORD_SQL = """
 SELECT d.doc_id,
   CAST(3 + CASE WHEN d.source <> 'src1' THEN 1 ELSE 0 END + CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 + l.toxic END AS BIGINT) AS populated,
