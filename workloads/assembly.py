@@ -283,8 +283,11 @@ SELECT CAST(o_orderkey AS VARCHAR) AS job, row_number() OVER (PARTITION BY o_ord
 
 @query("shown_warnings", _WARNINGS_SQL)
 def shown_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every warning of every measurement in order, with their number."""
-    found = store.shown_warnings(measurement_batch(spark, sf_dir).issues, ["job"])
+    """Every warning of every measurement in order, with their number, from the written issues."""
+    path = scratch_path(spark, "issues")
+    issues = measurement_batch(spark, sf_dir).issues
+    issues.write.parquet(path)
+    found = store.shown_warnings(spark.read.schema(issues.schema).parquet(path), ["job"])
     return found.select("job", F.col("position").cast("bigint").alias("position"), "message", "warnings")
 
 

@@ -70,7 +70,7 @@ def catalog_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _RECORD_FILES_SQL = """
-WITH o AS (SELECT *, o_custkey % 6 AS folder FROM orders WHERE o_orderstatus = 'F'),
+WITH o AS (SELECT *, o_custkey % 6 AS folder FROM orders),
 l AS (SELECT l_orderkey, max(l_quantity) FILTER (l_linenumber = 1) AS sample_temp, max(l_quantity) FILTER (l_linenumber = 2) AS temp
   FROM lineitem GROUP BY 1)
 SELECT o_orderkey, 'run of ' || o_custkey AS title, CASE WHEN folder % 2 = 0 THEN '/raw/' || o_orderkey END AS source_path,
@@ -87,7 +87,7 @@ def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     column.
     """
     base = scratch_path(spark, "record-files")
-    orders = load(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
+    orders = load(spark, sf_dir, "orders")
     key, number = F.col("o_orderkey"), F.col("o_custkey") % 6
     keys = [
         number.alias("set"), F.lit("REF_L").alias("instrument_id"), key.alias("run_number"),
