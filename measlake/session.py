@@ -7,8 +7,11 @@ import re
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
+from .sinks.named_files import store_of
+
 # Runtime settings every plan relies on: UTC timestamps, and joins that AQE may
 # split on hot keys even when a later step would have to shuffle once more.
 RUNTIME_CONF = {
@@ -58,15 +61,35 @@ def own_folder() -> str:
     return tempfile.mkdtemp(prefix="measlake-")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder for intermediate tables.
+# Part of the names of all folders this process leaves in the shared one.
+RUN = uuid.uuid4().hex
+
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. A session on
-    one machine that does not name one gets a folder of its own, once.
+def scratch_base(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the shared one, named by ``spark.checkpoint.dir``.
+
+    A session on one machine that does not name one gets a folder of its own, once.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = own_folder()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for an intermediate table."""
+    return f"{scratch_base(spark)}/{name}-{RUN}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this process, and no others.
+
+    For the driver program to call, which owns them, when its results are written: DataFrames
+    made before may still read from there.
+    """
+    store, folder = store_of(scratch_base(spark))
+    for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        if f"-{RUN}-" in info.base_name and info.type == fs.FileType.Directory:
+            store.delete_dir(info.path)

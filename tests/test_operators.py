@@ -1,6 +1,7 @@
 """First rows, preference, links, issues, coverage and file sets."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from measlake.operators.first_record import distinct_by_id, first_record
 from measlake.operators.preference import log_values
 from measlake.plans import discovery
 from measlake.sources import files, manifest, run_records
-from measlake.session import scratch_path
+from measlake.session import remove_scratch, scratch_path
 
 
 def test_first_record_by_order(spark):
@@ -185,3 +186,13 @@ def test_scratch_path_uses_the_shared_folder(spark):
     assert scratch_path(shared, "spot").startswith("/shared/x/spot-")
     with pytest.raises(ValueError):
         scratch_path(SessionWith("yarn"), "spot")
+
+
+def test_scratch_of_this_process_alone_is_removed(tmp_path):
+    shared = SessionWith("yarn", **{"spark.checkpoint.dir": f"{tmp_path}"})
+    remove_scratch(SessionWith("yarn", **{"spark.checkpoint.dir": f"{tmp_path}/none"}))
+    own = Path(scratch_path(shared, "spot"))
+    (own / "part").mkdir(parents=True)
+    (tmp_path / "spot-other-1").mkdir()
+    remove_scratch(shared)
+    assert [p.name for p in tmp_path.iterdir()] == ["spot-other-1"]
