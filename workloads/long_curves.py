@@ -11,7 +11,7 @@ from measlake.sources import split_text
 
 from .base import load, query, text
 from .curves import _MATCH_SQL
-from .scans import NAME, folder
+from .scans import IN_TASKS, NAME, folder
 
 ORDER = ("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
 
@@ -37,7 +37,7 @@ def write_long_curves(spark: SparkSession, sf_dir: str) -> str:
         F.col("l_suppkey").alias("set"), F.array(*[F.col(c).cast("double") for c in ORDER]).alias("order"), line
     )
     whole = heads.union(rows).repartition("set").sortWithinPartitions("set", "order")
-    whole.drop("order").write.partitionBy("set").option(NAME, "REFL_long").text(base)
+    whole.drop("order").write.partitionBy("set").options(**{NAME: "REFL_long", **IN_TASKS}).text(base)
     return base
 
 

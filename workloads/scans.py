@@ -13,6 +13,13 @@ from .base import load, query, text
 
 # Spark names its files after this setting of the output format.
 NAME = "mapreduce.output.basename"
+# Tasks put files in their place, which the driver would do one by one.
+IN_TASKS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows by folder over all cores: a file takes some time to write, however short it is."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "set")
 
 
 def write_curves(spark: SparkSession, sf_dir: str) -> str:
@@ -25,7 +32,7 @@ def write_curves(spark: SparkSession, sf_dir: str) -> str:
         "0.01 ", n, " 0.1 0.001\n0.02 ", F.round("s_acctbal", 2), " 0.1 0.001\nnot numbers\n0.03 1 0.1 0.001",
     )
     rows = load(spark, sf_dir, "supplier").select(n.alias("set"), content.alias("value"))
-    rows.write.partitionBy("set").option(NAME, "REFL_curve").text(base)
+    dealt(rows).write.partitionBy("set").options(**{NAME: "REFL_curve", **IN_TASKS}).text(base)
     return base
 
 
