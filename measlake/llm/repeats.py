@@ -59,6 +59,8 @@ SLICE = 1 << 17
 PER_ANCHOR = (LEAST - GRAM + 2) / 2
 LAST = (1 << 63) - 1
 TIMES = 4096
+# Equal rows whose ids and hashes are at most so many bytes go to every task, so that no text moves for them.
+TWINS = 4 << 20
 
 BASE = 0xD6E8FEB86659FD93
 OTHER_BASE = 0xA0761D6478BD642F
@@ -343,11 +345,14 @@ def grouped_by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def once_each(docs: DataFrame, twins: DataFrame) -> DataFrame:
     """Rows equal in id and text once, with their number ``n``.
 
-    ``twins`` is read from its file, so a small one, as usual, moves no texts.
+    ``twins`` is written already, so its size is measured: a small one, as usual, moves no texts.
     """
     named = twins.select(
         F.col("doc_id").alias("twin_id"), F.col("rank").alias("twin_rank"), F.col("print").alias("twin_print"), "n"
     )
+    width = F.coalesce(F.octet_length(F.col("doc_id").cast("string")), F.lit(0)) + 64
+    if (twins.agg(F.sum(width)).first()[0] or 0) <= TWINS:
+        named = F.broadcast(named)
     same = F.col("doc_id").eqNullSafe(F.col("twin_id")) & (F.col("rank") == F.col("twin_rank"))
     same &= F.col("print") == F.col("twin_print")
     single = docs.join(named, same, "left_anti").withColumn("n", F.lit(1).cast("long"))

@@ -2,13 +2,15 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 from measlake.llm import repeats
-from measlake.llm.common import configure
+from measlake.llm.common import configure, kept
 
 COLUMNS = "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
 ROWS = "doc_id long, text string"
@@ -91,3 +93,26 @@ def test_collapsed_places():
     hashes = np.array([8, 8, 8, 8, 7, 7], dtype=np.uint64)
     assert repeats.collapsed(places, document, hashes).tolist() == [0, 2, 3, 4, 5]
     assert repeats.collapsed(places[:0], document[:0], hashes[:0]).tolist() == []
+
+
+def exchanges(spark, folder, rows):
+    """Shuffles planned for rows that come once each."""
+    configure(spark)
+    table = spark.createDataFrame(rows, ROWS).repartition(3)
+    table.selectExpr("doc_id", "doc_id AS rank", "text", "unhex(md5(text)) AS print").write.parquet(folder)
+    docs = spark.read.parquet(folder)
+    counts = docs.groupBy("doc_id", "rank", "print").agg(F.count(F.lit(1)).alias("n"))
+    once = repeats.once_each(docs, kept(counts.where("n > 1"), "test-twins"))
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    times = sorted((row.doc_id, row.text, row.n) for row in once.collect())
+    return len(re.findall(r"\bExchange hashpartitioning", plan)), times
+
+
+def test_texts_do_not_move_for_few_equal_rows(spark, tmp_path, monkeypatch):
+    rows = [(i, f"text {i}") for i in range(40)] + [(7, "text 7")] * 2
+    expected = sorted((i, f"text {i}", 3 if i == 7 else 1) for i in range(40))
+    # One for the equal rows themselves.
+    assert exchanges(spark, str(tmp_path / "few"), rows) == (1, expected)
+    monkeypatch.setattr(repeats, "TWINS", 0)
+    moved, times = exchanges(spark, str(tmp_path / "many"), rows)
+    assert moved > 1 and times == expected
