@@ -37,6 +37,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Narrow rows over all cores, before work that takes long for each of them.
+
+    A file of a few large row groups is read by as many tasks, whatever its rows become.
+    """
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def ingest_time() -> Column:
     return F.lit(INGEST_TIME).cast("timestamp")
 

@@ -9,7 +9,7 @@ from measlake.functions import layers
 from measlake.records import sample
 from measlake.sources import fit_model
 
-from .base import composed, ingest_time, load, query, text
+from .base import composed, dealt, ingest_time, load, query, text
 
 KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 KEY_SQL = ", ".join(KEY)
@@ -57,10 +57,10 @@ def model_texts(items: DataFrame) -> DataFrame:
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = load(spark, sf_dir, "lineitem")
-    return fit_model.parse(model_texts(items.select(
+    items = load(spark, sf_dir, "lineitem").select(
         *KEY, "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
-    )))
+    )
+    return fit_model.parse(model_texts(dealt(items)))
 
 
 _PARAM_SQL = f"""
@@ -233,8 +233,10 @@ FROM m
 @query("model_datasets", _DATASETS_SQL)
 def model_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Choice of stack and probe curves of models with several experiments."""
-    orders = load(spark, sf_dir, "orders")
-    m = fit_model.parse(experiment_texts(orders))
+    orders = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
+    )
+    m = fit_model.parse(experiment_texts(dealt(orders)))
     none, third = F.lit(None).cast("int"), F.lit(2)
 
     def total(values: Column) -> Column:
