@@ -27,12 +27,14 @@ CURVE_NAMES = ("combined_data", "refl_")
 REDUCED, RAW_HDF5, PARQUET, MODEL, UNKNOWN = "reduced", "raw_hdf5", "parquet", "model", "unknown"
 
 
+# Both patterns begin where a segment does and never give back what they took of it;
+# tried at every character, a name of n characters costs its square.
 def file_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)/*$", 1)
+    return F.regexp_extract(path, r"(?<![^/])([^/]*+)/*$", 1)
 
 
 def parent_dir(path: Column) -> Column:
-    return F.regexp_replace(path, r"/+[^/]*$", "")
+    return F.regexp_replace(path, r"(?<!/)/++[^/]*+$", "")
 
 
 def suffix(path: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from ..functions import names
 from ..operators import preference
+from ..operators.rows import once
 from .files import metadata_path
 
 
@@ -65,12 +66,13 @@ def _read(spark: SparkSession, paths: list[str] | str, kind: str, schema: Struct
         .parquet(*([paths] if isinstance(paths, str) else paths))
     )
     located = files.select("*", F.col("_metadata.file_path").alias("_file"), "_metadata.row_index")
-    path = metadata_path(F.col("_file"))
-    return located.filter(record_kind(names.file_name(path)) == kind).select(
-        *schema.names,
-        names.parent_dir(path).alias("dir"),
-        path.alias("file_path"),
-        F.col("row_index"),
+    # Of every row, the path is decoded once and taken apart once.
+    path = F.col("file_path")
+    located = once(located, F.struct(metadata_path(F.col("_file")).alias("file_path")), "file_path")
+    parts = F.struct(names.parent_dir(path).alias("dir"), names.file_name(path).alias("_name"))
+    named = once(located, parts, "dir", "_name")
+    return named.filter(record_kind(F.col("_name")) == kind).select(
+        *schema.names, "dir", "file_path", "row_index"
     )
 
 
