@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,23 +74,23 @@ def parse(texts: DataFrame) -> DataFrame:
     """
     keep = [c for c in texts.columns if c not in ("content", "error_content")]
     errors = F.col("error_content") if "error_content" in texts.columns else F.lit(None).cast("string")
-    read = F.struct(
-        F.from_json("content", MODEL, _OPTIONS).alias("m"),
-        F.from_json(errors, params.ERRORS, {"mode": "PERMISSIVE"}).alias("e"),
-    )
+    read = F.from_json("content", MODEL, _OPTIONS)
     experiments = F.col("experiments")
 
-    def stack_of(raw: Column) -> Column:
-        return F.coalesce(
-            F.transform(raw, lambda layer: layers.from_parsed(layer, F.col("parameters"))),
-            F.array().cast(layers.STACK),
-        )
+    # References and the error file are worked up only where layers are read, within
+    # the expression of the layers: a step of its own would cost every model its time.
+    def with_parameters(raw: Column, body: Callable[[Column], Column], empty: Column) -> Column:
+        listed = F.from_json("error_content", params.ERRORS, {"mode": "PERMISSIVE"})
+        listed = params.index(F.coalesce(listed, F.create_map().cast(params.ERRORS)))
+        looked_up = let(listed, lambda e: params.resolve_references(F.col("refs"), e))
+        return F.when(F.size(raw) > 0, let(let(looked_up, params.index), body)).otherwise(empty)
 
-    def parts_of(file: Column) -> Column:
-        m, e = file["m"], file["e"]
+    def layers_of(raw: Column, parameters: Column) -> Column:
+        return F.transform(raw, lambda layer: layers.from_parsed(layer, parameters))
+
+    def parts_of(m: Column) -> Column:
         return F.struct(
             F.coalesce(m["references"], F.create_map().cast(params.REFERENCES)).alias("refs"),
-            params.index(F.coalesce(e, F.create_map().cast(params.ERRORS))).alias("errors_of"),
             m["object"]["sample"]["layers"].alias("own_layers"),
             m["object"]["models"].alias("experiments"),
             m["object"]["name"].alias("object_name"),
@@ -97,28 +99,36 @@ def parse(texts: DataFrame) -> DataFrame:
             m["_corrupt"].isNotNull().alias("corrupt"),
         )
 
-    # Generators keep results from being computed again inside the lambdas. A file is
-    # parsed within the first one: as a column, each part read of it would parse it anew.
+    # A generator keeps results from being computed again inside the lambdas. A file is
+    # parsed within it: as a column, each part read of it would parse it anew.
     parts = (
-        "refs", "errors_of", "own_layers", "experiments", "object_name", "libraries", "schema_name", "corrupt",
+        "refs", "own_layers", "experiments", "object_name", "libraries", "schema_name", "corrupt",
     )
-    referenced = once(texts, let(read, parts_of), *parts).select(*keep, "content", *parts)
-    looked_up = params.resolve_references(F.col("refs"), F.col("errors_of"))
-    resolved = once(
-        referenced, F.struct(let(looked_up, params.index).alias("parameters")), "parameters"
+    referenced = once(texts, let(read, parts_of), *parts).select(
+        *keep, "content", errors.alias("error_content"), *parts
     )
 
     # The object's own stack and the experiments' are apart, so that one alone can be read.
-    def dataset(x: Column) -> Column:
+    def dataset(x: Column, parameters: Column) -> Column:
         q, r = x["probe"]["Q"]["values"], x["probe"]["R"]["values"]
+        own = layers_of(x["sample"]["layers"], parameters)
         return F.struct(
-            stack_of(x["sample"]["layers"]).alias("layers"),
+            F.coalesce(own, F.array().cast(layers.STACK)).alias("layers"),
             q.alias("q"),
             r.alias("r"),
             curve_match.probe(q, r).alias("probe"),
         )
 
-    return resolved.select(
+    own_layers = F.col("own_layers")
+    stack = with_parameters(
+        own_layers, lambda p: layers_of(own_layers, p), F.array().cast(layers.STACK)
+    )
+    datasets = with_parameters(
+        experiments,
+        lambda p: F.transform(experiments, lambda x: dataset(x, p)),
+        F.array().cast(DATASETS),
+    )
+    return referenced.select(
         *keep,
         F.col("content").alias("model_json"),
         F.when(F.col("corrupt"), F.try_parse_json("content").isNull())
@@ -129,8 +139,8 @@ def parse(texts: DataFrame) -> DataFrame:
         F.coalesce(F.size(experiments), F.lit(0)).alias("num_experiments"),
         F.size("refs").alias("num_parameters"),
         params.free_count(F.col("refs")).alias("num_free_parameters"),
-        stack_of(F.col("own_layers")).alias("stack"),
-        F.coalesce(F.transform(experiments, dataset), F.array().cast(DATASETS)).alias("datasets"),
+        stack.alias("stack"),
+        datasets.alias("datasets"),
     )
 
 
