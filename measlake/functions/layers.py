@@ -14,6 +14,16 @@ LAYER = (
     "isld_std: DOUBLE>"
 )
 STACK = f"ARRAY<{LAYER}>"
+
+
+def parsed_layers(parameter: str) -> str:
+    """Type of the layers as they are in a model file, with parameters of a type."""
+    return (
+        f"ARRAY<STRUCT<name: STRING, thickness: {parameter}, interface: {parameter}, "
+        f"material: STRUCT<name: STRING, rho: {parameter}, irho: {parameter}>>>"
+    )
+
+
 UNNAMED = "unknown"
 # Layer names that say nothing about the material.
 GENERIC_NAMES = ("material", "layer", "film")
@@ -21,29 +31,35 @@ UNKNOWN_COMPOSITION = "Unknown"
 DEFAULT_AMBIENT = "air"
 
 
-def from_parsed(layer: Column, parameters: Column) -> Column:
-    """A resolved layer from one parsed layer of a model file.
+def from_parsed(parsed: Column, parameters: Column) -> Column:
+    """Resolved layers from the parsed layers of a model file.
 
-    ``parameters`` are the model's resolved references.
+    ``parameters`` are the model's resolved references. The fields of parameters that
+    are objects are read for all layers at once, outside the lambda.
     """
-    material = layer["material"]
-    given = F.array(layer["thickness"], layer["interface"], material["rho"], material["irho"])
-    resolved = F.transform(given, lambda text: params.resolve(text, parameters))
-
-    def build(v: Column) -> Column:
-        numbers = [
-            v.getItem(i)[part].alias(f"{name}{ending}")
-            for i, name in enumerate(("thickness", "interface", "sld", "isld"))
-            for part, ending in (("value", ""), ("std", "_std"))
-        ]
-        return F.struct(
-            F.coalesce(layer["name"], F.lit(UNNAMED)).alias("name"),
-            *numbers[:4],
-            F.coalesce(material["name"], F.lit(UNNAMED)).alias("material"),
-            *numbers[4:],
-        )
-
-    return let(resolved, build)
+
+    def given(layer: Column) -> list[Column]:
+        return [layer["thickness"], layer["interface"], layer["material"]["rho"], layer["material"]["irho"]]
+
+    def build(pair: Column) -> Column:
+        layer, objects = pair["layer"], given(pair["objects"])
+
+        def resolved(found: Column) -> Column:
+            numbers = []
+            for i, name in enumerate(("thickness", "interface", "sld", "isld")):
+                value = params.value(given(layer)[i], objects[i], found.getItem(i))
+                numbers += [value.alias(name), found.getItem(i)["std"].alias(f"{name}_std")]
+            return F.struct(
+                F.coalesce(layer["name"], F.lit(UNNAMED)).alias("name"),
+                *numbers[:4],
+                F.coalesce(layer["material"]["name"], F.lit(UNNAMED)).alias("material"),
+                *numbers[4:],
+            )
+
+        return let(F.array(*[params.target(fields, parameters) for fields in objects]), resolved)
+
+    objects = parsed.try_cast(parsed_layers(params.OBJECT))
+    return F.transform(F.arrays_zip(parsed.alias("layer"), objects.alias("objects")), build)
 
 
 def select_stack(stack: Column, datasets: Column, index: Column) -> Column:

@@ -17,7 +17,7 @@ _SLOT = "slot: STRUCT<value: STRING>, value: STRING"
 REFERENCES = f"MAP<STRING, STRUCT<name: STRING, fixed: STRING, std: STRING, {_SLOT}>>"
 ERRORS = "MAP<STRING, STRUCT<std: STRING>>"
 _REFERENCE_CLASS = "Reference"
-_OBJECT = f"STRUCT<__class__: STRING, id: STRING, {_SLOT}>"
+OBJECT = f"STRUCT<__class__: STRING, id: STRING, {_SLOT}>"
 # A map of up to this size is quicker to search than to sort.
 SEARCHED = 32
 
@@ -93,43 +93,35 @@ def resolve_references(references: Column, errors: Column) -> Column:
     return F.transform_values(references, entry)
 
 
-def resolve(param: Column, resolved: Column) -> Column:
-    """Struct of ``value`` and ``std`` of a parameter given as a variant.
+def target(fields: Column, resolved: Column) -> Column:
+    """What a reference, given by its fields, points to among the resolved ones, an ``index``."""
+    return F.when(fields["__class__"] == _REFERENCE_CLASS, find(resolved, fields["id"]))
+
 
-    A reference is looked up among the resolved ones, an ``index``; an unknown
-    reference and any other object give their own value, and only references have a
-    ``std``. A quoted number is a text, and a text counts as zero.
+def value(param: Column, fields: Column, found: Column) -> Column:
+    """Value of a parameter: a variant, its fields if it is an object, and its ``target``.
+
+    An unknown reference and any other object give their own value. A quoted number
+    is a text, which alone can be read as bytes, and a text counts as zero.
     """
-    no_std = F.lit(None).cast("double")
+    own = F.coalesce(found["value"], _number(_own_value(fields)), F.lit(0.0))
+    quoted = F.try_variant_get(param, "$", "binary").isNotNull()
+    plain = F.when(quoted, F.lit(0.0)).otherwise(
+        F.coalesce(F.try_variant_get(param, "$", "double"), F.lit(0.0))
+    )
+    return F.when(fields.isNotNull(), own).when(param.isNull(), F.lit(0.0)).otherwise(plain)
 
-    def field(path: str) -> Column:
-        return F.try_variant_get(param, path, "string")
 
-    def plain(value: Column) -> Column:
-        return F.struct(F.coalesce(value, F.lit(0.0)).alias("value"), no_std.alias("std"))
+def resolve(param: Column, resolved: Column) -> Column:
+    """Struct of ``value`` and ``std`` of a parameter given as a variant.
 
-    def of_object(fields: Column) -> Column:
-        target = F.when(fields["__class__"] == _REFERENCE_CLASS, find(resolved, fields["id"]))
-        return F.coalesce(target, plain(_number(_own_value(fields))))
+    Only references have a ``std``.
+    """
 
-    def of_other(kind: Column) -> Column:
-        # An object with a field of another shape, a slot that is a number say, is read by fields.
-        by_field = F.struct(
-            field("$.__class__").alias("__class__"),
-            field("$.id").alias("id"),
-            F.struct(field("$.slot.value").alias("value")).alias("slot"),
-            field("$.value").alias("value"),
-        )
-        return (
-            F.when(kind == "OBJECT", let(by_field, of_object))
-            .when(kind == "STRING", plain(F.lit(0.0)))
-            .otherwise(plain(let(field("$"), _number)))
-        )
+    def of_fields(fields: Column) -> Column:
+        def of_target(found: Column) -> Column:
+            return F.struct(value(param, fields, found).alias("value"), found["std"].alias("std"))
 
-    def typed(fields: Column) -> Column:
-        kind = F.substring(F.schema_of_variant(param), 1, 6)
-        return F.when(fields.isNotNull(), of_object(fields)).otherwise(let(kind, of_other))
+        return let(target(fields, resolved), of_target)
 
-    return F.when(param.isNull(), plain(F.lit(0.0))).otherwise(
-        let(F.try_variant_get(param, "$", _OBJECT), typed)
-    )
+    return let(F.try_variant_get(param, "$", OBJECT), of_fields)

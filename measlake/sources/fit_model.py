@@ -15,10 +15,7 @@ from .files import read_texts
 
 # The part of a model file that is read. Parameters are variants,
 # because they may be numbers, value objects or references; the file is parsed once.
-_LAYERS = (
-    "ARRAY<STRUCT<name: STRING, thickness: VARIANT, interface: VARIANT, "
-    "material: STRUCT<name: STRING, rho: VARIANT, irho: VARIANT>>>"
-)
+_LAYERS = layers.parsed_layers("VARIANT")
 _VALUES = "STRUCT<values: ARRAY<DOUBLE>>"
 _LIBRARY = "STRUCT<version: STRING, schema_version: STRING>"
 MODEL = (
@@ -81,13 +78,11 @@ def parse(texts: DataFrame) -> DataFrame:
     # the expression of the layers: a step of its own would cost every model its time.
     def with_parameters(raw: Column, body: Callable[[Column], Column], empty: Column) -> Column:
         listed = F.from_json("error_content", params.ERRORS, {"mode": "PERMISSIVE"})
-        listed = params.index(F.coalesce(listed, F.create_map().cast(params.ERRORS)))
-        looked_up = let(listed, lambda e: params.resolve_references(F.col("refs"), e))
+        listed = F.coalesce(listed, F.create_map().cast(params.ERRORS))
+        # By ``let``, since an index reads its map several times and would parse the file each time.
+        looked_up = let(let(listed, params.index), lambda e: params.resolve_references(F.col("refs"), e))
         return F.when(F.size(raw) > 0, let(let(looked_up, params.index), body)).otherwise(empty)
 
-    def layers_of(raw: Column, parameters: Column) -> Column:
-        return F.transform(raw, lambda layer: layers.from_parsed(layer, parameters))
-
     def parts_of(m: Column) -> Column:
         return F.struct(
             F.coalesce(m["references"], F.create_map().cast(params.REFERENCES)).alias("refs"),
@@ -111,7 +106,7 @@ def parse(texts: DataFrame) -> DataFrame:
     # The object's own stack and the experiments' are apart, so that one alone can be read.
     def dataset(x: Column, parameters: Column) -> Column:
         q, r = x["probe"]["Q"]["values"], x["probe"]["R"]["values"]
-        own = layers_of(x["sample"]["layers"], parameters)
+        own = layers.from_parsed(x["sample"]["layers"], parameters)
         return F.struct(
             F.coalesce(own, F.array().cast(layers.STACK)).alias("layers"),
             q.alias("q"),
@@ -121,7 +116,7 @@ def parse(texts: DataFrame) -> DataFrame:
 
     own_layers = F.col("own_layers")
     stack = with_parameters(
-        own_layers, lambda p: layers_of(own_layers, p), F.array().cast(layers.STACK)
+        own_layers, lambda p: layers.from_parsed(own_layers, p), F.array().cast(layers.STACK)
     )
     datasets = with_parameters(
         experiments,
