@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import conditions, layers
-from ..functions.text import non_empty
+from ..functions.text import let, non_empty
 from ..ids import ENVIRONMENT, FIT, RUN, SAMPLE, entity_id
 from ..operators import curve_match, issues
 from ..operators.rows import once
@@ -86,7 +86,7 @@ def match_runs(located: DataFrame, jobs: DataFrame) -> DataFrame:
     winner = curve_match.closest(F.col("q"), F.col("r"), F.col("probes"))
     matched = once(
         narrow.join(probes, ["job", "chunk"]),
-        F.struct(curve_match.matched_dataset(winner).alias("matched")),
+        let(winner, lambda w: F.struct(curve_match.matched_dataset(w).alias("matched"))),
         "matched",
     )
     return matched.drop("probes", "q", "r")
